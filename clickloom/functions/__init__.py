@@ -7,6 +7,7 @@ from clickloom.functions.text import (
     blank_to_null,
     join_sorted,
     join_sorted_distinct,
+    let,
     none_marker,
     safe_map,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "hour_list",
     "join_sorted",
     "join_sorted_distinct",
+    "let",
     "md5_hex",
     "md5_signed64",
     "none_marker",

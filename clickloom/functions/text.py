@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,15 +38,27 @@ def join_sorted_distinct(values: Column, sep: str) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(values)), sep)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def safe_map(entries: Column) -> Column:
     """``array<struct<key,value>>`` -> map; the last entry of a repeated key wins.
 
-    A key's winner is the entry with no equal key behind it, found by position,
-    so the session's duplicate-key policy does not matter.
+    Only rows that do repeat a key take the slower way, which keeps entries
+    with no equal key behind them. The session's duplicate-key policy does not
+    matter.
     """
-    keys = F.transform(entries, lambda e: e["key"])
+    def build(es: Column) -> Column:
+        def choose(keys: Column) -> Column:
+            def is_last(entry: Column, index: Column) -> Column:
+                return F.array_position(F.slice(keys, index + 2, F.size(keys)), entry["key"]) == 0
+
+            return F.when(
+                F.size(keys) == F.size(F.array_distinct(keys)), F.map_from_entries(es)
+            ).otherwise(F.map_from_entries(F.filter(es, is_last)))
 
-    def is_last(entry: Column, index: Column) -> Column:
-        return F.array_position(F.slice(keys, index + 2, F.size(keys)), entry["key"]) == 0
+        return let(F.transform(es, lambda e: e["key"]), choose)
 
-    return F.map_from_entries(F.filter(entries, is_last))
+    return let(entries, build)

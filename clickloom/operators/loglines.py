@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.text import blank_to_null, safe_map
+from clickloom.functions.text import blank_to_null, let, safe_map
 
 # Separators of the log formats.
 KV_SEPARATOR = r"\|~\||\|\|"
@@ -52,10 +52,14 @@ def _split_entry(segment: Column, when_bare: str) -> Column:
 def kv_entries(line: Column) -> Column:
     """Entries of a key/value line, the line's time last so that it wins."""
     trimmed = F.regexp_replace(line, TRAILING_KV_SEPARATORS, "")
-    segments = F.split(trimmed, KV_SEPARATOR)
-    body = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 1, F.lit(0)))
     time = F.array(_entry(F.lit("time"), F.substring(line, 1, 19)))
-    return F.concat(F.transform(body, lambda s: _split_entry(s, "key")), time)
+
+    def body(segments: Column) -> Column:
+        # The piece in front of the first separator is the time.
+        rest = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 1, F.lit(0)))
+        return F.transform(rest, lambda s: _split_entry(s, "key"))
+
+    return F.concat(let(F.split(trimmed, KV_SEPARATOR), body), time)
 
 
 def kv_map(line: Column) -> Column:
@@ -126,24 +130,28 @@ def load_cookie_match(lines: DataFrame, names: Sequence[str] = MATCH_FIELDS) ->
 
 def _thread_entries(thread: Column) -> Column:
     """``id,k=v,k=v``: the id, then each pair with a value; NULL when there is no comma."""
-    pieces = F.split(F.regexp_replace(thread, ",+$", ""), ",")
-    pairs = F.transform(
-        F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
-        lambda s: _split_entry(F.regexp_replace(s, "=+$", ""), "drop"),
-    )
-    head = F.array(_entry(F.lit("Threadid"), F.try_element_at(pieces, F.lit(1))))
-    return F.when(F.size(pieces) > 1, F.concat(head, F.filter(pairs, lambda e: e["key"] != "")))
+
+    def body(pieces: Column) -> Column:
+        pairs = F.transform(
+            F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
+            lambda s: _split_entry(F.regexp_replace(s, "=+$", ""), "drop"),
+        )
+        head = F.array(_entry(F.lit("Threadid"), F.get(pieces, F.lit(0))))
+        return F.when(F.size(pieces) > 1, F.concat(head, F.filter(pairs, lambda e: e["key"] != "")))
+
+    return let(F.split(F.regexp_replace(thread, ",+$", ""), ","), body)
 
 
 def load_bid(lines: DataFrame, names: Sequence[str] = BID_FIELDS, keep_line: bool = False) -> DataFrame:
     """Bid lines; ids come from ``userId`` and ``agUserId``."""
-    entries = kv_entries(F.col("value"))
-    base = lines.withColumn("fields", safe_map(entries))
+    base = lines.withColumn("fields", kv_map(F.col("value")))
     thread = F.coalesce(F.col("fields")["Threadid"], F.lit(""))
-    none = F.array().cast("array<struct<key:string,value:string>>")
-    full = base.withColumn(
-        "fields", safe_map(F.concat(F.map_entries("fields"), F.coalesce(_thread_entries(thread), none)))
-    )
+    full = base.withColumn("__thread", _thread_entries(thread)).withColumn(
+        "fields",
+        F.when(F.col("__thread").isNull(), F.col("fields")).otherwise(
+            safe_map(F.concat(F.map_entries("fields"), F.col("__thread")))
+        ),
+    ).drop("__thread")
     ids = full.withColumn("__guid", blank_to_null(F.col("fields")["userId"])).withColumn(
         "__agsid", blank_to_null(F.col("fields")["agUserId"])
     )
@@ -155,26 +163,27 @@ def load_bid(lines: DataFrame, names: Sequence[str] = BID_FIELDS, keep_line: boo
 
 def page_view_map(line: Column, parse_query: bool = False) -> Column:
     """Seven fields are the new layout, anything else is read as the old one."""
-    items = F.split(F.regexp_replace(line, TRAILING_FIELD_SEPARATORS, ""), FIELD_SEPARATOR)
-
-    def positional(names: Sequence[str]) -> Column:
+    def positional(items: Column, names: Sequence[str]) -> Column:
         known = F.array(*[F.lit(n) for n in names])
         n = F.least(F.size(items), F.lit(len(names)))
-        return F.zip_with(
-            F.slice(known, F.lit(1), n), F.slice(items, F.lit(1), n), lambda k, v: _entry(k, v)
-        )
+        return F.zip_with(F.slice(known, F.lit(1), n), F.slice(items, F.lit(1), n), _entry)
 
-    entries = F.when(F.size(items) == len(PAGE_VIEW_NEW), positional(PAGE_VIEW_NEW)).otherwise(
-        positional(PAGE_VIEW_OLD)
-    )
-    if parse_query:
-        query = F.try_element_at(F.map_from_entries(entries), F.lit("query"))
-        extra = F.filter(
-            F.transform(F.split(query, "&"), lambda s: _split_entry(s, "drop")), lambda e: e["key"] != ""
+    def body(items: Column) -> Column:
+        return F.when(F.size(items) == len(PAGE_VIEW_NEW), positional(items, PAGE_VIEW_NEW)).otherwise(
+            positional(items, PAGE_VIEW_OLD)
         )
+
+    entries = let(F.split(F.regexp_replace(line, TRAILING_FIELD_SEPARATORS, ""), FIELD_SEPARATOR), body)
+    if not parse_query:
+        return F.map_from_entries(entries)
+
+    def with_query(plain: Column) -> Column:
+        query = F.get(F.filter(plain, lambda e: e["key"] == "query"), F.lit(0))["value"]
+        pairs = F.transform(F.split(query, "&"), lambda s: _split_entry(s, "drop"))
         none = F.array().cast("array<struct<key:string,value:string>>")
-        entries = F.concat(entries, F.coalesce(extra, none))
-    return safe_map(entries)
+        return F.concat(plain, F.coalesce(F.filter(pairs, lambda e: e["key"] != ""), none))
+
+    return safe_map(let(entries, with_query))
 
 
 def load_page_views(lines: DataFrame, names: Sequence[str] = PAGE_VIEW_NEW, parse_query: bool = False,

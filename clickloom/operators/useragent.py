@@ -57,11 +57,12 @@ def with_user_agent(df: DataFrame, ua: str = "ua") -> DataFrame:
     """
     pattern = F.lit(_keyword_pattern())
     text = F.coalesce(F.col(ua), F.lit(""))
-    found = F.arrays_zip(
-        F.regexp_extract_all(text, pattern, 1).alias("word"),
-        F.regexp_extract_all(text, pattern, 2).alias("ver"),
+    found = F.zip_with(
+        F.regexp_extract_all(text, pattern, F.lit(1)),
+        F.regexp_extract_all(text, pattern, F.lit(2)),
+        lambda word, ver: F.struct(word.alias("word"), ver.alias("ver")),
     )
-    base = df.withColumn("__f", F.transform(found, lambda x: F.struct(x["0"].alias("word"), x["1"].alias("ver"))))
+    base = df.withColumn("__f", found)
 
     def of_kind(words: tuple[str, ...]) -> Column:
         return F.filter("__f", lambda x: x["word"].isin(*words))
