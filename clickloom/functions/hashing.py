@@ -21,9 +21,13 @@ def md5_hex(col: Column) -> Column:
 
 def md5_signed64(col: Column) -> Column:
     """First eight digest bytes, little endian, as a signed 64-bit number."""
-    digest = F.md5(col)
-    reversed_hex = F.concat(*[F.substring(digest, 2 * i - 1, 2) for i in range(8, 0, -1)])
-    return F.conv(reversed_hex, 16, -10).cast("bigint")
+    # Reversing the hex text turns the byte order but swaps the two digits of
+    # each byte, so the digits are swapped back with shifts.
+    turned = F.conv(F.reverse(F.substring(F.md5(col), 1, 16)), 16, -10).cast("bigint")
+    low_digits = F.lit(0x0F0F0F0F0F0F0F0F)
+    return F.shiftleft(turned.bitwiseAND(low_digits), 4).bitwiseOR(
+        F.shiftrightunsigned(turned, 4).bitwiseAND(low_digits)
+    )
 
 
 def compact_id_encode(col: Column) -> Column:

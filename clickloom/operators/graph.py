@@ -9,40 +9,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.skew import HOT_ROWS, spread_join
 from clickloom.session import cut_lineage
 
 
-def _edge(a: Column, b: Column) -> tuple[Column, Column]:
-    return F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")
+def _attach(edges: DataFrame, minima: DataFrame, on: list[str], n_edges: int, hot_rows: int) -> DataFrame:
+    """Give each edge the minimum of its ``on`` node; salted once a node could be hot."""
+    table = minima.drop("n_rows")
+    if n_edges < hot_rows:
+        # No node can have more rows than there are edges.
+        return edges.join(table, on, "inner")
+    return spread_join(edges, table, on, "inner", counts=minima, hot_rows=hot_rows)
 
 
-def _large_star(edges: DataFrame, by: list[str], hot_rows: int) -> DataFrame:
+def _large_star(edges: DataFrame, by: list[str], n_edges: int, hot_rows: int) -> DataFrame:
     """Hang every larger neighbour of a node on the least node it knows."""
-    ends = edges.select(*by, F.col("lo").alias("node"), F.col("lo").alias("least")).unionByName(
-        edges.select(*by, F.col("hi").alias("node"), F.col("lo").alias("least"))
+    # A node's own id takes part in its minimum.
+    ends = F.array(F.col("lo"), F.col("hi"))
+    minima = edges.select(*by, F.explode(ends).alias("node"), "lo").groupBy(*by, "node").agg(
+        F.min("lo").alias("least"), F.count("*").alias("n_rows")
     )
-    # Only ``lo`` nodes hang others; a node's own id takes part in its minimum.
-    minima = ends.groupBy(*by, "node").agg(F.min("least").alias("least"), F.count("*").alias("n_rows"))
-    joined = spread_join(
-        edges.withColumnRenamed("lo", "node"), minima.drop("n_rows"), [*by, "node"], "inner",
-        counts=minima, hot_rows=hot_rows,
-    )
-    return joined.select(*by, *_edge(F.col("hi"), F.col("least"))).distinct()
+    joined = _attach(edges.withColumnRenamed("lo", "node"), minima, [*by, "node"], n_edges, hot_rows)
+    return joined.select(*by, F.col("least").alias("lo"), "hi")
 
 
-def _small_star(edges: DataFrame, by: list[str], hot_rows: int) -> DataFrame:
+def _small_star(edges: DataFrame, by: list[str], n_edges: int, hot_rows: int) -> DataFrame:
     """Hang a node and all its smaller neighbours on the least of them."""
     minima = edges.groupBy(*by, "hi").agg(F.min("lo").alias("least"), F.count("*").alias("n_rows"))
-    joined = spread_join(
-        edges, minima.drop("n_rows"), [*by, "hi"], "inner", counts=minima, hot_rows=hot_rows,
-    )
-    moved = joined.where(F.col("lo") != F.col("least")).select(*by, *_edge(F.col("lo"), F.col("least")))
-    hung = minima.select(*by, F.col("least").alias("lo"), "hi")
-    return moved.unionByName(hung).distinct()
+    joined = _attach(edges, minima, [*by, "hi"], n_edges, hot_rows)
+    least = F.col("least")
+    # ``lo`` itself moves too; a pair of equal ends says nothing and is dropped.
+    heads = F.when(F.col("lo") == least, F.array("hi")).otherwise(F.array("lo", "hi"))
+    return joined.select(*by, least.alias("lo"), F.explode(heads).alias("hi")).distinct()
 
 
 def _fingerprint(edges: DataFrame, by: list[str]) -> tuple:
@@ -66,14 +68,17 @@ def connected_components(edges: DataFrame, by: Sequence[str] = (), src: str = "s
     unchanged.
     """
     by = list(by)
-    clean = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
-    loops = clean.where(F.col(src) == F.col(dst)).select(*by, F.col(src).alias("node"))
-    current = cut_lineage(
-        clean.where(F.col(src) != F.col(dst)).select(*by, *_edge(F.col(src), F.col(dst))).distinct()
-    )
+    a, b = F.col("src"), F.col("dst")
+    # Stored before any filter, so that hashed ids are not computed again.
+    raw = cut_lineage(edges.select(*by, F.col(src).alias("src"), F.col(dst).alias("dst")).distinct())
+    loops = raw.where(a == b).select(*by, a.alias("node"))
+    current = raw.where(a != b).select(*by, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct()
     mark = _fingerprint(current, by)
     while mark[0]:
-        following = cut_lineage(_small_star(_large_star(current, by, hot_rows), by, hot_rows))
+        # Read twice by the next step; a lost block is computed again from ``current``.
+        large = _large_star(current, by, mark[0], hot_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        following = cut_lineage(_small_star(large, by, mark[0], hot_rows))
+        large.unpersist()
         new_mark = _fingerprint(following, by)
         current = following
         if new_mark == mark:
