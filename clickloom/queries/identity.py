@@ -55,7 +55,7 @@ edges AS (SELECT DISTINCT {sql_md5('id1')} AS src, {sql_md5('id2')} AS dst FROM
 {sql_components('edges')}
 SELECT node, component FROM edges_cc""")
 def _(t):
-    pairs = identity.clean_pairs(_id_pairs(t)).where(F.col("id2").isNotNull())
+    pairs = identity.clean_pairs(_id_pairs(t)).where(F.col("id2").isNotNull()).select("id1", "id2").distinct()
     edges = pairs.select(md5_signed64(F.col("id1")).alias("src"), md5_signed64(F.col("id2")).alias("dst"))
     return connected_components(edges)
 

@@ -52,33 +52,37 @@ def scan_log(spark: SparkSession, path: str, log_types: Sequence[str] | None = N
     return table
 
 
-def scan_display(spark: SparkSession, path: str, log_type: str, channel: str, time: str) -> DataFrame:
-    """Display logs of one type and channel; ``time`` is a day or an hour slot."""
+Time = str | Sequence[str]
+
+
+def scan_display(spark: SparkSession, path: str, log_type: str, channel: str, time: Time) -> DataFrame:
+    """Display logs of one type and channel; ``time`` is a day or an hour slot, or a list of either."""
     return _scan_family(spark, path, log_type, DISPLAY_TYPES, channel, time)
 
 
-def scan_page_views(spark: SparkSession, path: str, log_type: str, time: str) -> DataFrame:
+def scan_page_views(spark: SparkSession, path: str, log_type: str, time: Time) -> DataFrame:
     """Page-view or tracking logs: any type but ``pv`` means tracking."""
     kind = "pv" if log_type == "pv" else "track"
     return _scan_family(spark, path, kind, VIEW_TYPES, None, time)
 
 
-def scan_tag_export(spark: SparkSession, path: str, log_type: str, channel: str, time: str) -> DataFrame:
+def scan_tag_export(spark: SparkSession, path: str, log_type: str, channel: str, time: Time) -> DataFrame:
     return _scan_family(spark, path, log_type, TAG_TYPES, channel, time)
 
 
-def scan_realtime_tags(spark: SparkSession, path: str, time: str) -> DataFrame:
+def scan_realtime_tags(spark: SparkSession, path: str, time: Time) -> DataFrame:
     return _scan_family(spark, path, REALTIME_TYPE, (REALTIME_TYPE,), None, time)
 
 
 def _scan_family(spark: SparkSession, path: str, log_type: str, known: Sequence[str],
-                 channel: str | None, time: str) -> DataFrame:
+                 channel: str | None, time: Time) -> DataFrame:
     if log_type not in known:
         raise ValueError(f"unknown log type {log_type!r}, expected one of {known}")
     channels = None if channel is None else [channel]
-    if len(time) > 10:
-        return scan_log(spark, path, [log_type], channels, hours=[time])
-    return scan_log(spark, path, [log_type], channels, days=[time])
+    times = [time] if isinstance(time, str) else list(time)
+    if any(len(x) > 10 for x in times):
+        return scan_log(spark, path, [log_type], channels, hours=times)
+    return scan_log(spark, path, [log_type], channels, days=times)
 
 
 def scan_text(spark: SparkSession, *paths: str) -> DataFrame:
