@@ -29,6 +29,8 @@ PAGE_VIEW_OLD = (
 # Fixed value: search landing marker in page-view lines.
 SEARCH_LANDING = "ag_kwid"
 
+INT_MAX = 2147483647
+
 SHOW_FIELDS = ("time", "ssp", "adxreq", "guid", "agsid", "ua", "site", "bidtag", "bkid")
 CLICK_FIELDS = ("time", "ssp", "reqid", "guid", "agsid")
 BID_FIELDS = ("time", "ssp", "reqId", "Threadid", "guid", "agsid", "url", "usertags", "hittags", "bidtag", "ads")
@@ -82,9 +84,57 @@ def pick_fields(df: DataFrame, names: Sequence[str], fields: str = "fields",
 
 
 def load_kv(lines: DataFrame) -> DataFrame:
+    """All entries of each line as a map column."""
     return lines.withColumn("fields", kv_map(F.col("value")))
 
 
+# The typed loaders below know the fields they want. They look each one up in
+# the split line instead of building a map of everything the line holds.
+
+def segments(line: Column) -> Column:
+    """Key/value pieces of a line, the leading time left out.
+
+    Empty pieces at the end stay; no lookup finds them.
+    """
+    return F.slice(F.split(line, KV_SEPARATOR), F.lit(2), F.lit(INT_MAX))
+
+
+def _last_named(pieces: Column, name: str) -> Column:
+    """Last piece with this key, with or without a value; NULL when there is none."""
+    return F.try_element_at(
+        F.filter(pieces, lambda p: p.startswith(f"{name}=") | (p == name)), F.lit(-1)
+    )
+
+
+def _value_of(piece: Column, name: str) -> Column:
+    return F.substr(piece, F.lit(len(name) + 2))
+
+
+def _lookup(pieces: Column, name: str) -> Column:
+    return F.substring(F.col("value"), 1, 19) if name == "time" else _value_of(_last_named(pieces, name), name)
+
+
+def _normalised(df: DataFrame, raw: Mapping[str, Column], keep_line: bool = False) -> DataFrame:
+    """Raw values as columns, then both missing markers as NULL.
+
+    The raw values pass through ``inline``: a later filter on a loaded column
+    then stays above it and does not take the line apart a second time.
+    """
+    kept = [c for c in df.columns if c not in raw and c != "value" and not c.startswith("__")]
+    line = [F.col("value").alias("line")] if keep_line else []
+    row = F.struct(*[c.alias(n) for n, c in raw.items()])
+    staged = df.select(*kept, *line, F.inline(F.array(row)))
+    return staged.select(*kept, *(["line"] if keep_line else []), *[blank_to_null(F.col(n)).alias(n) for n in raw])
+
+
+def _query_value(address: Column, name: str) -> Column:
+    """Last value of a query-string key; NULL when absent."""
+    return F.substr(
+        F.try_element_at(F.filter(F.split(address, "&"), lambda p: p.startswith(f"{name}=")), F.lit(-1)),
+        F.lit(len(name) + 2),
+    )
+
+
 def _cookie_id(cookie: Column) -> Column:
     """Last piece of more than three characters around ``agsid=``, up to ``;``."""
     pieces = F.filter(F.split(cookie, "agsid="), lambda p: F.length(p) > 3)
@@ -94,18 +144,20 @@ def _cookie_id(cookie: Column) -> Column:
 
 def _with_fallback_ids(lines: DataFrame, names: Sequence[str], address_key: str) -> DataFrame:
     """Cookie id out of the cookie text, user id out of the request address, where absent."""
-    loaded = load_kv(lines)
-    fields = F.col("fields")
-    own_cookie_id = blank_to_null(fields["agsid"])
-    cookie = F.coalesce(fields["cookie"], F.lit("null"))
-    # An explicit empty id is not replaced; only absent or ``null`` is.
-    replace_cookie_id = F.coalesce(fields["agsid"], F.lit("null")) == "null"
-    cookie_id = F.when(replace_cookie_id, blank_to_null(_cookie_id(cookie))).otherwise(own_cookie_id)
-    has_guid = F.array_contains(F.map_keys(fields), "guid")
-    guid = F.when(has_guid, fields["guid"]).otherwise(query_map(fields[address_key])["guid"])
-    picked = pick_fields(loaded.withColumn("__agsid", cookie_id).withColumn("__guid", blank_to_null(guid)),
-                         [n for n in names if n not in ("guid", "agsid")])
-    return picked.withColumnRenamed("__guid", "guid").withColumnRenamed("__agsid", "agsid")
+    split = lines.withColumn("__s", segments(F.col("value")))
+    pieces = F.col("__s")
+    staged = split.select(
+        "*", _lookup(pieces, "agsid").alias("__agsid"), _lookup(pieces, "cookie").alias("__cookie"),
+        _last_named(pieces, "guid").alias("__guid"), _lookup(pieces, address_key).alias("__address"),
+    )
+    # An explicit empty cookie id is not replaced; only an absent one or ``null`` is.
+    replaced = F.coalesce(F.col("__agsid"), F.lit("null")) == "null"
+    agsid = F.when(replaced, _cookie_id(F.col("__cookie"))).otherwise(F.col("__agsid"))
+    guid = F.when(F.col("__guid").isNotNull(), _value_of(F.col("__guid"), "guid")).otherwise(
+        _query_value(F.col("__address"), "guid")
+    )
+    own = {"agsid": agsid, "guid": guid}
+    return _normalised(staged, {n: own[n] if n in own else _lookup(pieces, n) for n in names})
 
 
 def load_show(lines: DataFrame, names: Sequence[str] = SHOW_FIELDS) -> DataFrame:
@@ -118,80 +170,73 @@ def load_click(lines: DataFrame, names: Sequence[str] = CLICK_FIELDS) -> DataFra
 
 def load_cookie_match(lines: DataFrame, names: Sequence[str] = MATCH_FIELDS) -> DataFrame:
     """The user id is the value of the key ``Matching ... google_gid``."""
-    loaded = load_kv(lines)
-    matching = F.map_filter(
-        F.col("fields"), lambda k, v: k.startswith("Matching ") & k.endswith("google_gid")
-    )
-    first_key = F.try_element_at(F.array_sort(F.map_keys(matching)), F.lit(1))
-    guid = F.coalesce(F.try_element_at(matching, first_key), F.col("fields")["guid"])
-    picked = pick_fields(loaded.withColumn("__guid", blank_to_null(guid)), [n for n in names if n != "guid"])
-    return picked.withColumnRenamed("__guid", "guid")
+    split = lines.withColumn("__s", segments(F.col("value")))
+    pieces = F.col("__s")
 
+    def is_match(piece: Column) -> Column:
+        return piece.startswith("Matching ") & F.substring_index(piece, "=", 1).endswith("google_gid")
 
-def _thread_entries(thread: Column) -> Column:
-    """``id,k=v,k=v``: the id, then each pair with a value; NULL when there is no comma."""
-
-    def body(pieces: Column) -> Column:
-        pairs = F.transform(
-            F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
-            lambda s: _split_entry(F.regexp_replace(s, "=+$", ""), "drop"),
-        )
-        head = F.array(_entry(F.lit("Threadid"), F.get(pieces, F.lit(0))))
-        return F.when(F.size(pieces) > 1, F.concat(head, F.filter(pairs, lambda e: e["key"] != "")))
-
-    return let(F.split(F.regexp_replace(thread, ",+$", ""), ","), body)
+    matching = F.try_element_at(F.array_sort(F.filter(pieces, is_match)), F.lit(1))
+    staged = split.withColumn("__match", matching)
+    match = F.col("__match")
+    matched = F.when(match.contains("="), F.substr(match, F.locate("=", match) + 1)).when(match.isNotNull(), "")
+    own = {"guid": F.coalesce(matched, _lookup(pieces, "guid"))}
+    return _normalised(staged, {n: own[n] if n in own else _lookup(pieces, n) for n in names})
 
 
 def load_bid(lines: DataFrame, names: Sequence[str] = BID_FIELDS, keep_line: bool = False) -> DataFrame:
-    """Bid lines; ids come from ``userId`` and ``agUserId``."""
-    base = lines.withColumn("fields", kv_map(F.col("value")))
-    thread = F.coalesce(F.col("fields")["Threadid"], F.lit(""))
-    full = base.withColumn("__thread", _thread_entries(thread)).withColumn(
-        "fields",
-        F.when(F.col("__thread").isNull(), F.col("fields")).otherwise(
-            safe_map(F.concat(F.map_entries("fields"), F.col("__thread")))
-        ),
-    ).drop("__thread")
-    ids = full.withColumn("__guid", blank_to_null(F.col("fields")["userId"])).withColumn(
-        "__agsid", blank_to_null(F.col("fields")["agUserId"])
-    )
-    if keep_line:
-        ids = ids.withColumn("line", F.col("value"))
-    picked = pick_fields(ids, [n for n in names if n not in ("guid", "agsid")])
-    return picked.withColumnRenamed("__guid", "guid").withColumnRenamed("__agsid", "agsid")
-
-
-def page_view_map(line: Column, parse_query: bool = False) -> Column:
-    """Seven fields are the new layout, anything else is read as the old one."""
-    def positional(items: Column, names: Sequence[str]) -> Column:
-        known = F.array(*[F.lit(n) for n in names])
-        n = F.least(F.size(items), F.lit(len(names)))
-        return F.zip_with(F.slice(known, F.lit(1), n), F.slice(items, F.lit(1), n), _entry)
-
-    def body(items: Column) -> Column:
-        return F.when(F.size(items) == len(PAGE_VIEW_NEW), positional(items, PAGE_VIEW_NEW)).otherwise(
-            positional(items, PAGE_VIEW_OLD)
-        )
+    """Bid lines; ids come from ``userId`` and ``agUserId``.
 
-    entries = let(F.split(F.regexp_replace(line, TRAILING_FIELD_SEPARATORS, ""), FIELD_SEPARATOR), body)
-    if not parse_query:
-        return F.map_from_entries(entries)
+    A thread field ``id,k=v,k=v`` is taken apart: the first piece is the thread
+    id and each later pair with a value wins over a field of the same name.
+    """
+    split = lines.withColumn("__s", segments(F.col("value")))
+    pieces, thread = F.col("__s"), F.col("__thread")
+    listed = F.split(F.regexp_replace(_lookup(pieces, "Threadid"), ",+$", ""), ",")
+    staged = split.withColumn("__thread", F.when(F.size(listed) > 1, listed))
+    tail = F.slice(thread, F.lit(2), F.size(thread))
+
+    def threaded(name: str) -> Column:
+        bare = F.transform(
+            F.filter(tail, lambda p: p.startswith(f"{name}=")), lambda p: F.regexp_replace(p, "=+$", "")
+        )
+        named = F.filter(bare, lambda p: p.startswith(f"{name}="))
+        return _value_of(F.try_element_at(named, F.lit(-1)), name)
 
-    def with_query(plain: Column) -> Column:
-        query = F.get(F.filter(plain, lambda e: e["key"] == "query"), F.lit(0))["value"]
-        pairs = F.transform(F.split(query, "&"), lambda s: _split_entry(s, "drop"))
-        none = F.array().cast("array<struct<key:string,value:string>>")
-        return F.concat(plain, F.coalesce(F.filter(pairs, lambda e: e["key"] != ""), none))
+    def field(name: str) -> Column:
+        if name == "Threadid":
+            return F.coalesce(F.get(thread, F.lit(0)), _lookup(pieces, name))
+        return F.coalesce(threaded(name), _lookup(pieces, name))
 
-    return safe_map(let(entries, with_query))
+    own = {"guid": field("userId"), "agsid": field("agUserId")}
+    return _normalised(staged, {n: own[n] if n in own else field(n) for n in names}, keep_line)
 
 
 def load_page_views(lines: DataFrame, names: Sequence[str] = PAGE_VIEW_NEW, parse_query: bool = False,
                     keep_line: bool = False) -> DataFrame:
-    loaded = lines.withColumn("fields", page_view_map(F.col("value"), parse_query))
-    if keep_line:
-        loaded = loaded.withColumn("line", F.col("value"))
-    return pick_fields(loaded, names)
+    """Fields by position: seven fields are the new layout, anything else the old one.
+
+    Trailing empty fields are cut before the fields are counted. With
+    ``parse_query`` a name may also be a query-string key, which then wins.
+    """
+    trimmed = F.regexp_replace(F.col("value"), TRAILING_FIELD_SEPARATORS, "")
+    items = F.col("__items")
+    split = lines.withColumn("__items", F.split(trimmed, FIELD_SEPARATOR))
+
+    def positional(name: str) -> Column:
+        def at(layout: Sequence[str]) -> Column:
+            return F.get(items, F.lit(layout.index(name))) if name in layout else F.lit(None).cast("string")
+
+        return F.when(F.size(items) == len(PAGE_VIEW_NEW), at(PAGE_VIEW_NEW)).otherwise(at(PAGE_VIEW_OLD))
+
+    staged = split.withColumn("__query", positional("query")) if parse_query else split
+
+    def field(name: str) -> Column:
+        if not parse_query:
+            return positional(name)
+        return F.coalesce(_query_value(F.col("__query"), name), positional(name))
+
+    return _normalised(staged, {n: field(n) for n in names}, keep_line)
 
 
 def field_count(line: Column) -> Column:

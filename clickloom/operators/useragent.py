@@ -28,6 +28,7 @@ WINDOWS_NAMES = {
 }
 # Patterns of versions and device names.
 VERSION_TAIL = r"([0-9/. ]*)"
+VERSION_CHARACTERS = "0123456789/. "
 IE_VERSION = r"rv:(\d+)"
 ANDROID_BUILD = r"([\w -]+)( Build/)"
 ANDROID_LAST_FIELD = r"; ([\w -]+)\)"
@@ -57,10 +58,13 @@ def with_user_agent(df: DataFrame, ua: str = "ua") -> DataFrame:
     """
     pattern = F.lit(_keyword_pattern())
     text = F.coalesce(F.col(ua), F.lit(""))
-    found = F.zip_with(
-        F.regexp_extract_all(text, pattern, F.lit(1)),
-        F.regexp_extract_all(text, pattern, F.lit(2)),
-        lambda word, ver: F.struct(word.alias("word"), ver.alias("ver")),
+    # Every keyword ends in a letter, so a match splits at its last letter.
+    found = F.transform(
+        F.regexp_extract_all(text, pattern, F.lit(0)),
+        lambda m: F.struct(
+            F.rtrim(m, F.lit(VERSION_CHARACTERS)).alias("word"),
+            F.substr(m, F.length(F.rtrim(m, F.lit(VERSION_CHARACTERS))) + 1).alias("ver"),
+        ),
     )
     base = df.withColumn("__f", found)
 
@@ -124,5 +128,9 @@ def with_user_agent(df: DataFrame, ua: str = "ua") -> DataFrame:
 
 
 def browser_report(df: DataFrame, ua: str, user: str) -> DataFrame:
-    """Users and hits per browser and system."""
-    return uv_pv(with_user_agent(df, ua), ["browser", "os"], user)
+    """Users and hits per browser and system.
+
+    Agents are taken apart once per (agent, user), not once per hit.
+    """
+    per_agent = df.where(F.col(user).isNotNull()).groupBy(F.col(ua).alias("ua"), user).agg(F.count("*").alias("n"))
+    return uv_pv(with_user_agent(per_agent, "ua"), ["browser", "os"], user, F.col("n"))
