@@ -16,9 +16,7 @@ from clickloom.functions.text import blank_to_null, let, safe_map
 
 # Separators of the log formats.
 KV_SEPARATOR = r"\|~\||\|\|"
-TRAILING_KV_SEPARATORS = r"(\|~\||\|\|)+$"
 FIELD_SEPARATOR = r"\|~\||\t"
-TRAILING_FIELD_SEPARATORS = r"(\|~\||\t)+$"
 
 # Field names of the two page-view layouts.
 PAGE_VIEW_NEW = ("time", "ip", "agsid", "tid", "url", "query", "useragent")
@@ -29,7 +27,8 @@ PAGE_VIEW_OLD = (
 # Fixed value: search landing marker in page-view lines.
 SEARCH_LANDING = "ag_kwid"
 
-INT_MAX = 2147483647
+# Longer than any line has pieces; a start added to it must not overflow.
+ALL_PIECES = 1 << 30
 
 SHOW_FIELDS = ("time", "ssp", "adxreq", "guid", "agsid", "ua", "site", "bidtag", "bkid")
 CLICK_FIELDS = ("time", "ssp", "reqid", "guid", "agsid")
@@ -51,17 +50,25 @@ def _split_entry(segment: Column, when_bare: str) -> Column:
     )
 
 
+def _split_trimmed(text: Column, separator: str) -> Column:
+    """Split without the empty pieces at the end."""
+
+    def trim(pieces: Column) -> Column:
+        filled = F.transform(F.reverse(pieces), lambda p: p != "")
+        ahead = F.array_position(filled, True).cast("int")
+        return F.when(ahead > 0, F.slice(pieces, F.lit(1), F.size(pieces) - ahead + 1)).otherwise(
+            F.slice(pieces, F.lit(1), F.lit(0))
+        )
+
+    return let(F.split(text, separator), trim)
+
+
 def kv_entries(line: Column) -> Column:
     """Entries of a key/value line, the line's time last so that it wins."""
-    trimmed = F.regexp_replace(line, TRAILING_KV_SEPARATORS, "")
     time = F.array(_entry(F.lit("time"), F.substring(line, 1, 19)))
-
-    def body(segments: Column) -> Column:
-        # The piece in front of the first separator is the time.
-        rest = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 1, F.lit(0)))
-        return F.transform(rest, lambda s: _split_entry(s, "key"))
-
-    return F.concat(let(F.split(trimmed, KV_SEPARATOR), body), time)
+    # The piece in front of the first separator is the time.
+    rest = F.slice(_split_trimmed(line, KV_SEPARATOR), F.lit(2), F.lit(ALL_PIECES))
+    return F.concat(F.transform(rest, lambda s: _split_entry(s, "key")), time)
 
 
 def kv_map(line: Column) -> Column:
@@ -96,7 +103,7 @@ def segments(line: Column) -> Column:
 
     Empty pieces at the end stay; no lookup finds them.
     """
-    return F.slice(F.split(line, KV_SEPARATOR), F.lit(2), F.lit(INT_MAX))
+    return F.slice(F.split(line, KV_SEPARATOR), F.lit(2), F.lit(ALL_PIECES))
 
 
 def _last_named(pieces: Column, name: str) -> Column:
@@ -219,9 +226,8 @@ def load_page_views(lines: DataFrame, names: Sequence[str] = PAGE_VIEW_NEW, pars
     Trailing empty fields are cut before the fields are counted. With
     ``parse_query`` a name may also be a query-string key, which then wins.
     """
-    trimmed = F.regexp_replace(F.col("value"), TRAILING_FIELD_SEPARATORS, "")
     items = F.col("__items")
-    split = lines.withColumn("__items", F.split(trimmed, FIELD_SEPARATOR))
+    split = lines.withColumn("__items", _split_trimmed(F.col("value"), FIELD_SEPARATOR))
 
     def positional(name: str) -> Column:
         def at(layout: Sequence[str]) -> Column:
