@@ -104,7 +104,11 @@ def uid_sightings(records: DataFrame) -> DataFrame:
 
 @dataclass
 class HistoryMerge:
-    """Result of merging a window into the history."""
+    """Result of merging a window into the history.
+
+    Both are plans over stored tables; store ``changes`` when several outputs
+    are made of it.
+    """
 
     merged: DataFrame
     changes: DataFrame
@@ -138,7 +142,7 @@ def merge_history(window: DataFrame, history: DataFrame | None, recent: int = RE
     plausible = oldest.where(F.col("n_rows") < group_limit)
     changes = spread_join(members, plausible.select("component", "oldest"), ["component"], "inner", counts=oldest)
     changes = changes.select(F.col("uid").alias("old_uid"), F.col("oldest").alias("new_uid"), "minute")
-    return HistoryMerge(merged=cut_lineage(merge_records(records)), changes=cut_lineage(changes))
+    return HistoryMerge(merged=merge_records(records), changes=changes)
 
 
 def real_changes(changes: DataFrame) -> DataFrame:

@@ -67,17 +67,18 @@ def run_window(spark: SparkSession, paths: WindowPaths, hours: list[str], last:
     slot, start, minutes = hours[-1], slot_minute(hours[0]), 60 * len(hours)
     window = spark.read.parquet(paths.hourly()).where(F.col("slot").isin(*hours))
     merge = identity.merge_history(window, previous_index(spark, paths, hours, last), recent, group_limit)
-    index = cut_lineage(identity.remap_uids(merge.merged, merge.changes))
+    changes = cut_lineage(merge.changes)
+    index = cut_lineage(identity.remap_uids(merge.merged, changes))
     added = identity.window_records(index, start, minutes)
     outputs = {
-        "delete": identity.uids_to_delete(merge.changes, start),
+        "delete": identity.uids_to_delete(changes, start),
         "add": identity.add_rows(added, group_limit),
-        "changes": identity.change_log(merge.changes),
-        "audit": identity.change_audit(merge.changes, added),
+        "changes": identity.change_log(changes),
+        "audit": identity.change_audit(changes, added),
     }
     for name, table in outputs.items():
         table.write.mode("overwrite").parquet(paths.output(slot, name))
-    write_hourly(hourly_kinds(identity.slot_rows(window, merge.changes)), paths.idmap(), "slot")
+    write_hourly(hourly_kinds(identity.slot_rows(window, changes)), paths.idmap(), "slot")
     if slot.endswith("-23"):
         # The next day starts from the coded base table.
         base = index.select(compact_id_encode(F.col("uid")).alias("uid_code"), "cid", "id_type", "minute", "num")
@@ -103,7 +104,7 @@ def run_daily_merge(spark: SparkSession, paths: WindowPaths, day: str, change_sl
     for more in parts[1:]:
         log = log.unionByName(more)
     changes = cut_lineage(channels.day_changes(log))
-    today = spark.read.parquet(paths.idmap()).where(F.col("slot").startswith(day)).withColumn("slot", F.col("slot"))
+    today = spark.read.parquet(paths.idmap()).where(F.col("slot").startswith(day))
     cookies = today.where(F.col("kind") == COOKIE_KIND)
     ids = today.where(F.col("kind") != COOKIE_KIND)
     history = _read_if_any(spark, paths.channel_history("channel", previous_day(day)))
