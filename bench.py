@@ -35,7 +35,6 @@ HEADLINE = (
     "connected_components",
     "identity_map",
     "history_merge_changes",
-    "identity_add_rows",
     "daily_channel_merge",
     "stream_log_lines",
 )
