@@ -18,7 +18,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
