@@ -33,8 +33,9 @@ def build_session(master: str | None = None, app_name: str = "clickloom", **conf
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the session.
 
-    The cluster sets ``spark.checkpoint.dir``; only where it is unset (local
-    tests) is a fresh local folder made and registered.
+    The cluster sets ``spark.checkpoint.dir``. Where it is unset, a local
+    folder is made for a local master only: on a cluster every executor would
+    write to its own disk, so that case raises.
     """
     sc = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
@@ -45,24 +46,40 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not is_local(sc.master):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     fresh = tempfile.mkdtemp(prefix="clickloom-")
     sc.setCheckpointDir(fresh)
     return sc.getCheckpointDir() or fresh
 
 
+def is_local(master: str) -> bool:
+    """Driver and executor are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write to a new table in the shared folder and go on from there.
 
     The table outlives any executor. It is columnar, so later steps read only
     the columns they need. Tables stay in the shared folder, whose owner
-    expires them.
+    expires them, unless :func:`discard` takes one away.
     """
     spark = df.sparkSession
-    path = fresh_folder(spark, "stage")
+    path = folder or fresh_folder(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a stage table that no later plan reads."""
+    root = checkpoint_root(spark).rstrip("/")
+    if not folder.startswith(f"{root}/"):
+        raise ValueError(f"{folder} is not below {root}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
