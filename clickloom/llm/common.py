@@ -48,3 +48,28 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     near = rows.join(listed, key)
     far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return near.unionByName(far)
+
+
+def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """The ``limit`` rows with the least hash of ``key``: the same rows in each run.
+
+    Meant for narrow rows; the result is small enough to broadcast.
+    """
+    return rows.orderBy(F.xxhash64(key), key).limit(limit)
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, limit: int,
+                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(text, label) of at most ``limit`` labelled documents.
+
+    Ids are drawn from the narrow label table first, so the texts of all other
+    documents are left where they are. Rows without id or label do not take
+    part; of several labels of one id the largest counts.
+    """
+    usable = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & may_learn)
+    drawn = bounded_sample(
+        usable.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__label")), "__id", limit
+    )
+    return docs.join(F.broadcast(drawn), F.col(doc_id) == F.col("__id")).select(
+        text_of(text).alias("text"), F.col("__label").alias("label")
+    )
