@@ -21,6 +21,7 @@ the named columns are read.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import small_batches, text_of
 
 SAMPLE = 12_000
-MAX_FEATURES = 20_000
+MAX_FEATURES = 4_000
 MIN_TEXTS = 4
 L2 = 3e-5
 SWAP = 1.0
@@ -91,8 +92,8 @@ class Rows:
 
     def __init__(self, rows: list[np.ndarray]):
         self.n = len(rows)
-        self.index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+        self.index = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.index], self.n) if self.n else np.zeros(0)
@@ -141,48 +142,56 @@ def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: flo
         max_features: int = MAX_FEATURES, min_texts: int = MIN_TEXTS) -> tuple[dict[str, float], float]:
     """(weights by feature, intercept)."""
     swaps = swap_table()
-    seen: set[tuple] = set()
-    bags, swapped, y = [], [], []
+    numbers: dict[str, int] = {}
+    of_word: dict[str, np.ndarray] = {}
+
+    def bag_of(words: Iterable[str]) -> np.ndarray:
+        """Sorted feature numbers: four bytes for each, whatever the length of its name."""
+        for word in words:
+            if word not in of_word:
+                found = [numbers.setdefault(f, len(numbers)) for f in features_of(word)]
+                of_word[word] = np.array(found, np.int32)
+        parts = [of_word[w] for w in words]
+        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
+
+    seen: set[tuple[bytes, int]] = set()
+    bags, named, y = [], [], []
     for text, label in zip(texts, labels, strict=True):
-        words = words_of(text)
-        bag = frozenset(f for w in words for f in features_of(w))
-        mark = (hash(bag), len(bag), label)
+        words = sorted(words_of(text))
+        bag = bag_of(words)
+        mark = (hashlib.blake2b(bag.tobytes(), digest_size=16).digest(), label)
         if mark in seen:
             continue
         seen.add(mark)
+        if not swaps.keys().isdisjoint(words):
+            named.append((bag, bag_of([swaps.get(w, w) for w in words])))
         bags.append(bag)
         y.append(float(label))
-        named = words & swaps.keys()
-        other = frozenset(f for w in words for f in features_of(swaps.get(w, w))) if named else None
-        swapped.append(other)
     if not bags:
         return {}, 0.0
     y = np.array(y)
     n, positive = len(y), y.sum()
-    counts: dict[str, list[int]] = {}
-    for bag, label in zip(bags, y, strict=True):
-        for f in bag:
-            c = counts.setdefault(f, [0, 0])
-            c[int(label)] += 1
+    negatives = n - positive
+    both = Rows(bags)
+    share_of = lambda mask, total: both.back(mask.astype(float), len(numbers)) / max(total, 1)
+    in_positive, in_negative = share_of(y == 1, positive), share_of(y == 0, negatives)
+    texts_with = both.back(np.ones(n), len(numbers))
     # Features that tell the classes apart best, by the normal score of a difference of shares.
-    scored = []
-    for f, (a, b) in counts.items():
-        if a + b >= min_texts:
-            share = (a + b) / n
-            spread = math.sqrt(share * (1 - share) * (1 / max(positive, 1) + 1 / max(n - positive, 1))) or 1.0
-            scored.append((-abs(b / max(positive, 1) - a / max(n - positive, 1)) / spread, f))
-    scored.sort()
-    names = [f for _, f in scored[:max_features]]
-    number = {f: i for i, f in enumerate(names)}
-    size = len(names)
-
-    def rows(bags_: Iterable) -> Rows:
-        # In the order of their numbers, so that sums are the same in each run.
-        return Rows([np.array(sorted(number[f] for f in bag if f in number), np.int64) for bag in bags_])
+    share = texts_with / n
+    spread = np.sqrt(share * (1 - share) * (1 / max(positive, 1) + 1 / max(negatives, 1)))
+    strength = np.abs(in_positive - in_negative) / np.where(spread > 0, spread, 1.0)
+    usable = np.flatnonzero(texts_with >= min_texts)
+    chosen = np.sort(usable[np.argsort(-strength[usable], kind="stable")[:max_features]])
+    size = len(chosen)
+    place = np.full(len(numbers), -1)
+    place[chosen] = np.arange(size)
+
+    def rows(bags_: Iterable[np.ndarray]) -> Rows:
+        return Rows([at[at >= 0] for at in (place[bag] for bag in bags_)])
 
     x = rows(bags)
-    pairs = [(bag, other) for bag, other in zip(bags, swapped, strict=True) if other is not None]
-    before, after = rows(a for a, _ in pairs), rows(b for _, b in pairs)
+    pairs = len(named)
+    before, after = rows(a for a, _ in named), rows(b for _, b in named)
 
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
         w, b = p[:-1], p[-1]
@@ -193,11 +202,12 @@ def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: flo
         if pairs:
             change = before.dot(w) - after.dot(w)
             value += swap / 2 * float(np.mean(change**2))
-            gradient[:-1] += swap / len(pairs) * (before.back(change, size) - after.back(change, size))
+            gradient[:-1] += swap / pairs * (before.back(change, size) - after.back(change, size))
         return value, gradient
 
     p = minimise(loss, np.append(np.zeros(size), math.log((positive + 0.5) / (n - positive + 0.5))))
-    return {f: float(w) for f, w in zip(names, p, strict=False) if abs(w) > 1e-3}, float(p[-1])
+    names = list(numbers)
+    return {names[i]: float(w) for i, w in zip(chosen, p, strict=False) if abs(w) > 1e-3}, float(p[-1])
 
 
 def fit_table(sample: DataFrame, **settings) -> tuple[dict[str, float], float]:
