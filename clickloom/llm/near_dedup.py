@@ -277,6 +277,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     return some.unionByName(none).withColumn("kept", kept)
 
 
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id",
+                         text: str = "text") -> DataFrame:
+    """The documents that stay, with their own columns. Documents without an id cannot be named and all stay."""
+    judged = near_duplicates(docs, width, percent, doc_id, text)
+    kept = judged.where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
+    named = docs.join(kept, F.col(doc_id).cast("long") == F.col("__kept"), "left_semi")
+    nameless = docs.where(F.col(doc_id).isNull())
+    return named.unionByName(nameless)
+
+
 def brute_components(ids: list[int], texts: list[str | None], width: int, percent: int) -> list[int]:
     """Component ids by comparing all pairs: the definition, for small tests."""
     sets = [shingle_set(t or "", width) for t in texts]
