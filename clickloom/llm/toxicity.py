@@ -1,7 +1,8 @@
 """Toxicity classifier, regularised by counterfactual identity swaps.
 
-Logistic regression over the presence of words and word beginnings (4 to 6
-letters, so inflected forms count). For each training text that names a group,
+Logistic regression over the presence of words and word beginnings (4 to 8
+letters, so inflected forms count), and of beginnings that two or more
+different words of the text share. For each training text that names a group,
 a counterfactual text is made in which every identity term is replaced by
 another one of its kind. The loss has a term for the squared change of the
 logit between the two, so that naming a group cannot carry weight by itself:
@@ -24,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -37,10 +39,14 @@ from clickloom.llm.common import small_batches, text_of
 SAMPLE = 12_000
 MAX_FEATURES = 4_000
 MIN_TEXTS = 4
-L2 = 3e-5
+# Normal score of the difference of a feature's shares among toxic and other texts.
+MIN_STRENGTH = 4.0
+L2 = 1e-4
 SWAP = 1.0
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 CACHE = 400_000
+# Ends the name of a feature that two or more words of a text have.
+MANY = "+"
 
 # Identity terms by kind; a swap stays within its line.
 IDENTITY_TERMS = tuple(line.split() for line in """
@@ -139,20 +145,27 @@ def minimise(loss: Callable, start: np.ndarray, steps: int = 150, memory: int =
 
 
 def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: float = L2,
-        max_features: int = MAX_FEATURES, min_texts: int = MIN_TEXTS) -> tuple[dict[str, float], float]:
+        max_features: int = MAX_FEATURES, min_texts: int = MIN_TEXTS,
+        min_strength: float = MIN_STRENGTH) -> tuple[dict[str, float], float]:
     """(weights by feature, intercept)."""
     swaps = swap_table()
     numbers: dict[str, int] = {}
     of_word: dict[str, np.ndarray] = {}
 
     def bag_of(words: Iterable[str]) -> np.ndarray:
-        """Sorted feature numbers: four bytes for each, whatever the length of its name."""
+        """Sorted feature numbers: four bytes for each, whatever the length of its name.
+
+        A name's number is even; the next one stands for two or more words that have it.
+        """
         for word in words:
             if word not in of_word:
                 found = [numbers.setdefault(f, len(numbers)) for f in features_of(word)]
                 of_word[word] = np.array(found, np.int32)
         parts = [of_word[w] for w in words]
-        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
+        if not parts:
+            return np.zeros(0, np.int32)
+        found, times = np.unique(np.concatenate(parts), return_counts=True)
+        return np.sort(np.concatenate([2 * found, 2 * found[times > 1] + 1]))
 
     seen: set[tuple[bytes, int]] = set()
     bags, named, y = [], [], []
@@ -173,17 +186,17 @@ def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: flo
     n, positive = len(y), y.sum()
     negatives = n - positive
     both = Rows(bags)
-    share_of = lambda mask, total: both.back(mask.astype(float), len(numbers)) / max(total, 1)
+    share_of = lambda mask, total: both.back(mask.astype(float), 2 * len(numbers)) / max(total, 1)
     in_positive, in_negative = share_of(y == 1, positive), share_of(y == 0, negatives)
-    texts_with = both.back(np.ones(n), len(numbers))
+    texts_with = both.back(np.ones(n), 2 * len(numbers))
     # Features that tell the classes apart best, by the normal score of a difference of shares.
     share = texts_with / n
     spread = np.sqrt(share * (1 - share) * (1 / max(positive, 1) + 1 / max(negatives, 1)))
     strength = np.abs(in_positive - in_negative) / np.where(spread > 0, spread, 1.0)
-    usable = np.flatnonzero(texts_with >= min_texts)
+    usable = np.flatnonzero((texts_with >= min_texts) & (strength >= min_strength))
     chosen = np.sort(usable[np.argsort(-strength[usable], kind="stable")[:max_features]])
     size = len(chosen)
-    place = np.full(len(numbers), -1)
+    place = np.full(2 * len(numbers), -1)
     place[chosen] = np.arange(size)
 
     def rows(bags_: Iterable[np.ndarray]) -> Rows:
@@ -207,7 +220,9 @@ def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: flo
 
     p = minimise(loss, np.append(np.zeros(size), math.log((positive + 0.5) / (n - positive + 0.5))))
     names = list(numbers)
-    return {names[i]: float(w) for i, w in zip(chosen, p, strict=False) if abs(w) > 1e-3}, float(p[-1])
+    return {
+        names[i // 2] + MANY * (i % 2): float(w) for i, w in zip(chosen.tolist(), p, strict=False) if abs(w) > 1e-3
+    }, float(p[-1])
 
 
 def fit_table(sample: DataFrame, **settings) -> tuple[dict[str, float], float]:
@@ -231,18 +246,22 @@ def fit_table(sample: DataFrame, **settings) -> tuple[dict[str, float], float]:
 def scorer(weights: dict[str, float], intercept: float) -> Callable[[str], float]:
     """Score of one text; words that were met are remembered, up to a bound."""
     cache: dict[str, tuple[str, ...]] = {}
+    names = {f.removesuffix(MANY) for f in weights}
 
     def score(text: str) -> float:
-        hits: set[str] = set()
+        hits: Counter[str] = Counter()
         for word in words_of(text):
             found = cache.get(word)
             if found is None:
                 if len(cache) >= CACHE:
                     cache.clear()
-                found = cache[word] = tuple(f for f in features_of(word) if f in weights)
+                found = cache[word] = tuple(f for f in features_of(word) if f in names)
             if found:
                 hits.update(found)
-        z = intercept + sum(weights[f] for f in sorted(hits))
+        # An exact sum: the order of the words has no say.
+        z = intercept + math.fsum(
+            weights.get(f, 0.0) + (weights.get(f + MANY, 0.0) if n > 1 else 0.0) for f, n in hits.items()
+        )
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
     return score
