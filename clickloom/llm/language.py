@@ -1,10 +1,10 @@
 """Language proportions of a text by expectation maximisation over n-gram likelihoods.
 
 The model holds, for each language, the log probabilities of letter trigrams
-(hashed to ``BUCKETS``), counted over a bounded number of labelled texts per
-language. The units of a text are its words: a word's likelihood under a
-language is the product over its trigrams, word borders included. Expectation
-maximisation gives the proportion of each language. The language set is found
+(hashed to ``BUCKETS``), counted over about ``SAMPLE_PER_LANGUAGE`` labelled texts
+of each language, however many there are. The units of a text are its words: a
+word's likelihood under a language is the product over its trigrams, word
+borders included. Expectation maximisation gives the proportion of each language. The language set is found
 by penalised likelihood: the languages are ranked by proportion, the mixture of
 the first k is fitted for k = 1, 2, ..., and the k with the greatest
 
@@ -31,7 +31,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import small_batches, text_of
@@ -100,15 +100,20 @@ def choose(words: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.
 
 def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """(languages, table of log probabilities) from at most ``per_language`` texts of each language."""
+    """(languages, table of log probabilities) from about ``per_language`` texts of each language.
+
+    A row is drawn by a hash of its id and text, at the rate that its language's
+    count asks for; so nothing is shuffled but the drawn rows.
+    """
     keyed = labelled.where(F.col(lang).isNotNull())
-    # The draw reads ids and languages only; texts move for drawn rows alone.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    drawn = keyed.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang")).withColumn("n", rank)
-    drawn = drawn.where(F.col("n") <= per_language).select("id", "lang").distinct()
-    sample = keyed.join(
-        drawn.withColumnRenamed("lang", "drawn"), F.col(doc_id).eqNullSafe(F.col("id")) & (F.col(lang) == F.col("drawn"))
-    ).select(F.col("drawn").alias("lang"), text_of(text).alias("text"))
+    counts = keyed.groupBy(F.col(lang).alias("lang")).count().collect()
+    rates = [x for name, n in counts for x in (F.lit(name), F.lit(per_language / n))]
+    if not rates:
+        return [], np.zeros((BUCKETS, 0), np.float32)
+    place = F.pmod(F.xxhash64(doc_id, text), F.lit(1 << 30)) / float(1 << 30)
+    sample = keyed.where(place < F.create_map(*rates)[F.col(lang)]).select(
+        F.col(lang).alias("lang"), text_of(text).alias("text")
+    )
 
     def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.float64)
@@ -128,8 +133,8 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, doc_id:
     for _, raw in rows:
         counts = np.frombuffer(bytes(raw), "<f8") + SMOOTHING
         columns.append(np.log(counts / counts.sum()))
-    table = np.column_stack(columns).astype(np.float32) if rows else np.zeros((BUCKETS, 0), np.float32)
-    return [name for name, _ in rows], table
+    table = np.column_stack(columns) if rows else np.zeros((BUCKETS, 0))
+    return [name for name, _ in rows], table.astype(np.float32)
 
 
 def identify(spark: SparkSession, text: str | Column, languages: list[str], table: np.ndarray) -> Column:
