@@ -14,9 +14,14 @@ DAY_FORMAT = "%Y-%m-%d"
 def epoch_minute(col: Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Text time -> minutes since the epoch, the text read as UTC; NULL when it does not parse.
 
-    The minutes come from the wall-clock parts, so the session zone has no say.
+    The text is cut to the length of the format, so fractions and other trailing
+    text do no harm. Its parts are read without a zone, so the session zone has
+    no say and no wall time is shifted.
     """
-    wall = F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+    plain = F.substring(col, 1, len(fmt))
+    # The pattern is tested first: the zone-free parser raises on other text.
+    shaped = F.try_to_timestamp(F.concat(plain, F.lit("+00:00")), F.lit(fmt + "xxx")).isNotNull()
+    wall = F.when(shaped, F.to_timestamp_ntz(plain, F.lit(fmt)))
     return _day_start(wall) + F.hour(wall) * 60 + F.minute(wall)
 
 
@@ -42,8 +47,12 @@ def hour_list(start: str, span: int) -> list[str]:
     return [(first + timedelta(hours=i)).strftime(HOUR_FORMAT) for i in range(span)]
 
 
+def hours_before(slot: str, hours: int) -> str:
+    return (datetime.strptime(slot, HOUR_FORMAT) - timedelta(hours=hours)).strftime(HOUR_FORMAT)
+
+
 def previous_hour(slot: str) -> str:
-    return (datetime.strptime(slot, HOUR_FORMAT) - timedelta(hours=1)).strftime(HOUR_FORMAT)
+    return hours_before(slot, 1)
 
 
 def previous_day(day: str) -> str:

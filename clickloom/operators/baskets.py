@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.dedupe import top_per_group
 from clickloom.operators.metrics import both_directions
-from clickloom.operators.skew import spread_join
 
 
 def bounded_baskets(df: DataFrame, basket: Sequence[str], item: str, low: int, high: int) -> DataFrame:
@@ -77,7 +76,7 @@ def neighbour_confidence(counts: DataFrame, support: DataFrame) -> DataFrame:
     """Pair count over the neighbour's support, for both directions."""
     directed = both_directions(counts, "item_a", "item_b", "n")
     table = support.select(F.col("item").alias("neighbour"), "support")
-    return spread_join(directed, table, ["neighbour"], "inner").select(
+    return directed.join(table, ["neighbour"], "inner").select(
         "node", "neighbour", "n", (F.col("n").cast("double") / F.col("support")).alias("confidence")
     )
 

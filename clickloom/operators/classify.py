@@ -11,10 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import blank_to_null, join_sorted
-from clickloom.operators.skew import spread_join
 
-# Landing markers, second-level and country labels of domain names.
-DISPLAY_LANDING = "ag_mid"
+# Second-level and country labels of domain names.
 SECOND_LEVEL = "com|net|org|gov|me|name|edu|info|tel|mobi|tv|cc|biz|asia|so|co"
 COUNTRY = "cn|hk|us|sg|jp|in|pw|am|ph|tj"
 REGISTRABLE = rf"([\w-]+(\.({SECOND_LEVEL}))?(\.({COUNTRY}))?)$"
@@ -178,7 +176,7 @@ def relabel_codes(df: DataFrame, key: str, names: DataFrame, code: str = "code",
     """Swap the key's last ``_`` part for its name; rows without a name are dropped."""
     unique = names.groupBy(F.col(code).alias("__code")).agg(F.min(name).alias("__name"))
     coded = df.withColumn("__code", F.substring_index(F.col(key), "_", -1))
-    joined = spread_join(coded, unique, ["__code"], "left")
+    joined = coded.join(unique, ["__code"], "left")
     label = F.when(F.col("__code") == keep, F.lit(keep)).otherwise(F.col("__name"))
     stem = F.substr(F.col(key), F.lit(1), F.length(key) - F.length("__code"))
     return joined.withColumn("__label", label).where(F.col("__label").isNotNull()).withColumn(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.text import blank_to_null
 from clickloom.operators.rendering import PART_ROWS, collect_parts
-from clickloom.operators.skew import spread_join
+from clickloom.session import cut_lineage
 
 
 def parse_counter_lines(lines: DataFrame) -> DataFrame:
@@ -39,13 +39,14 @@ def merge_counters(entries: DataFrame, drop_newest: bool = False) -> DataFrame:
     The scalars are the greatest present type and positive number of the id.
     ``drop_newest`` leaves out each id's newest time.
     """
+    entries = cut_lineage(entries)
     scalars = entries.groupBy("id").agg(
         F.coalesce(F.max(blank_to_null(F.col("send_type"))), F.lit("")).alias("send_type"),
         F.coalesce(F.max(F.when(F.col("send_num") > 0, F.col("send_num"))), F.lit(0)).alias("send_num"),
         F.max("time").alias("__newest"),
     )
     sends = entries.where(F.col("time").isNotNull()).groupBy("id", "time").agg(F.max("num").alias("num"))
-    merged = spread_join(sends, scalars, ["id"], "inner")
+    merged = sends.join(scalars, ["id"], "inner")
     if drop_newest:
         merged = merged.where(F.col("time") < F.col("__newest"))
     return merged.select("id", "send_type", "send_num", "time", "num")

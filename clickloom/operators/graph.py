@@ -9,78 +9,89 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.operators.skew import HOT_ROWS, spread_join
-from clickloom.session import cut_lineage
+from clickloom.session import cut_lineage, discard, fresh_folder
 
 
-def _attach(edges: DataFrame, minima: DataFrame, on: list[str], n_edges: int, hot_rows: int) -> DataFrame:
-    """Give each edge the minimum of its ``on`` node; salted once a node could be hot."""
-    table = minima.drop("n_rows")
-    if n_edges < hot_rows:
-        # No node can have more rows than there are edges.
-        return edges.join(table, on, "inner")
-    return spread_join(edges, table, on, "inner", counts=minima, hot_rows=hot_rows)
+def _attach(edges: DataFrame, minima: DataFrame, on: list[str]) -> DataFrame:
+    """Give each edge the minimum of its ``on`` node.
+
+    The minima are a stored table, so both sides are plain exchanges and
+    adaptive execution splits the edges of a hot node.
+    """
+    return edges.join(minima, on, "inner")
 
 
-def _large_star(edges: DataFrame, by: list[str], n_edges: int, hot_rows: int) -> DataFrame:
+def _large_star(edges: DataFrame, by: list[str], stage: _Stages) -> DataFrame:
     """Hang every larger neighbour of a node on the least node it knows."""
     # A node's own id takes part in its minimum.
     ends = F.array(F.col("lo"), F.col("hi"))
-    minima = edges.select(*by, F.explode(ends).alias("node"), "lo").groupBy(*by, "node").agg(
-        F.min("lo").alias("least"), F.count("*").alias("n_rows")
-    )
-    joined = _attach(edges.withColumnRenamed("lo", "node"), minima, [*by, "node"], n_edges, hot_rows)
+    minima = edges.select(*by, F.explode(ends).alias("node"), "lo").groupBy(*by, "node").agg(F.min("lo").alias("least"))
+    joined = _attach(edges.withColumnRenamed("lo", "node"), stage.store(minima), [*by, "node"])
     return joined.select(*by, F.col("least").alias("lo"), "hi")
 
 
-def _small_star(edges: DataFrame, by: list[str], n_edges: int, hot_rows: int) -> DataFrame:
+def _small_star(edges: DataFrame, by: list[str], stage: _Stages) -> DataFrame:
     """Hang a node and all its smaller neighbours on the least of them."""
-    minima = edges.groupBy(*by, "hi").agg(F.min("lo").alias("least"), F.count("*").alias("n_rows"))
-    joined = _attach(edges, minima, [*by, "hi"], n_edges, hot_rows)
+    minima = edges.groupBy(*by, "hi").agg(F.min("lo").alias("least"))
+    joined = _attach(edges, stage.store(minima), [*by, "hi"])
     least = F.col("least")
     # ``lo`` itself moves too; a pair of equal ends says nothing and is dropped.
     heads = F.when(F.col("lo") == least, F.array("hi")).otherwise(F.array("lo", "hi"))
     return joined.select(*by, least.alias("lo"), F.explode(heads).alias("hi")).distinct()
 
 
-def _fingerprint(edges: DataFrame, by: list[str]) -> tuple:
-    """One row whatever the size: edge count and order-free hashes of the edge set."""
-    code = F.xxhash64(*by, "lo", "hi")
-    row = edges.agg(
-        F.count("*").alias("n"),
-        F.bit_xor(code).alias("x"),
-        F.sum(code.cast("decimal(38,0)")).alias("s"),
-    ).first()
-    return tuple(row)
+class _Stages:
+    """Stored tables of the rounds; those of a round go once its result is stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
 
+    def store(self, df: DataFrame) -> DataFrame:
+        self.folders.append(fresh_folder(self.spark, "round"))
+        return cut_lineage(df, self.folders[-1])
 
-def connected_components(edges: DataFrame, by: Sequence[str] = (), src: str = "src", dst: str = "dst",
-                         hot_rows: int = HOT_ROWS) -> DataFrame:
+    def store_marked(self, edges: DataFrame, by: list[str]) -> tuple[DataFrame, tuple]:
+        """Store edges; their count and two order-free hashes are taken while they are written."""
+        code = F.xxhash64(*by, "lo", "hi")
+        seen = Observation()
+        watched = edges.observe(
+            seen, F.count(F.lit(1)).alias("n"), F.bit_xor(code).alias("x"),
+            F.sum(code.cast("decimal(38,0)")).alias("s"),
+        )
+        stored = self.store(watched)
+        return stored, tuple(seen.get[name] for name in ("n", "x", "s"))
+
+    def drop_all_but_last(self) -> None:
+        for folder in self.folders[:-1]:
+            discard(self.spark, folder)
+        self.folders = self.folders[-1:]
+
+
+def connected_components(edges: DataFrame, by: Sequence[str] = (), src: str = "src", dst: str = "dst") -> DataFrame:
     """(by..., node, component) for every node that has an edge.
 
     ``by`` names columns that separate independent graphs, for instance one per
-    hour; all graphs are solved in the same rounds. Each round is checkpointed
-    to the shared folder, and the loop ends when a round leaves the edge set
-    unchanged.
+    hour; all graphs are solved in the same rounds. Each round is stored in the
+    shared folder, the tables of the round before are deleted, and the loop ends
+    when a round leaves the edge set unchanged.
     """
     by = list(by)
     a, b = F.col("src"), F.col("dst")
     # Stored before any filter, so that hashed ids are not computed again.
     raw = cut_lineage(edges.select(*by, F.col(src).alias("src"), F.col(dst).alias("dst")).distinct())
     loops = raw.where(a == b).select(*by, a.alias("node"))
-    current = raw.where(a != b).select(*by, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct()
-    mark = _fingerprint(current, by)
+    stage = _Stages(raw.sparkSession)
+    current, mark = stage.store_marked(
+        raw.where(a != b).select(*by, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct(), by
+    )
     while mark[0]:
-        # Read twice by the next step; a lost block is computed again from ``current``.
-        large = _large_star(current, by, mark[0], hot_rows).persist(StorageLevel.MEMORY_AND_DISK)
-        following = cut_lineage(_small_star(large, by, mark[0], hot_rows))
-        large.unpersist()
-        new_mark = _fingerprint(following, by)
-        current = following
+        large = stage.store(_large_star(current, by, stage))
+        current, new_mark = stage.store_marked(_small_star(large, by, stage), by)
+        stage.drop_all_but_last()
         if new_mark == mark:
             break
         mark = new_mark

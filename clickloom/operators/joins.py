@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.text import none_marker
 from clickloom.operators.dedupe import earliest
 from clickloom.operators.rendering import text_parts
-from clickloom.operators.skew import spread_join
+from clickloom.session import cut_lineage
 
 TAG_SEPARATOR = "|~|"
 
@@ -54,7 +54,7 @@ def stitched_line(sep: str = "||") -> Column:
 
 def left_join_default(df: DataFrame, right: DataFrame, on: Sequence[str], value: str, default=0) -> DataFrame:
     """Left join to a per-key value, absent keys take the default."""
-    return spread_join(df, right, on, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
+    return df.join(right, list(on), "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
 def attach_component(vertices: DataFrame, components: DataFrame, by: Sequence[str] = (),
@@ -96,12 +96,11 @@ def resolve_users(rows: DataFrame, cookie_users: DataFrame, channel_users: DataF
     are left out.
     """
     usable = rows.where(F.col("channel_id").isNotNull() | F.col("agsid").isNotNull())
-    by_cookie = spread_join(usable, cookie_users.select("agsid", "uid"), ["agsid"], "left")
+    # Stored: both halves read the joined rows, and the second join starts from a plain scan.
+    by_cookie = cut_lineage(usable.join(cookie_users.select("agsid", "uid"), ["agsid"], "left"))
     resolved = by_cookie.where(F.col("uid").isNotNull()).select("uid", "tag")
     pending = by_cookie.where(F.col("uid").isNull()).select("channel", "channel_id", "tag")
-    by_channel = spread_join(
-        pending, channel_users.select("channel", "channel_id", "uid"), ["channel", "channel_id"], "inner"
-    )
+    by_channel = pending.join(channel_users.select("channel", "channel_id", "uid"), ["channel", "channel_id"])
     return resolved.unionByName(by_channel.select("uid", "tag"))
 
 
@@ -133,8 +132,8 @@ def dictionary_lookup(df: DataFrame, dictionary: DataFrame, key: str, dict_key:
     """
     table = dictionary.select(F.col(dict_key).alias(key), F.col(dict_value).alias("__value"))
     default = F.col(key) if fallback is None else fallback
-    return spread_join(df, table, [key], "left").withColumn(out, F.coalesce("__value", default)).drop("__value")
+    return df.join(table, [key], "left").withColumn(out, F.coalesce("__value", default)).drop("__value")
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    return spread_join(left, right, on, "inner")
+    return left.join(right, list(on), "inner")

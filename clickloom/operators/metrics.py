@@ -15,6 +15,7 @@ from clickloom.operators.classify import matches_campaign
 from clickloom.operators.joins import left_join_default
 from clickloom.operators.rendering import text_parts
 from clickloom.operators.skew import spread_join
+from clickloom.session import cut_lineage
 
 # Degree histogram, lower bound -> label.
 DEGREE_BUCKETS = (
@@ -119,10 +120,14 @@ def hits_per_user_ranking(df: DataFrame, slot: str, user: str, k: int = 100) ->
 def conflicting_ids(df: DataFrame, channel: str, guid: str, cookie: str, every: str = "allssp") -> DataFrame:
     """Distinct cookie ids per channel and overall: all, and those of users with several."""
     usable = df.where(F.col(channel).isNotNull() & F.col(cookie).isNotNull())
-    triples = usable.where(F.col(guid).isNotNull()).select(channel, guid, cookie).distinct()
-    several = triples.groupBy(channel, guid).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
-    wrong = spread_join(triples, several.select(channel, guid), [channel, guid], "left_semi", counts=several)
-    marked = usable.select(channel, cookie, F.lit("All").alias("kind")).unionByName(
+    # Stored: read three times, and much smaller than the log.
+    triples = cut_lineage(usable.select(channel, guid, cookie).distinct())
+    named = triples.where(F.col(guid).isNotNull())
+    several = cut_lineage(
+        named.groupBy(channel, guid).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
+    )
+    wrong = spread_join(named, several.select(channel, guid), [channel, guid], "left_semi", counts=several)
+    marked = triples.select(channel, cookie, F.lit("All").alias("kind")).unionByName(
         wrong.select(channel, cookie, F.lit("wrong").alias("kind"))
     )
     both = F.explode(F.array(F.col(channel), F.lit(every)))
@@ -183,20 +188,16 @@ def adjacency_lines(pairs: DataFrame, a: str, b: str, count: str, **options) ->
     return lists.select("node", "part", F.concat_ws(",", F.col("node").cast("string"), "list").alias("line"))
 
 
-def category_histogram(df: DataFrame, user: str, category: str, categories: Sequence[str]) -> DataFrame:
-    """``category:count`` text per user, sorted, for a fixed list of categories.
+def category_histogram(df: DataFrame, user: str, category: str) -> DataFrame:
+    """``category:count`` text per user, sorted, over every category that occurs.
 
-    One counter per category keeps the state per user bounded.
+    Rows are counted per user and category first, so a list holds one entry for
+    each distinct category of a user. Rows without a category do not count;
+    a user with no others has an empty text.
     """
-    names = sorted(categories)
-    counted = df.where(F.col(user).isNotNull()).groupBy(user).agg(
-        *[F.count_if(F.col(category) == n).alias(f"c_{i}") for i, n in enumerate(names)]
-    )
-    shown = [
-        F.when(F.col(f"c_{i}") > 0, F.concat(F.lit(f"{n}:"), F.col(f"c_{i}").cast("string")))
-        for i, n in enumerate(names)
-    ]
-    return counted.select(user, F.array_join(F.array_sort(F.array_compact(F.array(*shown))), " ").alias("histogram"))
+    counted = df.where(F.col(user).isNotNull()).groupBy(user, category).agg(F.count("*").alias("__n"))
+    shown = F.when(F.col(category).isNotNull(), F.concat_ws(":", F.col(category), F.col("__n").cast("string")))
+    return counted.groupBy(user).agg(F.array_join(F.array_sort(F.collect_list(shown)), " ").alias("histogram"))
 
 
 def day_overlap(df: DataFrame, day: str, user: str, base_day: str) -> DataFrame:

@@ -9,61 +9,56 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a single join task should see at most.
 HOT_ROWS = 1_000_000
-# Hard bound on the list of hot keys that is broadcast. Keys that are hot but
-# rank behind this bound stay correct: they join like any other key, and each
-# holds less than 1/MAX_HOT_KEYS of the rows.
-MAX_HOT_KEYS = 10_000
+# A key is hot only above 1/HOT_SHARE of all rows, so there are fewer hot keys than this.
+HOT_SHARE = 10_000
 
 _SALT = "__salt"
 _SALTS = "__salts"
 
 
-def hot_key_salts(counts: DataFrame, on: Sequence[str], n: str,
-                  hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
-    """At most ``max_hot`` keys, largest first, with the number of salts each needs."""
-    return (
-        counts.where(F.col(n) >= hot_rows)
-        .orderBy(F.desc(n), *on)
-        .limit(max_hot)
-        .select(*on, F.ceil(F.col(n) / hot_rows).cast("int").alias(_SALTS))
-    )
+def hot_key_salts(counts: DataFrame, on: Sequence[str], n: str, hot_rows: int = HOT_ROWS,
+                  hot_share: int = HOT_SHARE) -> DataFrame | None:
+    """Hot keys with the number of salts each needs, as a local table; None if no key is hot.
+
+    ``counts`` should be a stored table: its sum and then its hot keys are
+    read. The threshold rises with the rows, so the list is bounded by
+    construction and every key above that share is on it.
+    """
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    least = max(hot_rows, -(-total // hot_share))
+    hot = counts.where(F.col(n) > least).select(*on, F.ceil(F.col(n) / hot_rows).cast("int").alias(_SALTS))
+    rows = hot.collect()
+    return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                 counts: DataFrame | None = None, count_col: str = "n_rows",
-                hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
     """Equi-join whose left side may hold very many rows of a single key.
 
-    A key with ``n`` left rows is split over ``ceil(n / hot_rows)`` salts and
-    only that key's right rows are repeated, so at most ``rows / hot_rows``
-    right rows are added in total. ``counts`` may pass per-key left counts that
-    the caller already has; otherwise they come from one aggregation over the
-    key columns. Left rows with a NULL key match nothing and are spread too.
+    Without ``counts`` it is the plain join: where both sides come in
+    unshuffled, adaptive execution broadcasts a small side or splits a skewed
+    key. With the left rows per key in ``counts`` (a stored table), a key of
+    ``n`` rows is split over ``ceil(n / hot_rows)`` salts and only that key's
+    right rows are repeated, so at most ``rows / hot_rows`` of them are added.
 
-    The salt is the input partition's number: unlike a random or running
-    number it is the same when a lost task runs again.
+    The salt is a hash of the whole left row and its partition: it spreads a
+    left side that comes in one partition, and it is the same when a lost task
+    runs again.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if counts is None:
-        present = left
-        for key in on:
-            present = present.where(F.col(key).isNotNull())
-        counts = present.groupBy(*on).agg(F.count("*").alias(count_col))
-    hot = hot_key_salts(counts, on, count_col, hot_rows, max_hot)
-
-    some_null = F.lit(False)
-    for key in on:
-        some_null = some_null | F.col(key).isNull()
-    part = F.spark_partition_id()
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
-        _SALT,
-        F.when(some_null, part)
-        .when(F.col(_SALTS).isNotNull(), F.pmod(part, F.col(_SALTS)))
-        .otherwise(0),
+    hot = None if counts is None else hot_key_salts(counts, on, count_col, hot_rows, hot_share)
+    if hot is None:
+        return left.join(right, on, how)
+    hashable = [F.col(f.name) for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.xxhash64(*hashable, F.spark_partition_id())
+    listed = F.broadcast(hot)
+    salted_left = left.withColumn(_SALT, spread).join(listed, on, "left").withColumn(
+        _SALT, F.pmod(F.col(_SALT), F.coalesce(F.col(_SALTS), F.lit(1))).cast("int")
     ).drop(_SALTS)
-    salted_right = right.join(F.broadcast(hot), on, "left").withColumn(
+    salted_right = right.join(listed, on, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
     ).drop(_SALTS)
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
@@ -73,9 +68,9 @@ def drop_oversized(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Drop every group of ``limit`` rows or more.
 
     Only the keys of oversized groups are joined back, so the usual case is an
-    empty or tiny right side; rows of a huge group are spread over salts.
+    empty or tiny right side, which Spark broadcasts; the rows of a huge group
+    then stay where they are.
     """
     keys = list(keys)
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    oversized = sizes.where(F.col("n_rows") >= limit)
-    return spread_join(df, oversized.select(*keys), keys, "left_anti", counts=oversized)
+    return df.join(sizes.where(F.col("n_rows") >= limit).select(*keys), keys, "left_anti")

@@ -127,8 +127,8 @@ def merge_history(window: DataFrame, history: DataFrame | None, recent: int = RE
     records = cut_lineage(records)
 
     seen = uid_sightings(records)
-    roots = seen.groupBy("cid_hash").agg(F.min("uid").alias("root"), F.count("*").alias("n_rows")).where(
-        F.col("n_rows") > 1
+    roots = cut_lineage(
+        seen.groupBy("cid_hash").agg(F.min("uid").alias("root"), F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
     )
     # Star edges instead of all pairs: each uid of a shared cid to the least one.
     shared = cut_lineage(
@@ -138,7 +138,7 @@ def merge_history(window: DataFrame, history: DataFrame | None, recent: int = RE
     first_seen = shared.groupBy("uid").agg(F.min("minute").alias("minute"))
     components = connected_components(edges)
     members = components.select(F.col("node").alias("uid"), "component").join(first_seen, ["uid"], "inner")
-    oldest = oldest_per_group(members, "component", "uid", "minute")
+    oldest = cut_lineage(oldest_per_group(members, "component", "uid", "minute"))
     plausible = oldest.where(F.col("n_rows") < group_limit)
     changes = spread_join(members, plausible.select("component", "oldest"), ["component"], "inner", counts=oldest)
     changes = changes.select(F.col("uid").alias("old_uid"), F.col("oldest").alias("new_uid"), "minute")
@@ -152,7 +152,7 @@ def real_changes(changes: DataFrame) -> DataFrame:
 def remap_uids(records: DataFrame, changes: DataFrame) -> DataFrame:
     """Records under their new uid. The change table is joined, never collected."""
     table = real_changes(changes).select(F.col("old_uid").alias("uid"), "new_uid")
-    joined = spread_join(records, table, ["uid"], "left")
+    joined = records.join(table, ["uid"], "left")
     return joined.withColumn("uid", F.coalesce("new_uid", "uid")).drop("new_uid").select(*records.columns)
 
 
@@ -203,7 +203,7 @@ def change_audit(changes: DataFrame, added: DataFrame) -> DataFrame:
     table = real_changes(changes).select(
         F.col("old_uid").alias("uid"), "new_uid", F.col("minute").alias("change_minute")
     )
-    return spread_join(added, table, ["uid"], "inner")
+    return added.join(table, ["uid"], "inner")
 
 
 def slot_rows(window: DataFrame, changes: DataFrame) -> DataFrame:

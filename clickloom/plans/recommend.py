@@ -69,7 +69,3 @@ def confidence_lines(ranked: DataFrame) -> DataFrame:
     lists = ranked_lists(ranked, ["node"], F.col("neighbour"), "ids")
     return lists.select(F.concat_ws(",", F.col("node").cast("string"), "ids").alias("line"))
 
-
-def saved_columns(keys: Sequence[str] = ()) -> list[str]:
-    """Columns of a saved pair-count table."""
-    return [*keys, "item_a", "item_b", "n"]

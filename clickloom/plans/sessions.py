@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.rendering import text_parts
-from clickloom.operators.skew import spread_join
+from clickloom.session import cut_lineage
 
 # Address parts of checkout-like pages.
 CHECKOUT_WORDS = ("/shopCart", "/cart", "/pay")
@@ -23,14 +23,16 @@ def session_summary(views: DataFrame, user: str, url: str, product: Column, name
     ``products`` lists the distinct products that have a name.
     """
     weight = sum((F.col(url).contains(w).cast("int") for w in words), F.lit(0))
-    marked = views.where(F.col(user).isNotNull()).select(user, weight.alias("w"), product.alias("__product"))
+    # Stored: the totals and the product lists both read it.
+    marked = cut_lineage(
+        views.where(F.col(user).isNotNull()).select(user, weight.alias("w"), product.alias("__product"))
+    )
     totals = marked.groupBy(user).agg(F.count("*").alias("hits"), F.sum("w").alias("weight")).where(
         F.col("hits") >= min_hits
     )
     seen = marked.where(F.col("__product").isNotNull()).select(user, "__product").distinct()
-    named = spread_join(
-        seen, names.select(F.col(product_col).alias("__product"), F.col(name_col).alias("__name")),
-        ["__product"], "inner",
+    named = seen.join(
+        names.select(F.col(product_col).alias("__product"), F.col(name_col).alias("__name")), ["__product"], "inner"
     )
     text = F.concat_ws("|", F.col("__product").cast("string"), "__name")
     lists = text_parts(named, [user], text, ";", out="products", **options)

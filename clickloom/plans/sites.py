@@ -15,6 +15,7 @@ from clickloom.operators.graph import connected_components
 from clickloom.operators.metrics import both_directions
 from clickloom.operators.rendering import text_parts
 from clickloom.operators.skew import spread_join
+from clickloom.session import cut_lineage
 
 
 def site_pairs(visits: DataFrame, user: str, site: str, low: int = 2, high: int = 24,
@@ -30,13 +31,13 @@ def scored_neighbours(pairs: DataFrame, min_weight: int = 30, min_degree: int =
     The score uses the neighbour's own total and degree; a neighbour that is
     not such a node scores zero.
     """
-    strong = both_directions(
+    strong = cut_lineage(both_directions(
         pairs.groupBy("item_a", "item_b").agg(F.sum("n").alias("n")).where(F.col("n") > min_weight),
         "item_a", "item_b", "n",
-    )
-    nodes = strong.groupBy("node").agg(F.sum("n").alias("total"), F.count("*").alias("n_rows")).where(
+    ))
+    nodes = cut_lineage(strong.groupBy("node").agg(F.sum("n").alias("total"), F.count("*").alias("n_rows")).where(
         F.col("n_rows") > min_degree
-    )
+    ))
     kept = spread_join(strong, nodes.select("node"), ["node"], "left_semi", counts=nodes)
     # Every pair stands in ``strong`` both ways, so a node has as many rows as
     # neighbour as it has as node.

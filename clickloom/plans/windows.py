@@ -1,17 +1,20 @@
-"""Driver of consecutive identity windows over tables in one folder."""
+"""Driver of consecutive identity windows: log tables in, tables in one folder out."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.functions.hashing import compact_id_encode
-from clickloom.functions.times import hour_list, previous_day, previous_hour, slot_minute
+from clickloom.functions.times import hour_list, hours_before, previous_day, previous_hour, slot_minute
 from clickloom.plans import channels, identity
 from clickloom.session import cut_lineage
+from clickloom.sources.logs import scan_hours
 from clickloom.sources.sinks import COOKIE_KIND, hourly_kinds, write_hourly
 
 
@@ -40,21 +43,28 @@ class WindowPaths:
         return f"{self.root}/merged/{kind}/{day}"
 
 
-def _read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+def _stored(spark: SparkSession, path: str, may_lack: bool) -> DataFrame | None:
+    """A table of an earlier run. It may be missing only where nothing can have written it yet."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(target) else None
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return spark.read.parquet(path)
+    if may_lack:
+        return None
+    raise FileNotFoundError(f"{path} is missing; pass first_run=True only if there is no earlier run")
 
 
-def previous_index(spark: SparkSession, paths: WindowPaths, hours: list[str], last: str) -> DataFrame | None:
+def previous_index(spark: SparkSession, paths: WindowPaths, hours: list[str], last: str,
+                   first_run: bool = False) -> DataFrame | None:
     """History to merge into: the day's base table after a last hour 23, else the last window's index."""
     if last.endswith("-23"):
-        base = _read_if_any(spark, paths.daily_base(hours[0][:10]))
+        base = _stored(spark, paths.daily_base(hours[0][:10]), first_run)
         return None if base is None else identity.history_from_daily_base(base)
-    return _read_if_any(spark, paths.history(last))
+    return _stored(spark, paths.history(last), first_run)
 
 
-def run_hourly(pairs: DataFrame, paths: WindowPaths, hours: list[str]) -> None:
+def run_hourly(spark: SparkSession, log_paths: Sequence[str], paths: WindowPaths, hours: list[str]) -> None:
+    """Resolve the hours' id-pair lines; only their directories and row groups of the log tables are read."""
+    pairs = identity.pairs_from_lines(scan_hours(spark, log_paths, hours))
     slotted = pairs.where(identity.slot_of(F.col("time")).isin(*hours))
     identity.identity_map(slotted).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
@@ -62,11 +72,12 @@ def run_hourly(pairs: DataFrame, paths: WindowPaths, hours: list[str]) -> None:
 
 
 def run_window(spark: SparkSession, paths: WindowPaths, hours: list[str], last: str,
-               recent: int = schemas.RECENT_PER_GROUP, group_limit: int = schemas.GROUP_SIZE_LIMIT) -> None:
+               recent: int = schemas.RECENT_PER_GROUP, group_limit: int = schemas.GROUP_SIZE_LIMIT,
+               first_run: bool = False) -> None:
     """Merge one window and write its outputs below its last hour."""
     slot, start, minutes = hours[-1], slot_minute(hours[0]), 60 * len(hours)
     window = spark.read.parquet(paths.hourly()).where(F.col("slot").isin(*hours))
-    merge = identity.merge_history(window, previous_index(spark, paths, hours, last), recent, group_limit)
+    merge = identity.merge_history(window, previous_index(spark, paths, hours, last, first_run), recent, group_limit)
     changes = cut_lineage(merge.changes)
     index = cut_lineage(identity.remap_uids(merge.merged, changes))
     added = identity.window_records(index, start, minutes)
@@ -91,49 +102,64 @@ def _next_day(slot: str) -> str:
     return hour_list(slot, 2)[-1][:10]
 
 
-def run_daily_merge(spark: SparkSession, paths: WindowPaths, day: str, change_slots: list[str]) -> None:
-    """Merge the day's channel and cookie ids; ``change_slots`` are the day's window ends."""
-    parts = []
-    for slot in change_slots:
-        table = _read_if_any(spark, paths.output(slot, "delete"))
-        if table is not None:
-            parts.append(table.select(
-                F.col("old_code").alias("old_uid"), F.col("new_code").alias("new_uid"), F.lit(slot[-2:]).alias("hour")
-            ))
-    log = parts[0]
-    for more in parts[1:]:
-        log = log.unionByName(more)
-    changes = cut_lineage(channels.day_changes(log))
+def day_window_ends(last_slot: str, hour_span: int, start: str | None = None) -> list[str]:
+    """Ends of the windows that ended on the day of ``last_slot``, back to ``start`` if that is given."""
+    ends, at = [], last_slot
+    while at[:10] == last_slot[:10] and (start is None or at >= start):
+        ends.append(at)
+        at = hours_before(at, hour_span)
+    return ends[::-1]
+
+
+def run_daily_merge(spark: SparkSession, paths: WindowPaths, day: str, change_slots: list[str],
+                    first_run: bool = False) -> None:
+    """Merge the day's channel and cookie ids; ``change_slots`` are the ends of the day's windows."""
+    if not change_slots:
+        raise ValueError(f"no window ended on {day}")
+    parts = [
+        _stored(spark, paths.output(slot, "delete"), False).select(
+            F.col("old_code").alias("old_uid"), F.col("new_code").alias("new_uid"), F.lit(slot[-2:]).alias("hour")
+        )
+        for slot in change_slots
+    ]
+    changes = cut_lineage(channels.day_changes(reduce(DataFrame.unionByName, parts)))
     today = spark.read.parquet(paths.idmap()).where(F.col("slot").startswith(day))
     cookies = today.where(F.col("kind") == COOKIE_KIND)
     ids = today.where(F.col("kind") != COOKIE_KIND)
-    history = _read_if_any(spark, paths.channel_history("channel", previous_day(day)))
+    history = _stored(spark, paths.channel_history("channel", previous_day(day)), first_run)
     channels.merge_channels(ids, history, changes, day).write.mode("overwrite").parquet(
         paths.channel_history("channel", day)
     )
     channels.merge_cookies(cookies, changes).write.mode("overwrite").parquet(paths.channel_history("agsid", day))
 
 
-def run_windows(spark: SparkSession, pairs: DataFrame, root: str, start: str, hour_span: int, run_count: int,
-                last: str | None = None, do_hourly: bool = True, do_merge: bool = True, **limits) -> list[str]:
-    """Run consecutive windows and return the slot each one was saved under.
+def run_windows(spark: SparkSession, log_paths: Sequence[str], root: str, start: str, hour_span: int, run_count: int,
+                last: str | None = None, do_hourly: bool = True, do_merge: bool = True, first_run: bool = False,
+                **limits) -> list[str]:
+    """Run consecutive windows over log tables and return the slot each one was saved under.
 
-    After a window that ends at hour 23 the daily channel merge follows, over
-    the windows of that day which end at the merge hours.
+    A missing history raises, unless ``first_run`` says that there is none: then
+    the first window starts without an index, and the first daily merge without
+    a channel history. After a window that ends at hour 23 the daily merge
+    follows, over all windows that ended on that day. A span of more than a day
+    has its channel history under the days its windows end on.
     """
     paths = WindowPaths(root.rstrip("/"))
     saved: list[str] = []
     every = hour_list(start, hour_span * run_count)
+    merged_days = 0
     for run in range(run_count):
         hours = every[run * hour_span:(run + 1) * hour_span]
         before = last if run == 0 and last else previous_hour(hours[0])
         if do_hourly:
-            run_hourly(pairs, paths, hours)
+            run_hourly(spark, log_paths, paths, hours)
         if do_merge:
-            run_window(spark, paths, hours, before, **limits)
+            run_window(spark, paths, hours, before, first_run=first_run and run == 0, **limits)
             if hours[-1].endswith("-23"):
-                day = hours[-1][:10]
-                slots = [f"{day}-{h}" for h in schemas.DAILY_MERGE_HOURS]
-                run_daily_merge(spark, paths, day, slots)
+                slots = day_window_ends(hours[-1], hour_span, start if first_run else None)
+                # Yesterday has a history unless its last window is not part of this chain.
+                begins = first_run and (merged_days == 0 or hour_span > 24)
+                run_daily_merge(spark, paths, hours[-1][:10], slots, first_run=begins)
+                merged_days += 1
         saved.append(hours[-1])
     return saved

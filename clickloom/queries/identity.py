@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.functions import compact_id_encode, epoch_minute, md5_signed64
-from clickloom.functions.times import slot_minute
+from clickloom.functions.times import hour_key, slot_minute
 from clickloom.operators.graph import connected_components
 from clickloom.operators.loglines import load_page_views, load_show
 from clickloom.plans import channels, extraction, identity, windows
 from clickloom.queries.registry import (
     SQL_K, SQL_TS, prop_k, query, sql_code, sql_components, sql_md5, sql_minute, text, ts_text,
 )
-from clickloom.session import fresh_folder
+from clickloom.session import cut_lineage, fresh_folder
+from clickloom.sources.logs import write_log_table
 from clickloom.sources.sinks import hourly_kinds
 
 
@@ -36,8 +37,9 @@ _PAIRS_SQL = """
       FROM lineitem
       UNION ALL SELECT o_orderdate, 'o' || o_orderkey, NULL FROM orders)"""
 
-_MAP_SQL = f"""{_PAIRS_SQL},
-    quads AS (SELECT strftime(ts, '%Y') AS slot, id1, id2, max(ts) AS ts FROM pairs GROUP BY 1, 2, 3),
+def _map_sql(pairs, slot):
+    return f"""{pairs},
+    quads AS (SELECT strftime(ts, '{slot}') AS slot, id1, id2, max(ts) AS ts FROM pairs GROUP BY 1, 2, 3),
     ends AS (SELECT slot, ts, id1 AS cid, 1 AS id_type FROM quads
              UNION ALL SELECT slot, ts, id2, 2 FROM quads WHERE id2 IS NOT NULL),
     verts AS (SELECT slot, {sql_md5('cid')} AS cid_hash, cid, id_type, max(ts) AS ts, count(*) AS num
@@ -49,6 +51,9 @@ _MAP_SQL = f"""{_PAIRS_SQL},
               FROM verts v LEFT JOIN edges_cc c ON v.slot = c.slot AND v.cid_hash = c.node)"""
 
 
+_MAP_SQL = _map_sql(_PAIRS_SQL, "%Y")
+
+
 @query("connected_components", f"""
 WITH RECURSIVE {_PAIRS_SQL},
 edges AS (SELECT DISTINCT {sql_md5('id1')} AS src, {sql_md5('id2')} AS dst FROM pairs WHERE id2 IS NOT NULL),
@@ -70,8 +75,6 @@ _CUT = "1999"
 
 def _window_and_history(t):
     """Slots from the cut year on, and the merged records of the years before."""
-    from clickloom.session import cut_lineage
-
     rows = cut_lineage(identity.identity_map(_id_pairs(t), slot_chars=4))
     return rows.where(F.col("slot") >= _CUT), identity.merge_records(rows.where(F.col("slot") < _CUT))
 
@@ -155,14 +158,23 @@ def _(t):
 
 
 @query("identity_change_audit", f"""
-WITH RECURSIVE {_MERGE_SQL}
-SELECT m.cid, m.uid, c.new_uid, c.minute AS change_minute FROM merged m JOIN real_changes c ON c.old_uid = m.uid""")
+WITH RECURSIVE {_MERGE_SQL},
+audited AS (SELECT 'before' AS taken, cid, uid FROM merged WHERE minute >= {_START} AND minute < {_START + _MINUTES}
+         UNION ALL SELECT 'after', cid, uid FROM added)
+SELECT taken, cid, uid, c.new_uid, c.minute AS change_minute FROM audited JOIN real_changes c ON c.old_uid = uid""")
 def _(t):
+    """The window's records against the changes, before and after the remap.
+
+    After it hardly any record stands under a changed uid; before it, all that change do.
+    """
     window, history = _window_and_history(t)
     merge = identity.merge_history(window, history)
-    # Audited before the remap: afterwards no record stands under a changed uid.
-    audit = identity.change_audit(merge.changes, merge.merged)
-    return audit.select("cid", "uid", "new_uid", "change_minute")
+    changes, merged = cut_lineage(merge.changes), cut_lineage(merge.merged)
+    parts = []
+    for name, records in (("before", merged), ("after", identity.remap_uids(merged, changes))):
+        audit = identity.change_audit(changes, identity.window_records(records, _START, _MINUTES))
+        parts.append(audit.select(F.lit(name).alias("taken"), "cid", "uid", "new_uid", "change_minute"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("identity_hourly_rows", f"""
@@ -185,7 +197,7 @@ def _channel_rows(t):
 
 def _uid_changes(t):
     hour = F.element_at(F.array(F.lit("07"), F.lit("15"), F.lit("23")), (F.col("l_linenumber") % 3 + 1).cast("int"))
-    return t.lineitem.where("l_returnflag = 'R'").select(
+    return t.lineitem.select(
         F.concat(F.lit("o"), text("l_orderkey")).alias("old_uid"),
         F.concat(F.lit("n"), text("l_suppkey")).alias("new_uid"), hour.alias("hour"))
 
@@ -194,7 +206,7 @@ _CHANNEL_SQL = f"""
 WITH rows AS (SELECT 'c' || o_custkey AS cid, 'o' || o_orderkey AS uid, CAST(o_orderkey % 3 + 2 AS INTEGER) AS id_type,
                      {sql_minute('o_orderdate')} AS minute, o_orderstatus FROM orders),
 log AS (SELECT 'o' || l_orderkey AS old_uid, 'n' || l_suppkey AS new_uid, ['07', '15', '23'][l_linenumber % 3 + 1] AS hour
-        FROM lineitem WHERE l_returnflag = 'R'),
+        FROM lineitem),
 ch AS (SELECT old_uid, arg_max(new_uid, (hour, new_uid)) AS new_uid FROM log GROUP BY 1)"""
 
 _FLOOR = slot_minute("2001-08-02-00") - 1500 * 1440
@@ -264,12 +276,59 @@ def _(t):
     return extraction.all_pairs(display, visits)
 
 
-@query("identity_windows")
+_EVENT_PAIRS_SQL = f"""
+    pairs AS (SELECT ts, 'u' || user_id AS id1, 'k' || {SQL_K} || '-' || strftime(ts, '%Y%m%d') AS id2 FROM events)"""
+
+
+def _windows_sql(count):
+    """The windows one after the other, each merged into the index of the one before."""
+    parts = [_map_sql(_EVENT_PAIRS_SQL, "%Y-%m-%d-%H"), """
+    bounds AS (SELECT CAST(floor(epoch(min(ts)) / 3600) AS BIGINT) AS first,
+                      CAST(floor(epoch(max(ts)) / 3600) AS BIGINT) AS last FROM events),
+    spans AS (SELECT first, (last - first) // {count} + 1 AS span FROM bounds),
+    placed AS (SELECT i.*, (i.minute // 60 - first) // span AS w FROM idmap i, spans)""".replace("{count}", str(count))]
+    none = "SELECT cid_hash, uid, cid, id_type, minute, CAST(num AS BIGINT) AS num FROM idmap WHERE false"
+    for k in range(count):
+        before = none if k == 0 else f"SELECT * FROM idx{k - 1}"
+        parts.append(f"""
+    recs{k} AS (SELECT cid_hash, uid, cid, id_type, minute, num FROM (
+                  SELECT *, row_number() OVER (PARTITION BY uid, id_type ORDER BY minute DESC, cid DESC) AS rn
+                  FROM placed WHERE w = {k}) WHERE rn <= 50 UNION ALL {before}),
+    merged{k} AS (SELECT cid_hash, arg_min(uid, (minute, uid)) AS uid, max(cid) AS cid, max(id_type) AS id_type,
+                         max(minute) AS minute, CAST(sum(num) AS BIGINT) AS num FROM recs{k} GROUP BY 1),
+    seen{k} AS (SELECT cid_hash, uid, min(minute) AS minute FROM recs{k} GROUP BY 1, 2),
+    roots{k} AS (SELECT cid_hash, min(uid) AS root FROM seen{k} GROUP BY 1 HAVING count(*) > 1),
+    shared{k} AS (SELECT s.*, r.root FROM seen{k} s JOIN roots{k} r USING (cid_hash)),
+    stars{k} AS (SELECT DISTINCT root AS src, uid AS dst FROM shared{k} WHERE root <> uid),
+    {sql_components(f"stars{k}")},
+    firsts{k} AS (SELECT uid, min(minute) AS minute FROM shared{k} GROUP BY 1),
+    members{k} AS (SELECT c.node AS uid, c.component, f.minute FROM stars{k}_cc c JOIN firsts{k} f ON f.uid = c.node),
+    oldest{k} AS (SELECT component, arg_min(uid, (minute, uid)) AS new_uid FROM members{k} GROUP BY 1 HAVING count(*) < 5000),
+    changes{k} AS (SELECT m.uid AS old_uid, o.new_uid FROM members{k} m JOIN oldest{k} o USING (component)
+                   WHERE m.uid <> o.new_uid),
+    idx{k} AS (SELECT cid_hash, coalesce(c.new_uid, m.uid) AS uid, cid, id_type, m.minute, num
+               FROM merged{k} m LEFT JOIN changes{k} c ON c.old_uid = m.uid),
+    out{k} AS (SELECT slot, cid, coalesce(c.new_uid, p.uid) AS u, id_type, minute
+               FROM placed p LEFT JOIN changes{k} c ON c.old_uid = p.uid WHERE w = {k})""")
+    rows = " UNION ALL ".join(f"SELECT * FROM out{k}" for k in range(count))
+    return f"""WITH RECURSIVE {",".join(parts)}
+SELECT slot, cid, {sql_code('u')} AS uid, id_type, minute, CASE id_type WHEN 1 THEN 'agsid' ELSE 'channelid' END AS kind
+FROM ({rows})"""
+
+
+@query("identity_windows", _windows_sql(3))
 def _(t):
-    """Three windows of ten days over all events, driven end to end."""
-    pairs = t.events.select(
-        ts_text().alias("time"), F.concat(F.lit("u"), text("user_id")).alias("id1"), F.lit("1").alias("id1_type"),
-        F.concat(F.lit("k"), prop_k(), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("id2"), F.lit("2").alias("id2_type"))
+    """Three windows over all events, from two log tables, driven end to end."""
+    line = F.concat_ws(
+        "\t", ts_text(), F.concat(F.lit("u"), text("user_id")), F.lit("1"),
+        F.concat(F.lit("k"), prop_k(), F.lit("-"), F.date_format("ts", "yyyyMMdd")), F.lit("2"))
     root = fresh_folder(t.spark, "windows")
-    windows.run_windows(t.spark, pairs, root, "2024-01-01-00", 240, 3)
+    paths = [f"{root}/log-{name}" for name in ("even", "odd")]
+    for i, path in enumerate(paths):
+        write_log_table(t.events.where(F.col("event_id") % 2 == i).select(
+            F.lit("pairs").alias("log_type"), F.lit("all").alias("channel"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
+            hour_key(F.col("ts")).alias("hour"), line.alias("value")), path)
+    first, last = t.events.agg(F.date_trunc("hour", F.min("ts")), F.date_trunc("hour", F.max("ts"))).first()
+    span = int((last - first).total_seconds() // 3600) // 3 + 1
+    windows.run_windows(t.spark, paths, root, f"{first:%Y-%m-%d-%H}", span, 3, first_run=True)
     return t.spark.read.parquet(windows.WindowPaths(root).idmap())

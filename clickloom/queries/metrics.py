@@ -178,11 +178,13 @@ def _(t):
 
 
 @query("category_histogram", """
-WITH c AS (SELECT user_id, event_type || ':' || count(*) AS v FROM events GROUP BY user_id, event_type)
-SELECT user_id, string_agg(v, ' ' ORDER BY v) AS histogram FROM c GROUP BY 1""")
+WITH e AS (SELECT user_id, CASE WHEN value < 0.5 THEN NULL ELSE event_type || CAST(user_id % 7 AS VARCHAR) END AS kind FROM events),
+c AS (SELECT user_id, kind || ':' || count(*) AS v FROM e GROUP BY user_id, kind)
+SELECT user_id, coalesce(string_agg(v, ' ' ORDER BY v), '') AS histogram FROM c GROUP BY 1""")
 def _(t):
-    kinds = ["click", "error", "purchase", "signup", "view"]
-    return metrics.category_histogram(t.events, "user_id", "event_type", kinds)
+    """Categories that no list names, some of them missing."""
+    kind = F.when(F.col("value") >= 0.5, F.concat("event_type", (F.col("user_id") % 7).cast("string")))
+    return metrics.category_histogram(t.events.withColumn("kind", kind), "user_id", "kind")
 
 
 def _state_entries(t):

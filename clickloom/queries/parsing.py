@@ -280,27 +280,31 @@ def _(t):
     return classify.channel_ids(rows).select("event_id", "channel", "channel_id")
 
 
-# User agents whose version numbers come from the table, with what is in them.
+# Invented user agents whose version numbers come from the table, with what is in them as SQL:
+# browser, browser version, kernel, kernel version, system, system version, hardware.
+_K = SQL_K
 _AGENTS = (
-    ("Mozilla/5.0 (Windows NT 6.1; WOW64) AppleWebKit/535.12 (KHTML, like Gecko) Chrome/{k}.0.966 Safari/535.12",
-     "Chrome", "Windows 7"),
-    ("Mozilla/4.0 (compatible; MSIE {k}.0; Windows NT 5.1; SV1)", "MSIE", "Windows XP"),
-    ("UCWEB/2.0 (Linux; U; Adr {k}.3.6; zh-CN; MI 2) U2/1.0.0 Mobile", "UCWEB", "Android"),
-    ("Mozilla/5.0 (Windows NT 6.3; Trident/7.0; rv:{k}.0) like Gecko", "MSIE", "Windows 8"),
-    ("Mozilla/5.0 (iPad; U; CPU OS 4_3 like Mac OS X; zh-cn) AppleWebKit/5 (KHTML, like Gecko) Safari/{k}.4",
-     "Safari", "Mac OS X"),
-    ("curl/{k}", "", ""),
+    ("Fox/1.0 (Windows NT 6.1; x9) AppleWebKit/41.7 (like Gecko) Chrome/{k}.0.1 Safari/41.7",
+     "'Chrome'", _K, "'Gecko'", "''", "'Windows 7'", "'6.1'", "''"),
+    ("Sample/4 (compatible; MSIE {k}.0; Windows NT 5.1)", "'MSIE'", _K, "''", "''", "'Windows XP'", "'5.1'", "''"),
+    ("UCWEB/2.4 (Linux; U; Adr {k}.7.6; xx; pad Q9) end",
+     "'UCWEB'", "'2'", "''", "''", "'Android'", f"{_K} || '.7'", "'pad Q9'"),
+    ("Sample/5 (Windows NT 6.3; Trident/9.1; rv:{k}.2) like Gecko",
+     "'MSIE'", _K, "'Gecko'", "''", "'Windows 8'", "'6.3'", "''"),
+    ("Sample/6 (xx; Mac OS X (desk; OS 7_2) Presto/{k}.5 Safari/{k}.4",
+     "'Safari'", _K, "'Presto'", f"{_K} || '.5'", "'Mac OS X'", "'7_2'", "'desk'"),
+    ("curl/{k}", "''", "''", "''", "''", "''", "''", "''"),
 )
 
 
+def _sql_agent(i):
+    return f"[{', '.join(a[i] for a in _AGENTS)}][event_id % {len(_AGENTS)} + 1]"
+
+
 @query("user_agent_columns", f"""
-SELECT event_id, {[a[1] for a in _AGENTS]}[event_id % {len(_AGENTS)} + 1] AS browser,
-       {[a[2] for a in _AGENTS]}[event_id % {len(_AGENTS)} + 1] AS os,
-       CASE event_id % {len(_AGENTS)} WHEN 2 THEN '2' WHEN 5 THEN '' ELSE {SQL_K} END AS browser_version,
-       ['6.1', '5.1', {SQL_K} || '.3', '6.3', '', ''][event_id % {len(_AGENTS)} + 1] AS os_version
-FROM events""")
+SELECT event_id, {", ".join(f"{_sql_agent(i + 1)} AS {c}" for i, c in enumerate(useragent.UA_COLUMNS))} FROM events""")
 def _(t):
-    return useragent.with_user_agent(_agents(t)).select("event_id", "browser", "os", "browser_version", "os_version")
+    return useragent.with_user_agent(_agents(t)).select("event_id", *useragent.UA_COLUMNS)
 
 
 def _agents(t):
@@ -310,8 +314,7 @@ def _agents(t):
 
 
 @query("user_agent_report", f"""
-SELECT {[a[1] for a in _AGENTS]}[event_id % {len(_AGENTS)} + 1] AS browser,
-       {[a[2] for a in _AGENTS]}[event_id % {len(_AGENTS)} + 1] AS os, count(DISTINCT user_id) AS users, count(*) AS hits
+SELECT {_sql_agent(1)} AS browser, {_sql_agent(5)} AS os, count(DISTINCT user_id) AS users, count(*) AS hits
 FROM events GROUP BY 1, 2""")
 def _(t):
     return useragent.browser_report(_agents(t), "ua", "user_id")

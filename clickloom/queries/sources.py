@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,26 +43,56 @@ def _written(t, value, log_type, channel=None):
     return path
 
 
+def _hours(t):
+    """Every hour from the first to the last event."""
+    first, last = t.events.agg(F.min("ts"), F.max("ts")).first()
+    return hour_list(f"{first:%Y-%m-%d-%H}", int((last - first).total_seconds() // 3600) + 2)
+
+
+def _days(t):
+    return sorted({hour[:10] for hour in _hours(t)})
+
+
 def _display_value():
     return F.concat(ts_text(), F.lit("|~|Log: a=1||guid="), prop_k(), F.lit("||agsid=s"), text("user_id"))
 
 
+def _all_of(parts):
+    return reduce(DataFrame.unionByName, parts)
+
+
+_CHANNELS = ("adx", "baidu", "tanx")
+
+
 @query("scan_display_log", f"""
 SELECT {_SQL_TYPE} AS log_type, {_SQL_CHANNEL} AS channel, {SQL_DAY} AS day, count(DISTINCT user_id) AS users, count(*) AS hits
-FROM events WHERE event_type IN ('view', 'click', 'signup') GROUP BY 1, 2, 3""")
+FROM events GROUP BY 1, 2, 3""")
 def _(t):
+    """Every type and channel, each by its own pruned scan."""
     path = _written(t, _display_value(), _log_type())
-    lines = logs.scan_log(t.spark, path, log_types=["show", "tt", "cm"], channels=["adx", "baidu", "tanx"])
+    days = _days(t)
+    lines = _all_of(logs.scan_display(t.spark, path, kind, ch, days) for kind in logs.DISPLAY_TYPES for ch in _CHANNELS)
     return uv_pv(loglines.load_show(lines, ("guid", "agsid")), ["log_type", "channel", "day"], "agsid")
 
 
+@query("scan_display_hours", f"""
+SELECT {_SQL_CHANNEL} AS channel, {SQL_HOUR} AS hour, count(DISTINCT user_id) AS users, count(*) AS hits
+FROM events WHERE event_type = 'click' AND hour(ts) BETWEEN 8 AND 11 GROUP BY 1, 2""")
+def _(t):
+    """Four hours of each day: the hour list prunes days and row groups."""
+    path = _written(t, _display_value(), _log_type())
+    hours = [f"{day}-{hour:02d}" for day in _days(t) for hour in range(8, 12)]
+    lines = _all_of(logs.scan_display(t.spark, path, "tt", ch, hours) for ch in _CHANNELS)
+    return uv_pv(loglines.load_show(lines, ("guid", "agsid")), ["channel", "hour"], "agsid")
+
+
 @query("scan_page_view_log", f"""
 SELECT CASE WHEN event_type = 'view' THEN 'pv' ELSE 'track' END AS log_type, {SQL_HOUR} AS hour,
        count(DISTINCT user_id) AS users, count(*) AS hits FROM events GROUP BY 1, 2""")
 def _(t):
     value = F.concat(ts_text(), F.lit("\t1.1.1.1\ts"), text("user_id"), F.lit("\tt\thttp://x.test/\tq=1\tUA"))
     path = _written(t, value, F.when(F.col("event_type") == "view", "pv").otherwise("track"), F.lit("all"))
-    days = sorted({hour[:10] for hour in hour_list("2024-01-01-00", 30 * 24)})
+    days = _days(t)
     both = logs.scan_page_views(t.spark, path, "pv", days).unionByName(
         logs.scan_page_views(t.spark, path, "tracking", days))
     return uv_pv(loglines.load_page_views(both, ("agsid", "url")), ["log_type", "hour"], "agsid")
@@ -69,19 +102,16 @@ def _(t):
 SELECT CASE WHEN event_type = 'view' THEN 'all' ELSE 'inc' END AS log_type, {_SQL_CHANNEL} AS channel, 'u' || user_id AS aguid,
        'c_' || {SQL_K} AS item, strftime(ts, '%y%m%d') AS day_seen, count(*) AS n FROM events GROUP BY 1, 2, 3, 4, 5""")
 def _(t):
-    value = F.concat(F.lit('{"tags":["R_C_16_HDT_c_'), prop_k(), F.lit("@"), F.date_format("ts", "yyMMddHH"),
+    value = F.concat(F.lit('{"tags":["SEEN_c_'), prop_k(), F.lit("@"), F.date_format("ts", "yyMMddHH"),
                      F.lit('","M"],"aguid":"u'), text("user_id"), F.lit('"}'))
     path = _written(t, value, F.when(F.col("event_type") == "view", "all").otherwise("inc"))
-    parts = []
+    parts, days = [], _days(t)
     for kind in logs.TAG_TYPES:
-        for channel in ("adx", "baidu", "tanx"):
-            lines = logs.scan_log(t.spark, path, [kind], [channel])
-            items = loglines.unpack_tag_export(lines, "R_C_16_HDT_")
+        for channel in _CHANNELS:
+            lines = logs.scan_tag_export(t.spark, path, kind, channel, days)
+            items = loglines.unpack_tag_export(lines, "SEEN_")
             parts.append(items.withColumn("log_type", F.lit(kind)).withColumn("channel", F.lit(channel)))
-    everything = parts[0]
-    for more in parts[1:]:
-        everything = everything.unionByName(more)
-    return everything.groupBy("log_type", "channel", "aguid", "item", F.col("day").alias("day_seen")).agg(
+    return _all_of(parts).groupBy("log_type", "channel", "aguid", "item", F.col("day").alias("day_seen")).agg(
         F.count("*").alias("n"))
 
 
@@ -93,7 +123,7 @@ def _(t):
         F.col("event_type") == "signup", "3").otherwise("7")
     value = F.concat_ws("\t", send, F.concat(F.lit("c"), prop_k()), text("user_id"), F.lit("T"), ts_text())
     path = _written(t, value, F.lit(logs.REALTIME_TYPE), F.lit("all"))
-    lines = logs.scan_log(t.spark, path, [logs.REALTIME_TYPE])
+    lines = logs.scan_realtime_tags(t.spark, path, _days(t))
     fields = F.split("value", "\t", -1)
     rows = lines.select(F.get(fields, F.lit(0)).alias("send_type"), F.get(fields, F.lit(1)).alias("channel_id"))
     return channel_ids(rows.drop("channel")).groupBy("channel", "channel_id").agg(F.count("*").alias("n"))
@@ -102,11 +132,11 @@ def _(t):
 @query("scan_hour_range", f"""
 SELECT {SQL_HOUR} AS hour, count(*) AS n FROM events GROUP BY 1""")
 def _(t):
-    """All hours of the month as one explicit list, from two source folders."""
+    """All hours of the table as one explicit list, from two source folders."""
     first = _written(t, _display_value(), F.lit("show"))
     second = fresh_folder(t.spark, "logs")
     logs.write_log_table(logs.scan_log(t.spark, first, channels=["tanx"]), second)
-    hours = hour_list("2024-01-01-00", 30 * 24)
+    hours = _hours(t)
     lines = logs.scan_hours(t.spark, [first], hours, channels=["adx", "baidu"]).unionByName(
         logs.scan_hours(t.spark, [second], hours))
     return lines.groupBy("hour").agg(F.count("*").alias("n"))
@@ -172,7 +202,7 @@ SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, tr
 def _(t):
     source, target = fresh_folder(t.spark, "loose"), fresh_folder(t.spark, "compact")
     t.orders.select("o_orderkey", "o_orderstatus").repartition(8, "o_orderkey").write.partitionBy("o_orderstatus").parquet(source)
-    sinks.compact(t.spark, source, target, ["o_orderstatus"], 2)
+    sinks.compact(t.spark, source, target, ["o_orderstatus"])
     table = t.spark.read.parquet(target).withColumn("file", F.input_file_name())
     files = table.groupBy("o_orderstatus", "file").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
     return files.groupBy("o_orderstatus").agg(

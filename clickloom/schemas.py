@@ -59,4 +59,3 @@ RECENT_PER_GROUP = 50
 GROUP_SIZE_LIMIT = 5000
 WINDOW_MINUTES = 480
 CHANNEL_HISTORY_DAYS = 15
-DAILY_MERGE_HOURS = ("07", "15", "23")

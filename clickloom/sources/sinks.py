@@ -51,20 +51,16 @@ def write_hourly(df: DataFrame, path: str, slot: str = "hour", kind: str = "kind
     )
 
 
-def compact(spark: SparkSession, source: str, target: str, keys: Sequence[str], files_per_key: int = 1) -> None:
-    """Rewrite a partitioned table into ``files_per_key`` files per partition value.
+def compact(spark: SparkSession, source: str, target: str, keys: Sequence[str]) -> None:
+    """Rewrite a partitioned table into files of the advisory partition size.
 
-    The spread column is a hash of whole rows, so one large partition is
-    written by several tasks.
+    The rebalance hint gathers the small files of a partition value and lets
+    Spark split a large one over several tasks.
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compaction must not write the path it reads")
-    table = spark.read.parquet(source)
-    spread = F.pmod(F.xxhash64(*table.columns), F.lit(files_per_key))
     (
-        table.withColumn("__spread", spread)
-        .repartition(*keys, "__spread")
-        .drop("__spread")
+        spark.read.parquet(source).hint("rebalance", *[F.col(k) for k in keys])
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys).parquet(target)
     )

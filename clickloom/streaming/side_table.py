@@ -5,9 +5,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.operators.skew import spread_join
 from clickloom.sources.snapshots import newest_snapshot
 
 log = logging.getLogger(__name__)
@@ -38,7 +38,8 @@ class RefreshingTable:
             newest = newest_snapshot(self.spark, self.folder, self.prefix)
             if newest != self.path and (self.path is None or self._usable(newest)):
                 self.path = newest
-        except Exception as error:  # a broken snapshot must not stop the stream
+        except (AnalysisException, FileNotFoundError, PySparkException) as error:
+            # A snapshot that cannot be read must not stop the stream.
             log.warning("keeping %s: %s", self.path, error)
         if self.path is None:
             raise FileNotFoundError(f"no snapshot {self.prefix}* in {self.folder}")
@@ -54,7 +55,7 @@ def run_with_side_table(stream: DataFrame, side: RefreshingTable, on: Sequence[s
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        joined = spread_join(batch, side.current(), on, how)
+        joined = batch.join(side.current(), list(on), how)
         joined.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     query = (

@@ -5,12 +5,14 @@ import random
 import struct
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 from test_graph import union_find
 
 from clickloom.functions.hashing import CODE_DIGITS
 from clickloom.functions.times import hour_list, slot_minute
 from clickloom.plans import channels, identity, windows
+from clickloom.sources import logs
 
 
 def signed(text):
@@ -92,10 +94,40 @@ def make_pairs(seed=3):
     return rows
 
 
+def write_pairs(spark, pairs, folder):
+    """The pairs as a log table of tab-separated lines."""
+    rows = [("pairs", "all", p[0][:10], p[0][:13].replace(" ", "-"), "\t".join(p)) for p in pairs]
+    logs.write_log_table(spark.createDataFrame(rows, "log_type string, channel string, day string, hour string, value string"),
+                         folder + "/log")
+    return folder + "/log"
+
+
+def test_missing_tables_raise_and_short_windows_all_count(spark, folder):
+    log = write_pairs(spark, make_pairs(), folder)
+    saved = windows.run_windows(spark, [log], folder, "2024-01-01-16", 4, 4, first_run=True, recent=3, group_limit=3)
+    assert saved == ["2024-01-01-19", "2024-01-01-23", "2024-01-02-03", "2024-01-02-07"]
+    assert windows.day_window_ends("2024-01-02-23", 4) == [f"2024-01-02-{h:02d}" for h in (3, 7, 11, 15, 19, 23)]
+    assert windows.day_window_ends("2024-01-01-23", 4, "2024-01-01-16") == saved[:2]
+    paths = windows.WindowPaths(folder)
+    # All windows of the day feed its merge: taking one away is noticed.
+    with pytest.raises(FileNotFoundError):
+        windows.run_daily_merge(spark, paths, "2024-01-01", ["2024-01-01-15", *saved[:2]], first_run=True)
+    with pytest.raises(FileNotFoundError):
+        windows.run_daily_merge(spark, paths, "2024-01-01", saved[:2])
+    with pytest.raises(FileNotFoundError):
+        windows.run_windows(spark, [log], folder, "2024-01-05-00", 4, 1)
+    # Going on from what is there needs no flag, and reads the hours' directories only.
+    windows.run_windows(spark, [log], folder, "2024-01-02-08", 4, 1, last="2024-01-02-07")
+    plan = logs.scan_hours(spark, [log], ["2024-01-01-16"])._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-01" in plan[plan.index("PartitionFilters"):] and "PushedFilters: [IsNotNull(hour)" in plan
+
+
 def test_windows_against_plain_python(spark, folder):
     pairs = make_pairs()
-    df = spark.createDataFrame(pairs, "time string, id1 string, id1_type string, id2 string, id2_type string")
-    saved = windows.run_windows(spark, df, folder, "2024-01-01-16", 8, 2, recent=3, group_limit=3)
+    log = write_pairs(spark, pairs, folder)
+    with pytest.raises(FileNotFoundError):
+        windows.run_windows(spark, [log], folder, "2024-01-01-16", 8, 1, recent=3, group_limit=3)
+    saved = windows.run_windows(spark, [log], folder, "2024-01-01-16", 8, 2, first_run=True, recent=3, group_limit=3)
     assert saved == ["2024-01-01-23", "2024-01-02-07"]
     paths = windows.WindowPaths(folder)
     slots = hourly(pairs)

@@ -13,22 +13,44 @@ def sides(spark):
     return left, right
 
 
+def key_counts(left):
+    return left.groupBy("k").agg(F.count("*").alias("n_rows")).where("k is not null")
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows,max_hot", [(10, 100), (10, 1), (1_000_000, 100)])
-def test_spread_join_equals_plain_join(sides, how, hot_rows, max_hot):
+@pytest.mark.parametrize("hot_rows,hot_share", [(10, 10_000), (10, 2), (1_000_000, 10_000), (None, None)])
+def test_spread_join_equals_plain_join(sides, how, hot_rows, hot_share):
     left, right = sides
-    got = skew.spread_join(left, right, ["k"], how, hot_rows=hot_rows, max_hot=max_hot)
+    options = {} if hot_rows is None else {"counts": key_counts(left), "hot_rows": hot_rows, "hot_share": hot_share}
+    got = skew.spread_join(left, right, ["k"], how, **options)
     want = left.join(right, ["k"], how)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_hot_keys_are_salted_and_bounded(sides):
+def test_hot_keys_are_all_listed_above_the_threshold(sides):
     left, _ = sides
-    counts = left.groupBy("k").agg(F.count("*").alias("n_rows")).where("k is not null")
-    rows = skew.hot_key_salts(counts, ["k"], "n_rows", hot_rows=10, max_hot=1).collect()
-    n = left.where("k = 7").count()
-    assert [(r.k, r["__salts"]) for r in rows] == [(7, -(-n // 10))]
+    counts = key_counts(left)
+    rows = {r.k: r["__salts"] for r in skew.hot_key_salts(counts, ["k"], "n_rows", hot_rows=10).collect()}
+    sizes = {r.k: r.n_rows for r in counts.collect()}
+    assert rows == {k: -(-n // 10) for k, n in sizes.items() if n > 10}
+    # At most 1/hot_share of the rows each: fewer than hot_share keys, whatever the data.
+    few = skew.hot_key_salts(counts, ["k"], "n_rows", hot_rows=1, hot_share=3).collect()
+    assert [r.k for r in few] == [k for k, n in sizes.items() if n > sum(sizes.values()) / 3]
+    assert skew.hot_key_salts(counts, ["k"], "n_rows", hot_rows=10_000) is None
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_a_hot_key_uses_all_its_salts(spark, partitions):
+    left = spark.range(0, 1_000, 1, partitions).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    right = spark.createDataFrame([(1, "a")], "k int, w string")
+    counts = left.groupBy("k").agg(F.count("*").alias("n_rows"))
+    joined = skew.spread_join(left, right, ["k"], "left", counts=counts, hot_rows=100)
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "__salt" in plan and joined.count() == 1_000
+    spread = F.pmod(F.xxhash64("k", "v", F.spark_partition_id()), F.lit(10))
+    per_salt = [r["count"] for r in left.groupBy(spread.alias("s")).count().collect()]
+    assert len(per_salt) == 10 and max(per_salt) < 160
 
 
 def test_size_guard_boundary(spark):
@@ -38,21 +60,28 @@ def test_size_guard_boundary(spark):
     assert [(r.g, r["count"]) for r in kept] == [("below", 4999)]
 
 
-def test_parts_keep_every_value(spark):
-    # One group of many distinct values, one pile of copies, one small group.
+@pytest.mark.parametrize("descending", [False, True])
+def test_parts_follow_the_whole_order(spark, descending):
+    # One group of many distinct values, one pile of copies, one small group, one without a key.
     rows = spark.range(1000).select(F.lit("many").alias("g"), F.col("id").cast("string").alias("v")).unionByName(
         spark.range(500).select(F.lit("copies").alias("g"), F.lit("same").alias("v"))).unionByName(
+        spark.range(120).select(F.lit(None).cast("string").alias("g"), F.col("id").cast("string").alias("v"))).unionByName(
         spark.createDataFrame([("small", "b"), ("small", "a"), ("small", "b")], "g string, v string"))
-    parts = rendering.collect_parts(rows, ["g"], F.col("v"), part_rows=50).collect()
+    parts = rendering.collect_parts(rows, ["g"], F.col("v"), descending=descending, part_rows=50).collect()
     gathered = {}
-    for row in parts:
-        assert row["values"] == sorted(row["values"])
+    for row in sorted(parts, key=lambda r: (str(r.g), r.part)):
         gathered.setdefault(row.g, []).append(row["values"])
-    assert sorted(sum(gathered["many"], [])) == sorted(str(i) for i in range(1000))
-    assert sum(gathered["copies"], []) == ["same"] * 500
-    assert max(len(p) for p in gathered["copies"]) <= 50 * 5 and len(gathered["copies"]) > 2
-    assert max(len(p) for p in gathered["many"]) < 120
-    assert gathered["small"] == [["a", "b", "b"]]
+    want = {
+        "many": [str(i) for i in range(1000)], "copies": ["same"] * 500, "small": ["a", "b", "b"],
+        None: [str(i) for i in range(120)],
+    }
+    assert {g: sum(p, []) for g, p in gathered.items()} == {g: sorted(v, reverse=descending) for g, v in want.items()}
+    for pieces in gathered.values():
+        assert all(len(p) == 50 for p in pieces[:-1]) and 0 < len(pieces[-1]) <= 50
+    numbers = {}
+    for row in parts:
+        numbers.setdefault(row.g, set()).add(row.part)
+    assert all(n == set(range(len(n))) for n in numbers.values())
 
 
 def test_huge_basket_is_dropped_before_pairs(spark):
