@@ -1,17 +1,11 @@
 """op3: pack all documents into sequences of at most 1,024 tokens."""
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from clickloom.llm import packing
+from clickloom.llm.production import TOKENIZER
 from clickloom.llm.queries.registry import register
 
-TOKENIZER = {
-    "tokenizer": public_tokenizers.path("byte_bpe_50k.json"),
-    "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
-    "pattern": public_tokenizers.PATTERN,
-}
-
 
 @register("op3_best_fit_packing")
 def op3_best_fit_packing(spark, sf_dir):

@@ -3,26 +3,13 @@
 from pyspark.sql import functions as F
 
 from clickloom.llm import toxicity
-from clickloom.llm.common import crc_of, labelled_texts
+from clickloom.llm.production import TOXIC, held_out, toxicity_model
 from clickloom.llm.queries.registry import register
 
-THRESHOLD = 0.3
-
-
-def held_out():
-    return F.pmod(crc_of(), F.lit(4)) == 2
-
-
-def model(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.fit_table(labelled_texts(docs, labels, "toxic", ~held_out(), toxicity.SAMPLE))
-
 
 @register("op4_toxicity")
 def op4_toxicity(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scored = docs.select(
-        "doc_id", held_out().alias("held_out"), toxicity.toxicity("text", *model(spark, sf_dir)).alias("score")
-    )
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    score = toxicity.toxicity("text", *toxicity_model(spark, sf_dir))
+    scored = docs.select("doc_id", held_out().alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))

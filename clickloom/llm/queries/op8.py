@@ -4,11 +4,9 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import quality
 from clickloom.llm.common import labelled_texts
-from clickloom.llm.queries.op4 import held_out
+from clickloom.llm.production import GOOD, held_out
 from clickloom.llm.queries.registry import register
 
-THRESHOLD = 0.7
-
 
 @register("op8_quality")
 def op8_quality(spark, sf_dir):
@@ -19,4 +17,4 @@ def op8_quality(spark, sf_dir):
     scored = stats.select(
         "doc_id", held_out().alias("held_out"), quality.compile_rules(rules, intercept).alias("score")
     )
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))

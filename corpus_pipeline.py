@@ -9,8 +9,7 @@ predecessor's table.
 from __future__ import annotations
 
 from clickloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity
-from clickloom.llm.queries.op3 import TOKENIZER
-from clickloom.llm.queries.op4 import THRESHOLD, model
+from clickloom.llm.production import TOKENIZER, TOXIC, toxicity_model
 from clickloom.session import fresh_folder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +17,8 @@ from pyspark.sql import functions as F
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity stays below the threshold (4)."""
-    score = toxicity.toxicity("text", *model(spark, sf_dir))
-    return docs.withColumn("__score", score).where(F.col("__score") < THRESHOLD).select(*docs.columns)
+    score = toxicity.toxicity("text", *toxicity_model(spark, sf_dir))
+    return docs.withColumn("__score", score).where(F.col("__score") < TOXIC).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

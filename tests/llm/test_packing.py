@@ -7,7 +7,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from clickloom.llm import packing
-from clickloom.llm.queries.op3 import TOKENIZER
+from clickloom.llm.production import TOKENIZER
 
 
 def test_pieces_are_whole_and_sequences_gapless(spark):
