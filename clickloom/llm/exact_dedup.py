@@ -218,8 +218,9 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "*", F.col(doc_id).cast("long").alias("__doc"), digest(whole).alias("__text_digest"),
         F.length(whole).cast("long").alias("__length"),
     )
+    # Kept rows are about as many as rows: shuffled at every size, never broadcast.
     matched = keyed.join(
-        kept, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_digest") == F.col("__digest"))
+        kept.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_digest") == F.col("__digest"))
         & (F.col("__length") == F.col("__points")),
     )
     # Rows alike in all three are copies of one another: the join has brought them together.

@@ -222,9 +222,10 @@ def _verify(members: DataFrame, docs: DataFrame, width: int, percent: int, doc_i
                 guests.append(guest)
         yield from close()
 
-    # One row per node: rows of one id are one document, of which the set that bands were made of counts.
+    # Rows of one id are one document: each of its texts takes part. The texts are the large side and
+    # members grow with them, so both are always shuffled; the plan is the same at every size.
     texts = docs.select(F.col(doc_id).cast("long").alias("node"), text_of(text).alias("text"))
-    rows = members.join(texts, "node").select("pivot", "block", "node", "guest", "text")
+    rows = members.join(texts.hint("merge"), "node").select("pivot", "block", "node", "guest", "text")
     dealt = rows.repartition("pivot", "block").sortWithinPartitions("pivot", "block", F.col("node") != F.col("pivot"))
     return dealt.mapInArrow(walk, _LINKS)
 
@@ -282,7 +283,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc
     """The documents that stay, with their own columns. Documents without an id cannot be named and all stay."""
     judged = near_duplicates(docs, width, percent, doc_id, text)
     kept = judged.where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept, F.col(doc_id).cast("long") == F.col("__kept"), "left_semi")
+    named = docs.join(kept.hint("merge"), F.col(doc_id).cast("long") == F.col("__kept"), "left_semi")
     nameless = docs.where(F.col(doc_id).isNull())
     return named.unionByName(nameless)
 
