@@ -18,8 +18,6 @@ have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -118,10 +116,6 @@ def _words(digests: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(digests.to_pylist()), "<u8").reshape(-1, 4)
 
 
-def _column(table: pa.Table, name: str) -> np.ndarray:
-    return np.array(table.column(name).to_pylist(), dtype=object)
-
-
 def _index_bucket(table: pa.Table) -> pa.Table:
     words = _words(table.column("digest"))
     sizes, bits, slots = build_hash(words)
@@ -226,12 +220,3 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # Rows alike in all three are copies of one another: the join has brought them together.
     once = Window.partitionBy("__doc", "__text_digest", "__length").orderBy("__length")
     return matched.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)
-
-
-def iterate_digests(texts: list[str]) -> Iterator[bytes]:
-    """The same digest for plain strings, for callers outside a table."""
-    import hashlib
-
-    drop = dict.fromkeys(map(ord, SPACE))
-    for text in texts:
-        yield hashlib.sha256(text.translate(drop).encode()).digest()

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import join_groups, small_batches, text_of
-from clickloom.llm.shingles import band_keys, overlap, set_digest, shingle_set, signature
+from clickloom.llm.shingles import band_keys, set_digest, shingle_set, signature
 from clickloom.operators.graph import connected_components
 from clickloom.session import cut_lineage
 
@@ -286,19 +286,3 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc
     named = docs.join(kept.hint("merge"), F.col(doc_id).cast("long") == F.col("__kept"), "left_semi")
     nameless = docs.where(F.col(doc_id).isNull())
     return named.unionByName(nameless)
-
-
-def brute_components(ids: list[int], texts: list[str | None], width: int, percent: int) -> list[int]:
-    """Component ids by comparing all pairs: the definition, for small tests."""
-    sets = [shingle_set(t or "", width) for t in texts]
-    parts = Parts(len(ids))
-    for i in range(len(ids)):
-        for j in range(i):
-            shared = overlap(sets[i], sets[j])
-            if shared and 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
-                parts.join(i, j)
-    least: dict[int, int] = {}
-    for i, doc in enumerate(ids):
-        root = parts.find(i)
-        least[root] = min(doc, least.get(root, doc))
-    return [least[parts.find(i)] for i in range(len(ids))]

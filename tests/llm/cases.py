@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+from clickloom.llm.near_dedup import Parts
+from clickloom.llm.shingles import overlap, shingle_set
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, row int, node int, pivot int"
 
 
@@ -28,3 +31,19 @@ def edge_rows() -> list[tuple]:
 
 def edge_docs(spark, empty: bool = False):
     return spark.createDataFrame([] if empty else edge_rows(), SCHEMA)
+
+
+def brute_components(ids: list[int], texts: list[str | None], width: int, percent: int) -> list[int]:
+    """Component ids by comparing all pairs: the definition, for small tests."""
+    sets = [shingle_set(t or "", width) for t in texts]
+    parts = Parts(len(ids))
+    for i in range(len(ids)):
+        for j in range(i):
+            shared = overlap(sets[i], sets[j])
+            if shared and 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
+                parts.join(i, j)
+    least: dict[int, int] = {}
+    for i, doc in enumerate(ids):
+        root = parts.find(i)
+        least[root] = min(doc, least.get(root, doc))
+    return [least[parts.find(i)] for i in range(len(ids))]

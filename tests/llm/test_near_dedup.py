@@ -57,7 +57,7 @@ def test_components_against_all_pairs(spark, width, percent, block):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in near_dedup.near_duplicates(docs, width, percent, block_shingles=block).collect()}
     ids = [i for i, _ in rows]
-    expected = near_dedup.brute_components(ids, [t for _, t in rows], width, percent)
+    expected = cases.brute_components(ids, [t for _, t in rows], width, percent)
     assert {i: got[i].component_id for i in ids} == dict(zip(ids, expected, strict=True))
     assert len(set(expected)) < len(ids) - 10
     for i, t in rows:

@@ -1,11 +1,11 @@
 """Corpus queries against their SQL, and the pipeline against a plain model of its stages."""
 
+import cases
 import oracle
 import pytest
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from clickloom.llm import near_dedup
 from clickloom.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -41,7 +41,7 @@ def test_stages_keep_what_they_should(spark, tmp_path):
     assert len(ids(whole) - ids(clean) - toxic) <= 2
     squeezed = lambda t: "".join((t or "").split())
     assert len(single) == len({squeezed(r.text) for r in clean})
-    expected = set(near_dedup.brute_components([r.doc_id for r in single], [r.text for r in single], 5, 80))
+    expected = set(cases.brute_components([r.doc_id for r in single], [r.text for r in single], 5, 80))
     assert ids(distinct) == expected
     assert ids(mixed) <= ids(distinct) and len(mixed) > len(distinct)
     assert ids(packed) == ids(mixed) and sum(r.piece == 0 for r in packed) == len(mixed)
