@@ -164,10 +164,12 @@ def id_type_combinations(df: DataFrame, uid: str = "uid", id_type: str = "id_typ
 
 
 def both_directions(pairs: DataFrame, a: str, b: str, *carry: str) -> DataFrame:
-    """(node, neighbour, ...) for both ends of each pair."""
-    forward = pairs.select(F.col(a).alias("node"), F.col(b).alias("neighbour"), *carry)
-    back = pairs.select(F.col(b).alias("node"), F.col(a).alias("neighbour"), *carry)
-    return forward.unionByName(back)
+    """(node, neighbour, ...) for both ends of each pair, in one read."""
+    ends = F.array(
+        F.struct(F.col(a).alias("node"), F.col(b).alias("neighbour")),
+        F.struct(F.col(b).alias("node"), F.col(a).alias("neighbour")),
+    )
+    return pairs.select(F.inline(ends), *carry)
 
 
 def degree_histogram(pairs: DataFrame, a: str, b: str) -> DataFrame:

@@ -11,6 +11,7 @@ from clickloom.operators.graph import connected_components
 from clickloom.operators.joins import dictionary_lookup
 from clickloom.functions.hashing import md5_signed64
 from clickloom.schemas import CHANNEL_HISTORY_DAYS
+from clickloom.session import cut_lineage
 
 
 def day_changes(changes: DataFrame) -> DataFrame:
@@ -25,8 +26,9 @@ def chained_changes(changes: DataFrame) -> DataFrame:
     circle has none and keeps its single hops.
     """
     src, dst = md5_signed64(F.col("old_uid")), md5_signed64(F.col("new_uid"))
-    coded = changes.select("old_uid", "new_uid", src.alias("src"), dst.alias("dst"))
-    components = connected_components(coded)
+    # Stored: the edges, the chain ends and the result all read it.
+    coded = cut_lineage(changes.select("old_uid", "new_uid", src.alias("src"), dst.alias("dst")))
+    components = cut_lineage(connected_components(coded))
     ends = coded.select(F.col("new_uid").alias("uid"), F.col("dst").alias("node")).join(
         coded.select(F.col("src").alias("node")), ["node"], "left_anti"
     ).join(components, ["node"]).groupBy("component").agg(F.min("uid").alias("end"))

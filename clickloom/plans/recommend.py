@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from clickloom.operators.baskets import (
 )
 from clickloom.operators.joins import both_members, only_members
 from clickloom.operators.metrics import both_directions
+from clickloom.session import cut_lineage
 
 
 def group_pair_counts(views: DataFrame, day: str, user: str, group: str, item: str,
@@ -44,11 +43,12 @@ def group_lines(ranked: DataFrame, group: str) -> DataFrame:
     """Two text forms per item: neighbour ids only, and with group and count."""
     head = F.concat_ws("_", F.col(group).cast("string"), F.col("node").cast("string"))
     detail = F.format_string("(%s,%s,%d)", F.col(group).cast("string"), F.col("neighbour").cast("string"), F.col("n"))
-    keyed = ranked.withColumn("__head", head).withColumn("__detail", detail)
-    ids = ranked_lists(keyed, ["__head"], F.col("neighbour"), "ids")
-    details = ranked_lists(keyed, ["__head"], F.col("__detail"), "details")
-    return ids.join(details, ["__head"]).select(
-        F.concat_ws(",", "__head", "ids").alias("ids_line"), F.concat_ws(",", "__head", "details").alias("detail_line")
+    entry = F.struct("rank", F.col("neighbour").cast("string").alias("id"), detail.alias("detail"))
+    # At most k entries per item by construction.
+    lists = ranked.groupBy(head.alias("__head")).agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    return lists.select(
+        F.concat_ws(",", "__head", F.array_join("e.id", ",")).alias("ids_line"),
+        F.concat_ws(",", "__head", F.array_join("e.detail", ",")).alias("detail_line"),
     )
 
 
@@ -56,7 +56,8 @@ def confidence_recommendations(views: DataFrame, day: str, user: str, item: str,
                                online_id: str, low: int = 2, high: int = 7, k: int = 10) -> DataFrame:
     """(node, neighbour, n, confidence, rank): count over the neighbour's support."""
     known = only_members(views, item, online, online_id)
-    baskets = bounded_baskets(known, [day, user], item, low, high)
+    # Stored: pairs and supports both read it.
+    baskets = cut_lineage(bounded_baskets(known, [day, user], item, low, high))
     counts = pair_counts(basket_pairs(baskets, []))
     scored = neighbour_confidence(counts, item_support(baskets)).withColumn(
         "confidence", F.round("confidence", 6)

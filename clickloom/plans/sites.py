@@ -57,6 +57,7 @@ def best_neighbours(scored: DataFrame, min_score: float = 1.0) -> DataFrame:
 
 def site_clusters(best: DataFrame) -> DataFrame:
     """(site, cluster): components of the best-neighbour links."""
+    best = cut_lineage(best.select("node", "neighbour"))
     edges = best.select(
         md5_signed64(F.col("node").cast("string")).alias("src"),
         md5_signed64(F.col("neighbour").cast("string")).alias("dst"),

@@ -224,6 +224,17 @@ def _(t):
     return states.withColumn("sends", F.array_join(shown, ","))
 
 
+@query("counter_state_parts", _STATE_SQL + """
+, r AS (SELECT *, (row_number() OVER (PARTITION BY id ORDER BY time DESC) - 1) // 3 AS part FROM j)
+SELECT id, send_type, send_num, CAST(part AS INTEGER) AS part, string_agg(time || '=' || num, ',' ORDER BY time DESC) AS sends
+FROM r GROUP BY 1, 2, 3, 4""")
+def _(t):
+    """Three sends to a part: newest first over all parts of an id."""
+    states = counters.counter_states(counters.merge_counters(_state_entries(t)), part_rows=3)
+    shown = F.transform("sends", lambda s: F.concat_ws("=", s["time"], s["num"].cast("string")))
+    return states.withColumn("sends", F.array_join(shown, ","))
+
+
 @query("distinct_users_by_day", f"""
 SELECT {SQL_DAY} AS day, count(DISTINCT user_id) AS users FROM events GROUP BY 1""")
 def _(t):
@@ -248,6 +259,17 @@ def _(t):
     return rendering.text_parts(rows, ["id"], F.col("v"), ",", descending=True)
 
 
+@query("ordered_collection_parts", """
+WITH v AS (SELECT l_suppkey AS id, l_returnflag || CAST(l_quantity AS INTEGER) AS v FROM lineitem),
+r AS (SELECT *, (row_number() OVER (PARTITION BY id ORDER BY v) - 1) // 7 AS part FROM v)
+SELECT id, CAST(part AS INTEGER) AS part, string_agg(v, ',' ORDER BY v) AS line FROM r GROUP BY 1, 2""")
+def _(t):
+    """Seven values to a part, with copies of one value on both sides of a cut."""
+    value = F.concat("l_returnflag", F.col("l_quantity").cast("int").cast("string"))
+    rows = t.lineitem.select(F.col("l_suppkey").alias("id"), value.alias("v"))
+    return rendering.text_parts(rows, ["id"], F.col("v"), ",", part_rows=7)
+
+
 @query("union_of_logs", """
 SELECT source, count(*) AS n, CAST(sum(k) AS BIGINT) AS total FROM (
   SELECT 'lines' AS source, l_orderkey AS k FROM lineitem UNION ALL SELECT 'orders', o_orderkey FROM orders

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import none_marker
 from clickloom.operators import classify, loglines, pricing, useragent
-from clickloom.queries.registry import SQL_K, SQL_TS, day_text, prop_k, query, text, ts_text
+from clickloom.queries.registry import SQL_K, SQL_TS, prop_k, query, text, ts_text
 
 
 def _lines(t, *parts, keep=("event_id",)):

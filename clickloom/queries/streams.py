@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import loglines
 from clickloom.operators.metrics import uv_pv
-from clickloom.queries.registry import SQL_DAY, SQL_K, day_text, prop_k, query, text, ts_text
+from clickloom.queries.registry import SQL_DAY, SQL_K, prop_k, query, text, ts_text
 from clickloom.session import fresh_folder
 from clickloom.streaming.logs import log_stream, run_available
 from clickloom.streaming.side_table import RefreshingTable, run_with_side_table
