@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +23,29 @@ def text_of(text: str | Column = "text") -> Column:
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Their Python then finds it whatever the driver's import path is.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="clickloom-code-")), "clickloom_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def small_batches(spark: SparkSession, rows: int = 2_000, mb: int = 32) -> None:
     """Bound what one Arrow batch of long texts holds, for this session."""
+    ship_code(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= rows:
         spark.conf.set(key, str(rows))

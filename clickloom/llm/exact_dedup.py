@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE, join_groups, text_of
+from clickloom.llm.common import SPACE, join_groups, ship_code, text_of
 from clickloom.session import cut_lineage
 
 # Digests per bucket of the index: a slot takes 64 bytes, so a bucket about 3 MB.
@@ -44,6 +44,7 @@ def digest(text: Column) -> Column:
 
 def digest_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, doc_id, digest, points) of every row, stored so that row numbers hold."""
+    ship_code(docs.sparkSession)
     whole = text_of(text)
     return cut_lineage(docs.select(
         F.monotonically_increasing_id().alias("row"),

@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import small_batches
+
 # --- fixed values: HTML's own element classes ---------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
@@ -348,4 +350,5 @@ def main_text(column: str | Column = "html") -> Column:
 
 def extract_pages(pages: DataFrame, column: str = "html", text: str = "text") -> DataFrame:
     """``pages`` with the main text of ``column`` as ``text`` (replaced where it exists)."""
+    small_batches(pages.sparkSession)
     return pages.withColumn(text, main_text(column))

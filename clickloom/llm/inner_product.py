@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import ship_code
 from clickloom.session import cut_lineage
 
 HEAD = 16
@@ -179,6 +180,7 @@ def top_inner_products(vectors: DataFrame, k: int, is_query: Column, vec_id: str
                        vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of every row for which ``is_query`` holds."""
     spark = vectors.sparkSession
+    ship_code(spark)
     rows = cut_lineage(
         vectors.select(F.col(vec_id).cast("long").alias("id"), integers(F.col(vector)).alias("v"),
                        F.coalesce(is_query, F.lit(False)).alias("asks"))
