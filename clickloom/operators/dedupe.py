@@ -14,16 +14,12 @@ def _rest(df: DataFrame, keys: Sequence[str], first: Sequence[str]) -> list[str]
 
 def latest(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     """Record with the greatest time per key; ties go to the greatest remaining columns."""
-    order = [time, *_rest(df, keys, [time])]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("__r"))
-    return best.select(*[c if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])
+    return top_per_group(df, keys, [F.desc(c) for c in (time, *_rest(df, keys, [time]))], 1)
 
 
 def earliest(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     """Record with the least time per key; ties go to the least remaining columns."""
-    order = [time, *_rest(df, keys, [time])]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__r"))
-    return best.select(*[c if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])
+    return top_per_group(df, keys, [F.asc(c) for c in (time, *_rest(df, keys, [time]))], 1)
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import none_marker
-from clickloom.operators.dedupe import earliest
+from clickloom.operators.dedupe import earliest, top_per_group
 from clickloom.operators.rendering import text_parts
 from clickloom.session import cut_lineage
 
@@ -31,7 +31,7 @@ def stitch_show_click_bid(shows: DataFrame, clicks: DataFrame, bids: DataFrame,
 
     show = earliest(present(shows).select(*keys, "time", "ua", "agsid"), keys, "time")
     click = present(clicks).groupBy(*keys).agg(F.min("time").alias("click_time")).withColumn("clicked", F.lit(1))
-    bid = present(bids).groupBy(*keys).agg(F.min("line").alias("line"))
+    bid = top_per_group(present(bids).select(*keys, "line"), keys, [F.asc("line")], 1)
     return (
         show.join(bid, keys, "inner")
         .join(click, keys, "left")
