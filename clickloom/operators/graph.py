@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,8 +90,10 @@ def connected_components(edges: DataFrame, by: Sequence[str] = (), src: str = "s
         raw.where(a != b).select(*by, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct(), by
     )
     while mark[0]:
-        large = stage.store(_large_star(current, by, stage))
+        # Read twice by the next step; a lost block is computed again from the stored tables.
+        large = _large_star(current, by, stage).persist(StorageLevel.MEMORY_AND_DISK)
         current, new_mark = stage.store_marked(_small_star(large, by, stage), by)
+        large.unpersist()
         stage.drop_all_but_last()
         if new_mark == mark:
             break
