@@ -9,13 +9,18 @@
    share. Two nodes of a bucket share its pivot, so each candidate pair meets in
    a group; buckets are never expanded into pairs.
 3. A group is cut into blocks of bounded size, each with the pivot in it. A
-   task holds one block: an inverted index counts the intersections of a set
+   task holds one block at a time: an inverted index counts the intersections of a set
    with all others at once, and only links that join two parts of the block
    leave it (fewer than its members). Links are confirmed on the full sets.
-4. Nodes of a group of several blocks that are not linked to its pivot by then
-   meet the other blocks too, again block by block. Nodes that are linked to the
-   pivot need not: they are in its component whatever else they link with. A
-   group of copies that hang together thus costs its size, not its square.
+4. In a group of several blocks, nodes that are not linked to its pivot by then
+   (loose nodes) may link with nodes of other blocks. Sets that reach the
+   threshold share one of the first elements of both under any common order
+   (prefix filter). The order of a group puts what its pivot holds last, so
+   text that the whole group shares does not bring its members together. Two
+   blocks meet in a task of their own, with those of their nodes only that share
+   such an element with a node of the other block, one of the two being loose.
+   Nodes that are linked to the pivot need not meet each other: they are in its
+   component whatever else they link with.
 5. Components of the links give each node its class.
 
 Only the banding can miss a link: a pair at the threshold shares no bucket with
@@ -194,8 +199,75 @@ def link_block(nodes: list[int], sets: list[np.ndarray], guests: list[bool], per
     return found
 
 
+def first_elements(one: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    """The elements of a set of which any set that links with it holds one, among its own first ones too.
+
+    ``last`` holds the elements that come last in the order of the group, which is otherwise that of the hashes.
+    """
+    least = -(-percent * len(one) // 100)
+    held = np.isin(one, last, assume_unique=True)
+    return np.concatenate([one[~held], one[held]])[: len(one) - least + 1]
+
+
+def _dealt(members: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(pivot, block, other, node, guest, text) of ``members``, each (pivot, block, other) in one run, its pivot first."""
+    # Rows of one id are one document: each of its texts takes part. The texts are the large side and
+    # members grow with them, so both are always shuffled; the plan is the same at every size.
+    texts = docs.select(F.col(doc_id).cast("long").alias("node"), text_of(text).alias("text"))
+    key = ["pivot", "block", "other"]
+    rows = members.join(texts.hint("merge"), "node").select(*key, "node", "guest", "text")
+    return rows.repartition(*key).sortWithinPartitions(*key, F.col("node") != F.col("pivot"))
+
+
+def _first_elements(members: DataFrame, docs: DataFrame, width: int, percent: int, doc_id: str,
+                    text: str) -> DataFrame:
+    """(pivot, block, node, guest, element) of the first elements of ``members``, each block with its pivot."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, last = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in (0, 1, 3, 5)]
+            chosen, places = [], []
+            for i, (pivot, block, node, whole) in enumerate(zip(*columns, strict=True)):
+                if (pivot, block) != at:
+                    at, last = (pivot, block), np.zeros(0, np.uint64)
+                found = shingle_set(whole, width)
+                if node == pivot:
+                    last = np.union1d(last, found)
+                elif len(found):
+                    chosen.append(first_elements(found, last, percent))
+                    places.append(i)
+            if chosen:
+                rows = pa.array(np.repeat(places, [len(c) for c in chosen]))
+                kept = [batch.column(i).take(rows) for i in (0, 1, 3, 4)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(chosen).view(np.int64))],
+                                                 names=["pivot", "block", "node", "guest", "element"])
+
+    schema = "pivot long, block int, node long, guest boolean, element long"
+    return _dealt(members, docs, doc_id, text).mapInArrow(walk, schema)
+
+
+def _meetings(firsts: DataFrame) -> DataFrame:
+    """(pivot, block, other, node, guest): for each two blocks of a group, their nodes that must meet; stored.
+
+    The rows of an element are its nodes times its blocks at most, never pairs of nodes.
+    """
+    firsts = cut_lineage(firsts.distinct())
+    shared = firsts.groupBy("pivot", "element").agg(
+        F.min("block").alias("least"), F.max("block").alias("most"), F.max("guest").alias("any")
+    ).where("least <> most and any").select("pivot", "element")
+    firsts = cut_lineage(firsts.join(shared, ["pivot", "element"], "left_semi"))
+    blocks = cut_lineage(firsts.groupBy("pivot", "element", F.col("block").alias("there")).agg(
+        F.max("guest").alias("asks")
+    ))
+    met = firsts.join(blocks, ["pivot", "element"]).where("block <> there and (guest or asks)")
+    return cut_lineage(met.select(
+        "pivot", F.least("block", "there").alias("block"), F.greatest("block", "there").alias("other"), "node", "guest"
+    ).distinct())
+
+
 def _verify(members: DataFrame, docs: DataFrame, width: int, percent: int, doc_id: str, text: str) -> DataFrame:
-    """Links inside each (pivot, block) of ``members`` (pivot, block, node, guest); texts are joined by id."""
+    """Links inside each (pivot, block, other) of ``members`` (with node and guest); texts are joined by id."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
@@ -212,22 +284,17 @@ def _verify(members: DataFrame, docs: DataFrame, width: int, percent: int, doc_i
                 )
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for pivot, block, node, guest, whole in zip(*columns, strict=True):
-                if (pivot, block) != at:
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for pivot, block, other, node, guest, whole in zip(*columns, strict=True):
+                if (pivot, block, other) != at:
                     yield from close()
-                    at, nodes, sets, guests = (pivot, block), [], [], []
+                    at, nodes, sets, guests = (pivot, block, other), [], [], []
                 nodes.append(node)
                 sets.append(shingle_set(whole, width))
                 guests.append(guest)
         yield from close()
 
-    # Rows of one id are one document: each of its texts takes part. The texts are the large side and
-    # members grow with them, so both are always shuffled; the plan is the same at every size.
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), text_of(text).alias("text"))
-    rows = members.join(texts.hint("merge"), "node").select("pivot", "block", "node", "guest", "text")
-    dealt = rows.repartition("pivot", "block").sortWithinPartitions("pivot", "block", F.col("node") != F.col("pivot"))
-    return dealt.mapInArrow(walk, _LINKS)
+    return _dealt(members, docs, doc_id, text).mapInArrow(walk, _LINKS)
 
 
 def links_of(groups: DataFrame, docs: DataFrame, width: int, percent: int, doc_id: str = "doc_id", text: str = "text",
@@ -238,8 +305,8 @@ def links_of(groups: DataFrame, docs: DataFrame, width: int, percent: int, doc_i
     # The pivot of a large group is in each of its blocks.
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pivots = blocks.where("blocks > 1 and node = pivot").select("pivot", every.alias("block"), "node")
-    members = single.unionByName(pivots).withColumn("guest", F.lit(False))
-    links = cut_lineage(_verify(members, docs, width, percent, doc_id, text))
+    members = single.unionByName(pivots).select("pivot", "block", F.col("block").alias("other"), "node")
+    links = cut_lineage(_verify(members.withColumn("guest", F.lit(False)), docs, width, percent, doc_id, text))
 
     large = blocks.where("blocks > 1")
     if large.limit(1).count():
@@ -247,15 +314,15 @@ def links_of(groups: DataFrame, docs: DataFrame, width: int, percent: int, doc_i
         part = known.select(F.col("node"), F.col("component").alias("part"))
         heads = known.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_part"))
         # A node without a link is alone.
-        loose = large.join(part, "node", "left").join(heads, "pivot", "left").where(
-            (F.col("node") != F.col("pivot"))
-            & (F.coalesce("part", "node") != F.coalesce("pivot_part", "pivot"))
-        ).select("pivot", "node", "blocks", F.col("block").alias("own"))
-        guests = loose.withColumn("block", every).where("block <> own").select("pivot", "block", "node")
-        met = guests.select("pivot", "block").distinct()
-        hosts = large.where("node <> pivot").join(met, ["pivot", "block"], "left_semi").select("pivot", "block", "node")
-        second = guests.withColumn("guest", F.lit(True)).unionByName(hosts.withColumn("guest", F.lit(False)))
-        links = cut_lineage(links.unionByName(_verify(second, docs, width, percent, doc_id, text)))
+        judged = cut_lineage(large.join(part, "node", "left").join(heads, "pivot", "left").withColumn(
+            "guest", F.coalesce("part", "node") != F.coalesce("pivot_part", "pivot")
+        ).select("pivot", "node", "block", "blocks", "guest"))
+        asking = judged.where("guest").select("pivot").distinct()
+        inner = judged.where("node <> pivot").select("pivot", "block", "node", "guest")
+        heads = judged.where("node = pivot").select("pivot", every.alias("block"), "node", "guest")
+        second = inner.unionByName(heads).join(asking, "pivot", "left_semi").withColumn("other", F.col("block"))
+        met = _meetings(_first_elements(second, docs, width, percent, doc_id, text))
+        links = cut_lineage(links.unionByName(_verify(met, docs, width, percent, doc_id, text)))
     return links
 
 

@@ -73,6 +73,46 @@ def test_blocks_report_a_spanning_part_only():
     assert {a for a, _ in near_dedup.link_block(list(range(200)), sets, guests, 80)} == {7}
 
 
+def test_loose_nodes_meet_two_blocks_at_most_and_no_strangers(spark, monkeypatch):
+    draw = random.Random(8)
+    shared, rows = cases.words(11, 150), []
+    for i in range(60):
+        own = cases.words(1000 + i, 50)
+        rows.append((i, f"{shared} {own}"))
+        if i % 10 == 0:
+            # One near copy, most likely in another block.
+            rows.append((100 + i, f"{shared} {own} end"))
+    draw.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    passes, verify = [], near_dedup._verify
+    monkeypatch.setattr(near_dedup, "_verify", lambda members, *rest: passes.append(members) or verify(members, *rest))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 5, 80, block_shingles=2_000).collect()}
+    ids = [i for i, _ in rows]
+    assert got == dict(zip(ids, cases.brute_components(ids, [t for _, t in rows], 5, 80), strict=True))
+    first, second = ([r.asDict() for r in p.collect()] for p in passes)
+    assert len({r["block"] for r in first}) >= 4
+    # Texts alike in what all share meet by chance alone (a boundary with the same next word); near copies do meet.
+    by_task = {}
+    for r in second:
+        by_task.setdefault((r["pivot"], r["block"], r.get("other")), set()).add(r["node"])
+    assert by_task and max(map(len, by_task.values())) <= 8
+    assert any({i, 100 + i} <= nodes for nodes in by_task.values() for i in range(0, 60, 10))
+    print("second pass:", len(second), "rows, largest task", max(map(len, by_task.values())))
+
+
+def test_sets_at_the_threshold_share_a_first_element():
+    draw = np.random.default_rng(1)
+    for n in (1, 2, 5, 20, 100, 333):
+        for percent in (80, 85):
+            both = draw.integers(0, 1 << 62, 2 * n).astype(np.uint64)
+            for shift in range(n // 3 + 1):
+                a, b = np.sort(both[:n]), np.sort(both[shift : n + shift])
+                last = np.sort(draw.choice(both, n, replace=False))
+                if 100 * (n - shift) >= percent * (n + shift):
+                    firsts = [near_dedup.first_elements(x, last, percent) for x in (a, b)]
+                    assert len(np.intersect1d(*firsts))
+
+
 def test_edge_rows(spark):
     got = near_dedup.near_duplicates(cases.edge_docs(spark), 3, 85).collect()
     assert len(got) == len(cases.edge_rows())
