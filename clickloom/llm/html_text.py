@@ -9,10 +9,11 @@ what they declare (element, role, class and id words). For each remaining node
 with C its characters, T its tags, L and LT those inside links and Cb, Lb the
 body's: characters per tag, cut down where links hold them. The density sum of
 a node is the sum of its children's densities, and the node with the greatest
-sum is the core of the page. The least density on the way from the core to the
-body is the threshold: other subtrees that reach it belong to the text too. A
-core inside an article or main element stands for that whole element, so its
-short paragraphs stay.
+sum is the core of the page. A core inside an article or main element stands
+for that whole element: the tag decides there, and density does not. Without
+such an element, the core is taken whole, and of the elements around it, up to
+the body, all that is not link-heavy (more than half of its characters in
+links): other sections, headings and lists, and bare text.
 
 Text is given by blocks: character references decoded, white space runs one
 space, trimmed, empty blocks left out, joined by a newline. A line break
@@ -45,6 +46,7 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search section summary table "
     "tbody td tfoot th thead title tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCK - frozenset("html body head td th tr tbody thead tfoot caption title".split())
 # Start tags that end an open element of the second list, up to the nearest element of the third.
 IMPLIED = {
@@ -300,31 +302,49 @@ def _blocks(nodes: list[Node]) -> list[str]:
 
 
 def _core(body: Node) -> list[Node]:
-    """The subtrees that hold the article, in page order."""
+    """The subtrees that hold the article, in page order; what is link-heavy around the core goes."""
     order = _measure(body)
     core = max(order, key=lambda node: (node.sum, node.density))
-    threshold, at = core.density, core
-    outer = core
+    at = outer = core
     while at is not None and at is not body.parent:
-        threshold = min(threshold, at.density)
         if at.tag in ("article", "main"):
             outer = at
         at = at.parent
     if outer.tag in ("article", "main"):
         return [outer]
-    chosen, todo = [], [body]
-    above = set()
-    at = outer.parent
-    while at is not None:
-        above.add(id(at))
-        at = at.parent
-    while todo:
-        node = todo.pop()
-        if node is outer or id(node) not in above and node.density >= threshold and node.chars:
-            chosen.append(node)
-        elif id(node) in above:
-            todo.extend(reversed(list(node.children())))
-    return chosen
+    at = core
+    while at is not body:
+        at, inner = at.parent, at
+        _drop_links_around(at, inner)
+    return [body]
+
+
+def _link_heavy(parts: list) -> bool:
+    """Whether more than half of the characters are inside links."""
+    chars = sum(len(_SPACE.sub(" ", p).strip()) if isinstance(p, str) else p.chars for p in parts)
+    return 2 * sum(p.link_chars for p in parts if not isinstance(p, str)) > chars
+
+
+def _drop_links_around(node: Node, inner: Node) -> None:
+    """Take link-heavy blocks and runs of text out of an element, but its headings and ``inner``."""
+    kept: list = []
+    run: list = []
+
+    def close() -> None:
+        kept.extend([] if _link_heavy(run) else run)
+        run.clear()
+
+    for part in node.parts:
+        if part is inner or not isinstance(part, str) and part.tag in BLOCK:
+            close()
+            if part is inner or part.tag in HEADINGS or not _link_heavy([part]):
+                kept.append(part)
+            else:
+                kept.append(Node("hr", "", node))
+        else:
+            run.append(part)
+    close()
+    node.parts = kept
 
 
 def extract(page: str | None) -> str:
@@ -334,8 +354,7 @@ def extract(page: str | None) -> str:
     root = parse(page)
     _prune(root)
     body = next((child for child in root.children() if child.tag == "body"), root)
-    core = _core(body)
-    return "\n".join(_blocks(core if core else [body]))
+    return "\n".join(_blocks(_core(body)))
 
 
 def _extract_each(pages: pd.Series) -> pd.Series:

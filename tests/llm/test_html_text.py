@@ -29,6 +29,29 @@ def test_density_finds_the_core_without_any_hint():
     ]
 
 
+MENU = "<ul>" + "".join(f"<li><a href={i}>Item number {i}</a></li>" for i in range(20)) + "</ul>"
+LONG = [f"{i} " + "word " * 79 + "end." for i in range(5)]
+SHORT = [f"{i} " + "text " * 29 + "end." for i in range(3)]
+
+
+@pytest.mark.parametrize(("page", "lines"), [
+    (f"<body>{MENU}<div><div>{''.join(f'<p>{p}</p>' for p in LONG)}</div><div>{''.join(f'<p>{p}</p>' for p in SHORT)}</div></div>",
+     [*LONG, *SHORT]),
+    (f"<body><div><section>{''.join(f'<p>{p}</p>' for p in LONG)}</section><section>{''.join(f'<p>{p}</p>' for p in SHORT)}</section></div>",
+     [*LONG, *SHORT]),
+    (f"<body><h1>A heading of thirty letters</h1><div>{''.join(f'<p>{p}</p>' for p in LONG)}</div>",
+     ["A heading of thirty letters", *LONG]),
+    (f"<body>{MENU}<h1>A heading of thirty letters</h1><div>{''.join(f'<p>{p}</p>' for p in LONG)}</div>",
+     ["A heading of thirty letters", *LONG]),
+    (f"<body>{MENU}<div>Bare <b>text</b> here.<div>{''.join(f'<p>{p}</p>' for p in LONG)}</div><ul><li>one<li>two</ul></div>",
+     ["Bare text here.", *LONG, "one", "two"]),
+    (f"<body><a href=1>Home</a> | <a href=2>Help</a><h2><a href=3>Linked title</a></h2><div>{''.join(f'<p>{p}</p>' for p in LONG)}</div>{MENU}",
+     ["Linked title", *LONG]),
+])
+def test_pages_without_semantic_tags_keep_all_their_text(page, lines):
+    assert html_text.extract(page).split("\n") == lines
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("   ", ""), ("plain text < 5 &amp; more", "plain text < 5 & more"), ("<p>a<p>b<br>c", "a\nb c"),
     ("<ul><li>one<li>two</ul>", "one\ntwo"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
