@@ -2,7 +2,11 @@
 
 A page becomes a tree of elements. Menus, page headers and footers, sidebars,
 notices, adverts, forms, comments, scripts and hidden parts are taken out by
-what they declare (element, role, class and id words). For each remaining node
+what they declare (element or role). A telling word of class or id takes out
+only a container that is also link-heavy or short beside the page's text (a
+quarter of it at most; half for comments), or another block that is link-heavy;
+inline elements and headings stay. A container that stays in spite of such a
+word adds nothing to the density sum around it. For each remaining node
 
     density = C/T * log(C*T / (L*LT)) to the base C*L/(C-L) + Lb*C/Cb + e
 
@@ -30,7 +34,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -78,6 +82,9 @@ DROPPED_WORDS = frozenset(
     "recommendations comment comments commentlist disqus replies reply respond form search toolbar skip "
     "copyright disclaimer".split()
 )
+# Elements that a page is laid out with; a class word on them counts once they are a quarter of the text at most.
+CONTAINERS = frozenset("address blockquote center details div dl dir fieldset hgroup ol p section summary ul".split())
+SHORT_SHARE = 4
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
 
 _TOKEN = re.compile(
@@ -89,17 +96,20 @@ _ATTRIBUTE = re.compile(
     r"([^\s=/\"'<>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?"
 )
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_BESIDE = re.compile(r"(?:with|without|has|no|not|hide|show)(?:[-_]|(?=[A-Z]))")
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "attributes", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum",
+                 "lowered")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         # Text runs and child nodes in page order.
         self.parts: list = []
+        self.lowered = False
 
     def children(self) -> Iterator[Node]:
         return (p for p in self.parts if not isinstance(p, str))
@@ -181,7 +191,9 @@ def _declared(node: Node) -> tuple[dict[str, str], set[str]]:
     for name, a, b, c in _ATTRIBUTE.findall(node.attributes):
         got.setdefault(name.lower(), html.unescape(a or b or c))
     named = f"{got.get('class', '')} {got.get('id', '')}"
-    return got, {w.lower() for w in _WORDS.findall(named)}
+    # "with-sidebar", "has-comments": what else the element holds or lacks, not what it is.
+    own = " ".join(name for name in named.split() if not _BESIDE.match(name))
+    return got, {w.lower() for w in _WORDS.findall(own)}
 
 
 def _holds_article(node: Node) -> bool:
@@ -204,24 +216,36 @@ def _is_dropped(node: Node, in_article: bool) -> bool:
     got, words = _declared(node)
     if "hidden" in got or got.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(got.get("style", "")):
         return True
-    if words & COMMENT_WORDS and tag != "body":
-        return not _holds_article(node) if tag != "article" else True
+    if words & COMMENT_WORDS and tag == "article":
+        return True
     if tag == "form":
         return not _holds_article(node)
     if tag in DROPPED:
         return True
     if tag == "header":
         return not in_article and not _holds_article(node)
-    if tag in ("article", "h1", "p"):
-        return tag == "p" and bool(words & {"ad", "ads", "advert", "advertisement", "copyright", "cookie"})
-    if words & DROPPED_WORDS or got.get("role", "").lower() in DROPPED_ROLES:
-        if in_article and words & DROPPED_WORDS <= {"header"} and got.get("role", "") == "":
-            return False
-        return not _holds_article(node)
-    return False
+    return got.get("role", "").lower() in DROPPED_ROLES and tag not in ("article", "h1", "p") and not _holds_article(node)
+
+
+def _is_named_so(node: Node, in_article: bool, text_chars: int) -> bool:
+    """Whether a measured element is none of the article by its class or id, and by its size or links."""
+    tag = node.tag
+    if tag not in BLOCK or tag in HEADINGS or tag in ("html", "body", "main", "article"):
+        return False
+    words = _declared(node)[1]
+    if tag == "p":
+        words = words & {"ad", "ads", "advert", "advertisement", "copyright", "cookie", *COMMENT_WORDS}
+    if not words & DROPPED_WORDS or in_article and words & DROPPED_WORDS <= {"header"} or _holds_article(node):
+        return False
+    container = tag in CONTAINERS
+    if words & COMMENT_WORDS and container:
+        # Comments may be long; but what holds most of a page without an article element is no comment.
+        return in_article or 2 * node.chars <= text_chars
+    node.lowered = container
+    return _link_heavy([node]) or container and SHORT_SHARE * node.chars <= text_chars
 
 
-def _prune(root: Node) -> None:
+def _prune(root: Node, dropped: Callable[[Node, bool], bool]) -> None:
     todo = [(root, False)]
     while todo:
         node, in_article = todo.pop()
@@ -229,7 +253,7 @@ def _prune(root: Node) -> None:
         kept = []
         for part in node.parts:
             if not isinstance(part, str):
-                if _is_dropped(part, inside):
+                if dropped(part, inside):
                     if part.tag in BLOCK:
                         kept.append(Node("hr", "", node))
                     continue
@@ -266,7 +290,7 @@ def _measure(body: Node) -> list[Node]:
         else:
             base = math.log(c * lc / max(c - lc, 1) + body_links * c / body_chars + math.e)
             node.density = max(0.0, c / t * math.log(max(c * t / (max(lc, 1) * lt), 1.0)) / base)
-        node.sum = sum(child.density for child in node.children())
+        node.sum = sum(child.density for child in node.children() if not child.lowered)
     return order
 
 
@@ -352,8 +376,11 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    _prune(root)
+    _prune(root, _is_dropped)
     body = next((child for child in root.children() if child.tag == "body"), root)
+    _measure(body)
+    text_chars = body.chars - body.link_chars
+    _prune(body, lambda node, in_article: _is_named_so(node, in_article, text_chars))
     return "\n".join(_blocks(_core(body)))
 
 

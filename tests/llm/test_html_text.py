@@ -52,6 +52,23 @@ def test_pages_without_semantic_tags_keep_all_their_text(page, lines):
     assert html_text.extract(page).split("\n") == lines
 
 
+BODY = "".join(f"<p>{p}</p>" for p in LONG)
+
+
+@pytest.mark.parametrize(("page", "lines"), [
+    (f"<div class='post with-sidebar'><h2>Title</h2>{BODY}</div>", ["Title", *LONG]),
+    (f"<h1>Title</h1><div class='sidebar-layout'>{BODY}</div>", ["Title", *LONG]),
+    (f"<div class='comment-page'><h2>Title</h2>{BODY}</div>", ["Title", *LONG]),
+    (f"<div><h2 class='section-header'>Part</h2>{BODY}</div>", ["Part", *LONG]),
+    (f"<article>{BODY}<p>See <a class='related-link'>this</a> and <span class='search-term'>that</span> word."
+     "<table class='alert-table'><tr><td>cell</table></article>", [*LONG, "See this and that word.", "cell"]),
+    (f"<div>{BODY}</div><div class='related'>Read also</div><div class=sidebar>{MENU}</div>"
+     f"<div class='comments'>{BODY[:900]}</div>", LONG),
+])
+def test_a_class_word_alone_takes_nothing_of_the_article(page, lines):
+    assert html_text.extract(page).split("\n") == lines
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("   ", ""), ("plain text < 5 &amp; more", "plain text < 5 & more"), ("<p>a<p>b<br>c", "a\nb c"),
     ("<ul><li>one<li>two</ul>", "one\ntwo"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
