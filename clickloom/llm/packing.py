@@ -78,7 +78,9 @@ class Encoder:
     """Ids of a text as the JSON tokenizer gives them.
 
     The rank file holds the same merges for a faster library. A text that spells
-    a special token goes to the tokenizer itself, which gives that token's id.
+    a special token goes to the tokenizer itself, which gives that token's id, and
+    so does a text that the faster library cannot take: its pattern search gives up
+    on very long runs of white space.
     """
 
     def __init__(self, tokenizer: str, ranks: str | None, pattern: str | None):
@@ -97,7 +99,10 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text, disallowed_special=())
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        except ValueError:
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None, pattern: str | None, end: int,

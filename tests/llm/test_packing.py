@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import cases
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from clickloom.llm import packing
@@ -43,6 +44,14 @@ def test_a_special_token_in_a_text_is_that_token():
         assert encoder.ids(text).tolist() == slow.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("mark", [" ", "\n"])
+def test_a_run_of_white_space_of_any_length_is_encoded(mark):
+    text = "x" + mark * 2_000_000 + "y"
+    encoder = packing.Encoder(**TOKENIZER)
+    slow = Tokenizer.from_file(TOKENIZER["tokenizer"])
+    assert encoder.ids(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
 def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
     bins = packing.BestFit(10, 8, 0)
     assert [bins.place(n) for n in (6, 7, 3, 4, 10, 1)] == [(0, 0), (1, 0), (1, 7), (0, 6), (2, 0), (3, 0)]
