@@ -189,8 +189,8 @@ def dedupe(rows: DataFrame, is_history: Column) -> DataFrame:
     Adds keep_id, group_size and kept. Every row gets a verdict, those of the
     history too: a later copy with more code points takes a winner's place.
     """
-    n_history = rows.where(is_history).count()
-    buckets = max(1, -(-n_history // BUCKET_DIGESTS))
+    n_history, n_batch = rows.agg(F.count_if(is_history), F.count_if(~is_history)).first()
+    buckets = max(1, -(-max(n_history, n_batch) // BUCKET_DIGESTS))
     index = build_index(winners(rows.where(is_history)), buckets)
     groups = probe(index, winners(rows.where(~is_history)), buckets)
     judged = join_groups(rows, groups, "digest", "group_size")

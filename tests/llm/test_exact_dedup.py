@@ -56,6 +56,17 @@ def test_every_choice_of_history_gives_the_same(spark):
     assert all(r == results[0] for r in results)
 
 
+def test_a_large_batch_without_history_is_dealt(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(exact_dedup, "BUCKET_DIGESTS", 2)
+    dealt, probe = [], exact_dedup.probe
+    monkeypatch.setattr(exact_dedup, "probe", lambda index, batch, n: dealt.append(n) or probe(index, batch, n))
+    judged = exact_dedup.dedupe(exact_dedup.digest_rows(cases.edge_docs(spark)), F.lit(False))
+    assert judged.count() == len(cases.edge_rows())
+    assert dealt == [-(-len(cases.edge_rows()) // 2)]
+
+
 def test_drop_copies_keeps_one_row_and_all_columns(spark):
     docs = cases.edge_docs(spark)
     kept = exact_dedup.drop_copies(docs)
