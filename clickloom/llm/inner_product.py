@@ -17,8 +17,9 @@ Final scores are integer sums, so pruning never changes a result; bounds are
 widened by a relative 1e-6 against rounding. At most k rows of each query leave
 a block pair.
 
-Defined cases. Vectors that are null, hold null or non-finite components, or
-whose integers reach 2^28 (their product may fit no long) take no part.
+Defined cases. Vectors that are null or hold null or non-finite components take
+no part. A finite component of 2^20 or more raises: its integer reaches 2^28, and
+sums of such products may fit no long.
 Shorter vectors count as padded with zeros. Rows without an id take no part as
 queries; as candidates they come last among ties. Rows that repeat a query's id
 count as the query's own. A query id that repeats is asked once, with its least
@@ -48,10 +49,12 @@ _HITS = "query_id long, vec_id long, score long"
 
 
 def integers(vector: Column) -> Column:
-    """floor(256 x) of each component, null where the vector takes no part."""
+    """floor(256 x) of each component, null where the vector takes no part; too large a component raises."""
     scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * 256))
-    fits = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float(1 << 20)))
-    return F.when(fits, F.transform(scaled, lambda x: x.cast("int")))
+    usable = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    fits = F.forall(vector, lambda x: F.abs(x.cast("double")) < float(1 << 20))
+    too_large = F.raise_error(F.lit("a vector component is 2^20 or more in absolute value"))
+    return F.when(usable & ~fits, too_large).when(usable, F.transform(scaled, lambda x: x.cast("int")))
 
 
 def squared_length(vector: Column) -> Column:

@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom.llm import inner_product as ip
@@ -48,3 +49,8 @@ def test_edge_vectors(spark):
     ]
     assert run(spark, rows) == brute(rows, 5)
     assert run(spark, []) == {}
+
+
+def test_a_component_beyond_the_bound_raises(spark):
+    with pytest.raises(Exception, match="2\\^20"):
+        run(spark, [(0, [1.0, 2.0]), (7, [2.0**20, 1.0])])
