@@ -54,14 +54,15 @@ def rake(live: DataFrame, values: list[str]) -> tuple[DataFrame, DataFrame]:
     return leaves.select("id", *values), cut_lineage(_add(judged.where(~leaf), sums, values))
 
 
-def chains(live: DataFrame, values: list[str], max_rounds: int = 64) -> DataFrame:
+def chains(live: DataFrame, values: list[str]) -> DataFrame:
     """(id, parent, below, values) of each chain node: the node below its chain, the sums down to there; stored."""
     only = live.where("parent is not null").groupBy(F.col("parent").alias("at")).agg(
         F.count("*").alias("n"), F.min("id").alias("below")
     ).where("n = 1").select("at", "below")
     inner = live.where("parent is not null").join(only, F.col("id") == F.col("at"))
     known = cut_lineage(inner.select("id", "parent", "below", *values, F.lit(False).alias("ended")))
-    for _ in range(max_rounds):
+    # A chain has no more nodes than the table, so doubling ends by then.
+    for _ in range(known.count().bit_length() + 1):
         if known.where("not ended").isEmpty():
             return known.drop("ended")
         # What is below is the end, or a chain node that knows as many nodes again.
