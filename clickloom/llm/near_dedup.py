@@ -11,7 +11,8 @@
 3. A group is cut into blocks of bounded size, each with the pivot in it. A
    task holds one block at a time: an inverted index counts the intersections of a set
    with all others at once, and only links that join two parts of the block
-   leave it (fewer than its members). Links are confirmed on the full sets.
+   leave it (fewer than its members). Links are found on full sets of hashes and
+   confirmed on the words of the two texts.
 4. In a group of several blocks, nodes that are not linked to its pivot by then
    (loose nodes) may link with nodes of other blocks. Sets that reach the
    threshold share one of the first elements of both under any common order
@@ -36,7 +37,7 @@ id and the text are read, so further columns may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import join_groups, small_batches, text_of
-from clickloom.llm.shingles import band_keys, set_digest, shingle_set, signature
+from clickloom.llm.shingles import band_keys, linked, set_digest, shingle_set, signature
 from clickloom.operators.graph import connected_components
 from clickloom.session import cut_lineage
 
@@ -176,11 +177,13 @@ def _links(one: np.ndarray, index: Index, percent: int) -> np.ndarray:
     return np.flatnonzero((shared > 0) & (100 * shared >= percent * (index.sizes + len(one) - shared)))
 
 
-def link_block(nodes: list[int], sets: list[np.ndarray], guests: list[bool], percent: int) -> list[tuple[int, int]]:
+def link_block(nodes: list[int], sets: list[np.ndarray], guests: list[bool], percent: int,
+               confirm: Callable[[int, int], bool] = lambda i, j: True) -> list[tuple[int, int]]:
     """Links that join the parts of one block.
 
     Without guests every pair is looked at, but for those that hang together
-    already. With guests only pairs of a guest and another node are.
+    already. With guests only pairs of a guest and another node are. ``confirm``
+    has the last word on a link of two places.
     """
     parts = Parts(len(nodes))
     index = Index(sets)
@@ -194,7 +197,8 @@ def link_block(nodes: list[int], sets: list[np.ndarray], guests: list[bool], per
         if not any(guests) and i and root == parts.find(0):
             continue
         for j in _links(sets[i], index, percent).tolist():
-            if i != j and parts.join(i, j):
+            if parts.find(i) != parts.find(j) and confirm(i, j):
+                parts.join(i, j)
                 found.append((nodes[i], nodes[j]))
     return found
 
@@ -274,9 +278,13 @@ def _verify(members: DataFrame, docs: DataFrame, width: int, percent: int, doc_i
         nodes: list[int] = []
         sets: list[np.ndarray] = []
         guests: list[bool] = []
+        texts: list[str] = []
+
+        def confirm(i: int, j: int) -> bool:
+            return linked(texts[i], texts[j], width, percent)
 
         def close() -> Iterator[pa.RecordBatch]:
-            links = link_block(nodes, sets, guests, percent)
+            links = link_block(nodes, sets, guests, percent, confirm)
             if links:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())],
@@ -288,8 +296,9 @@ def _verify(members: DataFrame, docs: DataFrame, width: int, percent: int, doc_i
             for pivot, block, other, node, guest, whole in zip(*columns, strict=True):
                 if (pivot, block, other) != at:
                     yield from close()
-                    at, nodes, sets, guests = (pivot, block, other), [], [], []
+                    at, nodes, sets, guests, texts = (pivot, block, other), [], [], [], []
                 nodes.append(node)
+                texts.append(whole)
                 sets.append(shingle_set(whole, width))
                 guests.append(guest)
         yield from close()

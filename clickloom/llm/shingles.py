@@ -15,6 +15,7 @@ a signature is the minimum over such runs.
 
 from __future__ import annotations
 
+import re
 from functools import cache
 
 import numpy as np
@@ -23,7 +24,6 @@ UNIVERSE = 1 << 22
 SEED = 20_240_901
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = 0x1000193B3C6EF373 | 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,45 +34,43 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    inverse = pow(_BASE, -1, 1 << 64)
-    out = []
-    for base in (_BASE, inverse):
-        p = np.full(n, np.uint64(base))
-        p[0] = 1
-        with np.errstate(over="ignore"):
-            out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
-
-
-# A scattered code for each byte, A-Z as a-z.
-_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _A)
-_CODES[65:91] = _CODES[97:123]
+# A-Z as a-z.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] = _LOWER[97:123]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+# The scattered values of each byte at the first places of a word; those of later places are computed.
+_PLACES = 64
+_VALUES = mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * _A)
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word, in order: a polynomial in scattered byte codes, scattered again."""
+    """A 64-bit hash of each word, in order: the sum of a scattered value for each (place, byte), scattered again.
+
+    Every place of a word has its own table of values, so no arrangement of
+    letters cancels out by construction, as it does for polynomials modulo 2^64.
+    """
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    n = len(raw)
-    if not n:
+    if not len(raw):
         return np.zeros(0, np.uint64)
     space = _IS_SPACE[raw]
-    turns = np.flatnonzero(space[1:] != space[:-1]) + 1
-    edges = np.concatenate([[0] if not space[0] else [], turns, [n] if not space[-1] else []]).astype(np.int64)
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
+    letters = raw[~space]
+    if not len(letters):
         return np.zeros(0, np.uint64)
-    # Rounded up, so that few tables of powers are made.
-    up, down = _powers(max(1 << 16, 1 << n.bit_length()))
-    sums = np.zeros(n + 1, np.uint64)
+    # A word starts at a letter in front of which is none.
+    first = np.empty(len(raw), bool)
+    first[0] = True
+    first[1:] = space[:-1]
+    starts = np.flatnonzero(first[~space])
+    lengths = np.diff(np.append(starts, len(letters)))
+    places = np.arange(len(letters)) - np.repeat(starts, lengths)
+    at = (places << 8) + _LOWER[letters]
     with np.errstate(over="ignore"):
-        np.cumsum(_CODES[raw] * up[:n], out=sums[1:])
-        words = (sums[ends] - sums[starts]) * down[starts]
-        return mix(words + (ends - starts).astype(np.uint64) * _A)
+        if lengths.max() <= _PLACES:
+            values = _VALUES[at]
+        else:
+            values = mix((at.astype(np.uint64) + np.uint64(1)) * _A)
+        return mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64) * _A)
 
 
 def shingle_set(text: str, width: int) -> np.ndarray:
@@ -126,6 +124,25 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.astype("<u8").tobytes(), digest_size=16).digest()
 
 
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+_TO_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def word_shingles(text: str, width: int) -> set[tuple[str, ...]]:
+    """The shingle set in its own words."""
+    words = _WORDS.findall(text.translate(_TO_LOWER))
+    if len(words) <= width:
+        return {tuple(words)} if words else set()
+    return set(zip(*(words[i:] for i in range(width)), strict=False))
+
+
+def linked(a: str, b: str, width: int, percent: int) -> bool:
+    """Whether two texts link, by their words."""
+    one, other = word_shingles(a, width), word_shingles(b, width)
+    shared = len(one & other)
+    return shared > 0 and 100 * shared >= percent * (len(one) + len(other) - shared)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(a) > len(b):

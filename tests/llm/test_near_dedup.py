@@ -125,3 +125,33 @@ def test_edge_rows(spark):
     assert near_dedup.near_duplicates(cases.edge_docs(spark, empty=True), 3, 85).count() == 0
     kept = near_dedup.drop_near_duplicates(cases.edge_docs(spark), 3, 85)
     assert kept.columns == cases.edge_docs(spark).columns
+
+
+def thue_morse(n=10):
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_built_to_collide_have_their_own_hashes(spark):
+    # Equal under any polynomial modulo 2^64.
+    a, b = thue_morse()
+    assert S.word_hashes(a) != S.word_hashes(b) and S.word_hashes(f"{a} x")[0] == S.word_hashes(a.upper())[0]
+    rest = cases.words(3, 10)
+    docs = spark.createDataFrame([(1, f"{a} {a} {rest}"), (2, f"{b} {b} {rest}"), (3, a), (4, b)], "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs, 3, 85).collect()
+    assert all(r.component_id == r.doc_id and r.kept for r in got)
+
+
+def test_long_and_short_words_hash_alike_wherever_they_stand():
+    short, long = "abc", "x" * 200
+    assert S.word_hashes(short)[0] == S.word_hashes(f"{long} {short}")[1]
+    assert S.word_hashes("ab")[0] != S.word_hashes("ba")[0] != S.word_hashes("b a")[0]
+
+
+def test_links_have_to_be_confirmed():
+    sets = [S.shingle_set("a b c d", 3)] * 3
+    assert near_dedup.link_block([1, 2, 3], sets, [False] * 3, 80, lambda i, j: (i, j) == (1, 2)) == [(2, 3)]
+    assert S.linked("A b c d", "a B c d", 3, 100) and not S.linked("a b c d", "a b c e", 3, 80)
+    assert not S.linked("", "", 3, 80) and S.linked("One", "one", 3, 85)
