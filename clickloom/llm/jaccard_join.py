@@ -3,26 +3,32 @@
 Sets are ordered by one order of all shingles, rare ones first. Of two sets that
 link, each holds at least ``t = ceil(percent * n / 100)`` common shingles of its
 ``n``. So the first ``n - t + l`` of both share at least ``l``, for any ``l``: a
-longer prefix asks for more matches. Each document takes the ``l`` that its
-estimated cost asks for, and two documents are compared only if their prefixes
-share ``min(l, l')`` shingles. That rule never loses a link, as a longer prefix
-contains the shorter one.
+longer prefix asks for more matches. Two documents with ``l`` and ``l'`` share
+the lesser number, as the longer prefix contains the shorter one.
+
+Single rare shingles are shared by chance in a large corpus, so matches are
+sought two by two: a *step* is a shingle of the prefix and the next one. The
+shingles that only one of two linked sets holds number ``x = (100 - percent) * n
+/ percent`` at most, and each of them parts two common shingles at most once. So
+a prefix for ``l = 1 + x + m`` matches gives steps of which ``m`` are in common.
+Each document takes the ``m`` that its estimated cost asks for, and two are
+compared only if their prefixes share ``min(m, m')`` steps. Nothing is lost.
 
 1. ``shingle_counts``: how many documents hold a shingle, over all documents, in
    a table of ``COUNTERS`` counters by hash, on a logarithmic scale: 4 MB at any
    size. Counters that shingles share are too high, which changes the order and
    the estimates, never a result.
 2. ``prefixes_of``: every document's set, in the order of the counters. For each
-   ``l`` the prefix costs a row for each of its shingles, a look at each entry of
+   ``m`` the prefix costs a row for each of its steps, a look at each entry of
    their lists, and a comparison for each document that these entries can hold
-   ``l`` times (entries / l at most). The cheapest ``l`` is taken.
-3. Equal sets are one node. Each shingle that two prefixes hold has a pivot, its
+   ``m`` times (entries / m at most). The cheapest ``m`` is taken.
+3. Equal sets are one node. Each step that two prefixes hold has a pivot, its
    least node; a node joins the group of each of its pivots. Two nodes that share
-   a shingle share its pivot, so lists are never expanded into pairs.
+   a step share its pivot, so lists are never expanded into pairs.
 4. ``candidate_groups``: an index over the prefixes of a group counts the matches
    of a node with all others at once. Nodes hang together that have the matches
    they need and could have a size in the right proportion; all others leave.
-   Groups beyond one block only lose the nodes that have too few shingles in
+   Groups beyond one block only lose the nodes that have too few steps in
    common with anybody.
 5. Full sets are compared, in blocks of bounded size, and links are confirmed on
    the words (``near_dedup.links_of``). Components give each node its class.
@@ -34,7 +40,8 @@ an id, a null component. Rows that share an id are one document: each of its
 texts takes part. Repeated rows get the same result. Empty tables give empty
 results. A text is held whole in one task; nothing else is kept per task but the
 counters and one block. Only the id and the text are read, so further columns
-may have any name.
+may have any name. ``percent`` has to be 70 or more: below, a set may have too
+few shingles for a prefix with a common step.
 """
 
 from __future__ import annotations
@@ -59,9 +66,9 @@ _SLICES = 64
 # A counter c is kept as 4 log2(1 + c), which fits a byte.
 _STEPS = 4
 MOST_MATCHES = 8
-# What a row of a prefix, an entry of a list and a shingle of a comparison cost.
+# What a row of a step, an entry of a list and a shingle of a comparison cost.
 ROW_COST, ENTRY_COST, SHINGLE_COST = 8.0, 1.0, 1.0
-# Prefix shingles that one task may hold at a time, and shingles of full sets in a block.
+# Steps that one task may hold at a time, and shingles of full sets in a block.
 BLOCK_PREFIXES = 200_000
 BLOCK_SHINGLES = 100_000
 
@@ -72,7 +79,7 @@ def counter_of(shingles: np.ndarray) -> np.ndarray:
     return (mix(shingles) >> np.uint64(42)).astype(np.int64)
 
 
-def shingle_counts(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> tuple[np.ndarray, float]:
+def shingle_counts(docs: DataFrame, width: int, text: str = "text") -> tuple[np.ndarray, float]:
     """(counters on the logarithmic scale, mean of the counters) over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,24 +121,33 @@ def least_shared(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def most_apart(n: int, percent: int) -> int:
+    """Shingles that only one of two sets holds, at most, where the sets link and one has ``n``."""
+    return (100 - percent) * n // percent
+
+
 def prefix_of(shingles: np.ndarray, levels: np.ndarray, mean: float, percent: int,
               most: int = MOST_MATCHES) -> tuple[int, np.ndarray]:
-    """(matches to ask for, prefix) of a sorted set."""
+    """(common steps to ask for, steps of the prefix) of a sorted set."""
     n = len(shingles)
     if 100 * n < percent * (n + 1):
         # One shingle more on the other side already breaks the threshold: it links with equals only.
-        return 1, shingles[:0]
+        return 1, np.zeros(0, np.int64)
     level = levels[counter_of(shingles)]
-    first = n - least_shared(n, percent)
-    most = min(most, n - first)
+    first = n - least_shared(n, percent) + most_apart(n, percent)
+    most = min(most, n - 1 - first)
     # One order for all sets: by counter, then by hash.
-    chosen = np.lexsort((shingles, level))[: first + most]
-    others = np.maximum(np.exp2(level[chosen] / _STEPS) - 2.0 - mean, 0.0)
+    chosen = np.lexsort((shingles, level))[: first + most + 1]
+    level, ordered = level[chosen], shingles[chosen]
+    # A step is in no more documents than either of its shingles.
+    others = np.maximum(np.exp2(np.minimum(level[1:], level[:-1]) / _STEPS) - 2.0 - mean, 0.0)
     entries = np.cumsum(others)[first:]
     asked = np.arange(1, most + 1)
     cost = ROW_COST * (first + asked) + ENTRY_COST * entries + SHINGLE_COST * n * entries / asked
     best = int(np.argmin(cost)) + 1
-    return best, shingles[chosen[: first + best]]
+    with np.errstate(over="ignore"):
+        steps = mix(mix(ordered[:-1]) + ordered[1:])[: first + best].view(np.int64)
+    return best, np.sort(steps)
 
 
 def prefixes_of(docs: DataFrame, width: int, percent: int, levels: Broadcast, mean: float, doc_id: str = "doc_id",
@@ -147,7 +163,7 @@ def prefixes_of(docs: DataFrame, width: int, percent: int, levels: Broadcast, me
                 sizes.append(len(found))
                 digests.append(set_digest(found) if len(found) else None)
                 matches.append(asked)
-                prefixes.append(prefix.view(np.int64))
+                prefixes.append(prefix)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(matches, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
@@ -196,15 +212,15 @@ def candidates(least: np.ndarray, most: np.ndarray, matches: np.ndarray, prefixe
 def candidate_groups(nodes: DataFrame, percent: int, block_prefixes: int = BLOCK_PREFIXES) -> DataFrame:
     """(pivot, node, n_shingles): nodes with as many matches as they ask for share a pivot; stored."""
     named = nodes.where("node is not null")
-    postings = named.select("node", F.explode("prefix").alias("shingle"))
-    # Stored, so that both sides of the join are plain exchanges: a hot shingle is then split.
+    postings = named.select("node", F.explode("prefix").alias("step"))
+    # Stored, so that both sides of the join are plain exchanges: a hot step is then split.
     pivots = cut_lineage(
-        postings.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-        .where("pivot <> last").select("shingle", "pivot")
+        postings.groupBy("step").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
+        .where("pivot <> last").select("step", "pivot")
     )
-    held = cut_lineage(postings.join(pivots, "shingle"))
-    # Shingles that nobody else's prefix holds match nothing; what is left of a prefix is no longer than it was.
-    shared = held.groupBy("node").agg(F.sort_array(F.collect_list("shingle")).alias("shared"))
+    held = cut_lineage(postings.join(pivots, "step"))
+    # Steps that nobody else's prefix holds match nothing.
+    shared = held.groupBy("node").agg(F.sort_array(F.collect_list("step")).alias("shared"))
     # Several sets can carry one id; each of them takes part under it.
     asks = named.groupBy("node").agg(
         F.min("matches").alias("matches"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"),
@@ -265,7 +281,9 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str
                  most_matches: int = MOST_MATCHES, block_prefixes: int = BLOCK_PREFIXES,
                  block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    levels, mean = shingle_counts(docs, width, doc_id, text)
+    if not 70 <= percent <= 100:
+        raise ValueError("percent has to be between 70 and 100")
+    levels, mean = shingle_counts(docs, width, text)
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     sets = prefixes_of(docs, width, percent, shared, mean, doc_id, text, most_matches)
     nodes = nodes_of(sets)

@@ -257,9 +257,10 @@ def _meetings(firsts: DataFrame) -> DataFrame:
     The rows of an element are its nodes times its blocks at most, never pairs of nodes.
     """
     firsts = cut_lineage(firsts.distinct())
-    shared = firsts.groupBy("pivot", "element").agg(
+    # Stored, so that the join splits an element that very many nodes hold.
+    shared = cut_lineage(firsts.groupBy("pivot", "element").agg(
         F.min("block").alias("least"), F.max("block").alias("most"), F.max("guest").alias("any")
-    ).where("least <> most and any").select("pivot", "element")
+    ).where("least <> most and any").select("pivot", "element"))
     firsts = cut_lineage(firsts.join(shared, ["pivot", "element"], "left_semi"))
     blocks = cut_lineage(firsts.groupBy("pivot", "element", F.col("block").alias("there")).agg(
         F.max("guest").alias("asks")

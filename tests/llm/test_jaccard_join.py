@@ -36,37 +36,44 @@ def test_components_against_all_pairs(spark, width, percent, limits):
     assert all(got[i].n_shingles == len(S.word_shingles(t, width)) for i, t in rows)
 
 
-@pytest.mark.parametrize("percent", [80, 90])
-def test_prefixes_of_sets_that_link_share_what_they_ask_for(percent):
+@pytest.mark.parametrize("percent", [70, 80, 90, 97])
+def test_prefixes_of_sets_that_link_share_the_steps_they_ask_for(percent):
     draw = np.random.default_rng(percent)
     levels = draw.integers(0, 60, J.COUNTERS).astype(np.uint8)
-    asked = set()
-    for n in (1, 2, 9, 10, 19, 50, 200):
-        pool = draw.integers(0, 1 << 62, 2 * n).astype(np.uint64)
-        for shift in range(n // 4 + 1):
-            for extra in (0, n // 12):
-                a, b = np.sort(pool[:n]), np.sort(pool[shift : n + shift + extra])
-                both = len(np.intersect1d(a, b))
-                if len(a) == len(b) == both or 100 * both < percent * (len(a) + len(b) - both):
-                    continue
-                # Any two lengths, not only the cheapest ones.
-                for most in ((1, 1), (8, 8), (1, 8), (8, 3)):
-                    (m, p), (k, q) = (J.prefix_of(x, levels, 0.0, percent, w) for x, w in zip((a, b), most, strict=True))
-                    assert len(np.intersect1d(p, q)) >= min(m, k)
-                    asked |= {m, k}
-    assert {1, 8} <= asked
+    asked, linked = set(), 0
+    for n in (*range(2, 24), 50, 200):
+        for _ in range(30):
+            both = int(draw.integers(n * percent // 100, n + 1))
+            pool = draw.integers(0, 1 << 62, 3 * n).astype(np.uint64)
+            a = np.sort(pool[:n])
+            b = np.sort(np.concatenate([pool[:both], pool[n : n + int(draw.integers(0, n * (100 - percent) // percent + 2))]]))
+            if len(a) == len(b) == both or 100 * both < percent * (len(a) + len(b) - both):
+                continue
+            linked += 1
+            # Any two lengths, not only the cheapest ones.
+            for most in ((1, 1), (8, 8), (1, 8), (8, 3)):
+                (m, p), (k, q) = (J.prefix_of(x, levels, 0.0, percent, w) for x, w in zip((a, b), most, strict=True))
+                assert len(np.intersect1d(p, q)) >= min(m, k) >= 1
+                asked |= {m, k}
+    assert linked > 50 and {1, 8} <= asked
+
+
+def test_every_set_that_can_link_has_a_prefix():
+    for percent in range(70, 101):
+        for n in range(1, 400):
+            if 100 * n >= percent * (n + 1):
+                assert J.most_apart(n, percent) + n - J.least_shared(n, percent) + 2 <= n
 
 
 def test_costly_prefixes_are_longer_and_ask_for_more():
     shingles = np.sort(np.random.default_rng(2).integers(0, 1 << 62, 100).astype(np.uint64))
     levels = np.full(J.COUNTERS, 4, np.uint8)
     rare = J.prefix_of(shingles, levels, 0.0, 90)
-    assert rare[0] == 1 and len(rare[1]) == 11
-    # Ten shingles that 250 documents hold come into the prefix only behind all others.
-    levels[J.counter_of(shingles[:92])] = 32
+    # 100 - 90 shingles may be missing, 11 may part common ones.
+    assert rare[0] == 1 and len(rare[1]) == 22
+    levels[J.counter_of(shingles[:85])] = 32
     often = J.prefix_of(shingles, levels, 0.0, 90)
-    assert often[0] > 1 and len(often[1]) == 10 + often[0]
-    assert set(shingles[92:]) <= set(often[1])
+    assert often[0] > 1 and len(often[1]) == 21 + often[0]
 
 
 def test_too_few_matches_part_documents():
