@@ -18,8 +18,9 @@ widened by a relative 1e-6 against rounding. At most k rows of each query leave
 a block pair.
 
 Defined cases. Vectors that are null or hold null or non-finite components take
-no part. A finite component of 2^20 or more raises: its integer reaches 2^28, and
-sums of such products may fit no long.
+no part. A finite component whose integer fits no long (2^55 or more) raises. Where
+the lengths of a query and a candidate that is reached allow a product beyond a
+long, it is added up without a limit; a result that fits no long raises.
 Shorter vectors count as padded with zeros. Rows without an id take no part as
 queries; as candidates they come last among ties. Rows that repeat a query's id
 count as the query's own. A query id that repeats is asked once, with its least
@@ -52,9 +53,9 @@ def integers(vector: Column) -> Column:
     """floor(256 x) of each component, null where the vector takes no part; too large a component raises."""
     scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * 256))
     usable = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    fits = F.forall(vector, lambda x: F.abs(x.cast("double")) < float(1 << 20))
-    too_large = F.raise_error(F.lit("a vector component is 2^20 or more in absolute value"))
-    return F.when(usable & ~fits, too_large).when(usable, F.transform(scaled, lambda x: x.cast("int")))
+    fits = F.forall(vector, lambda x: F.abs(x.cast("double")) < float(1 << 55))
+    too_large = F.raise_error(F.lit("a vector component is 2^55 or more in absolute value"))
+    return F.when(usable & ~fits, too_large).when(usable, F.transform(scaled, lambda x: x.cast("long")))
 
 
 def squared_length(vector: Column) -> Column:
@@ -108,6 +109,18 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 _NO_ID = np.iinfo(np.int64).max
+_LONGS = np.iinfo(np.int64)
+
+
+def products(held: np.ndarray, query: np.ndarray, reach: float) -> np.ndarray:
+    """Whole inner products; ``reach`` bounds them in absolute value."""
+    if reach < 2.0**62:
+        return held @ query
+    exact = [sum(int(a) * int(b) for a, b in zip(row, query, strict=True)) for row in held]
+    if max(exact) > _LONGS.max:
+        raise OverflowError("an inner product fits no long")
+    # What is too low stays behind all that fits.
+    return np.array([max(x, _LONGS.min) for x in exact], np.int64)
 
 
 class Block:
@@ -141,21 +154,24 @@ def search(queries: Block, least: np.ndarray, held: Block, k: int) -> Iterator[t
         near = np.flatnonzero((bound >= floor) & (held.ids[:stop] != queries.ids[i]))
         if not len(near):
             continue
-        scores = held.vectors[near] @ queries.vectors[i]
+        reach = queries.length[i] * held.length[near].max() * (1 + SLACK)
+        scores = products(held.vectors[near], queries.vectors[i], reach)
         best = _top(scores, held.ids[near], k)
+        if (scores[best] == _LONGS.min).any():
+            raise OverflowError("an inner product fits no long")
         keep = best[scores[best] >= floor]
         if len(keep):
             yield i, held.ids[near[keep]], scores[keep]
 
 
 def _packed(rows: DataFrame, per_block: int, width: int) -> DataFrame:
-    """Blocks of rows by descending length: ids, 32-bit integers of all vectors, greatest length."""
+    """Blocks of rows by descending length: ids, integers of all vectors (32 bits where they fit), greatest length."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors, longest = np.zeros(0, np.int64), np.zeros((0, width), np.int32), []
+        ids, vectors, longest = np.zeros(0, np.int64), np.zeros((0, width), np.int64), []
         for batch in batches:
             ids = np.concatenate([ids, np.asarray(batch.column(0).fill_null(_NO_ID))])
-            vectors = np.concatenate([vectors, _matrix(batch.column(1), width).astype(np.int32)])
+            vectors = np.concatenate([vectors, _matrix(batch.column(1), width)])
             longest += batch.column(2).to_pylist()
             while len(ids) >= per_block:
                 yield block(ids[:per_block], vectors[:per_block], longest[0])
@@ -164,6 +180,8 @@ def _packed(rows: DataFrame, per_block: int, width: int) -> DataFrame:
             yield block(ids, vectors, longest[0])
 
     def block(ids: np.ndarray, vectors: np.ndarray, longest: float) -> pa.RecordBatch:
+        narrow = vectors.astype(np.int32)
+        vectors = narrow if (narrow == vectors).all() else vectors
         return pa.RecordBatch.from_arrays(
             [pa.array([ids.tobytes()], pa.binary()), pa.array([vectors.tobytes()], pa.binary()),
              pa.array([longest], pa.float64())], names=["ids", "vectors", "longest"],
@@ -175,8 +193,9 @@ def _packed(rows: DataFrame, per_block: int, width: int) -> DataFrame:
 
 
 def _load(ids: pa.Scalar, vectors: pa.Scalar, width: int, turn: np.ndarray) -> Block:
-    numbers = np.frombuffer(ids.as_py(), np.int64)
-    return Block(numbers, np.frombuffer(vectors.as_py(), np.int32).reshape(len(numbers), width).astype(np.int64), turn)
+    numbers, raw = np.frombuffer(ids.as_py(), np.int64), vectors.as_py()
+    kind = np.int64 if len(raw) == 8 * len(numbers) * width else np.int32
+    return Block(numbers, np.frombuffer(raw, kind).reshape(len(numbers), width).astype(np.int64), turn)
 
 
 def top_inner_products(vectors: DataFrame, k: int, is_query: Column, vec_id: str = "vec_id",

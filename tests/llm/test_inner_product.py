@@ -51,6 +51,33 @@ def test_edge_vectors(spark):
     assert run(spark, []) == {}
 
 
-def test_a_component_beyond_the_bound_raises(spark):
-    with pytest.raises(Exception, match="2\\^20"):
-        run(spark, [(0, [1.0, 2.0]), (7, [2.0**20, 1.0])])
+def run_wide(spark, rows, k=5):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in
+                  ip.top_inner_products(df, k, F.pmod("vec_id", F.lit(50)) == 0).collect())
+
+
+def test_large_components_are_scored_while_a_long_holds_the_score(spark):
+    rows = [(0, [2.0**20, 1.0]), (7, [2.0**20, 2.0]), (8, [-(2.0**22), 0.0])]
+    big = 1 << 28
+    assert run_wide(spark, rows) == [(0, 1, 7, big * big + 256 * 512), (0, 2, 8, -4 * big * big)]
+    # 256 components whose squares add up to just below 2^63.
+    side = math.isqrt(((1 << 63) - 1) // 256) // 256
+    wide = [(0, [float(side)] * 256), (7, [float(side)] * 256), (8, [1.0] * 256)]
+    assert run_wide(spark, wide) == [(0, 1, 7, 256 * (256 * side) ** 2), (0, 2, 8, 256 * 256 * 256 * side)]
+    # The bound of lengths is beyond a long, the products are not.
+    apart = [(0, [2.0**30, 0.0]), (7, [1.0, 2.0**30]), (8, [0.0, -(2.0**30)])]
+    assert run_wide(spark, apart) == [(0, 1, 7, 2**38 * 256), (0, 2, 8, 0)]
+
+
+def test_a_score_beyond_a_long_raises(spark):
+    for wide in ([(0, [2.0**20 - 1] * 256), (7, [2.0**20 - 1] * 256)], [(0, [2.0**30, 1.0]), (7, [-(2.0**30), 1.0])],
+                 [(0, [1.0, 2.0]), (7, [2.0**55, 1.0])]):
+        with pytest.raises(Exception, match="fits no long|2\\^55"):
+            run_wide(spark, wide)
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [3.0, 0.0])]
+    # Asked once, with its least vector; candidates that repeat each count.
+    assert run_wide(spark, rows) == [(0, 1, 8, 128 * 768), (0, 2, 7, 128 * 256), (0, 3, 7, 128 * 256)]
