@@ -7,9 +7,11 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickloom.session import cut_lineage
+
 # Fixed value: the characters that separate words, [\x20\x09-\x0D].
 SPACE = "\t\n\x0b\x0c\r "
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +25,38 @@ def text_of(text: str | Column = "text") -> Column:
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
 
 
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, with as many underscores behind as it takes to clash with no column, whatever its case."""
+    taken = {c.lower() for table in tables for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(rows: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
+    """``rows`` with their place from 1 among those of equal ``keys``.
+
+    A key may hold any share of the rows, so no task counts a whole key. Rows are
+    range-partitioned by key and order and stored; the counts of the ranges in
+    front of a row and its place in its own range give its place.
+    """
+    part, row, front, inside, n = (free_name(x, rows) for x in ("part__", "row__", "front__", "inside__", "n__"))
+    rows = rows.withColumn(row, F.monotonically_increasing_id())
+    order = [*order, F.asc(row)]
+    ranged = cut_lineage(rows.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    fronts = ranged.groupBy(*keys, part).agg(F.count("*").alias(n)).select(
+        *[F.col(k).alias(f"{front}{i}") for i, k in enumerate(keys)], F.col(part).alias(f"{front}p"),
+        F.coalesce(F.sum(n).over(before), F.lit(0)).alias(front),
+    )
+    same = F.col(part) == F.col(f"{front}p")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"{front}{i}"))
+    placed = ranged.withColumn(inside, F.row_number().over(Window.partitionBy(*keys, part).orderBy(*order)))
+    kept = [c for c in rows.columns if c != row]
+    return placed.join(fronts, same).select(*kept, (F.col(front) + F.col(inside)).alias(out))
+
+
 _shipped: set[str] = set()
 
 
@@ -93,9 +127,10 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, may_learn: Co
     part; of several labels of one id the largest counts.
     """
     usable = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & may_learn)
+    id_, label_ = free_name("id__", docs), free_name("label__", docs)
     drawn = bounded_sample(
-        usable.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__label")), "__id", limit
+        usable.groupBy(F.col(doc_id).alias(id_)).agg(F.max(label).cast("int").alias(label_)), id_, limit
     )
-    return docs.join(F.broadcast(drawn), F.col(doc_id) == F.col("__id")).select(
-        text_of(text).alias("text"), F.col("__label").alias("label")
+    return docs.join(F.broadcast(drawn), F.col(doc_id) == F.col(id_)).select(
+        text_of(text).alias("text"), F.col(label_).alias("label")
     )

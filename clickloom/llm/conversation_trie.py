@@ -31,10 +31,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import ship_code
+from clickloom.llm.common import numbered, ship_code
 from clickloom.llm.tree_contraction import subtree_sums
 from clickloom.operators.rendering import text_parts
 from clickloom.session import cut_lineage
@@ -52,16 +52,9 @@ def numbered_turns(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn"
     turns = rows.where(F.col(conv_id).isNotNull()).select(
         F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), digest.alias("digest"),
         F.length(said).cast("long").alias("chars"),
-    ).withColumn("row", F.monotonically_increasing_id())
-    order = [F.asc_nulls_first("turn"), F.asc("digest"), F.asc("row")]
-    ranged = cut_lineage(turns.repartitionByRange("conv_id", *order).withColumn("range", F.spark_partition_id()))
-    before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    fronts = ranged.groupBy("conv_id", "range").agg(F.count("*").alias("n")).select(
-        "conv_id", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("front")
     )
-    inside = F.row_number().over(Window.partitionBy("conv_id", "range").orderBy(*order))
-    placed = ranged.withColumn("inside", inside).join(fronts, ["conv_id", "range"])
-    return cut_lineage(placed.select("conv_id", (F.col("front") + F.col("inside")).alias("pos"), "digest", "chars"))
+    placed = numbered(turns, ["conv_id"], [F.asc_nulls_first("turn"), F.asc("digest")], "pos")
+    return cut_lineage(placed.select("conv_id", "pos", "digest", "chars"))
 
 
 def rebuild(turns: DataFrame, shared: Column, base: Column, most_shared: int) -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,8 @@
 """Language proportions of a text by expectation maximisation over n-gram likelihoods.
 
 The model holds, for each language, the log probabilities of letter trigrams
-(hashed to ``BUCKETS``), counted over about ``SAMPLE_PER_LANGUAGE`` labelled texts
-of each language, however many there are. The units of a text are its words: a
+(hashed to ``BUCKETS``), counted over ``SAMPLE_PER_LANGUAGE`` different labelled
+texts of each language, or all if there are fewer. The units of a text are its words: a
 word's likelihood under a language is the product over its trigrams, word
 borders included. Expectation maximisation gives the proportion of each language. The language set is found
 by penalised likelihood: the languages are ranked by proportion, the mixture of
@@ -31,10 +31,10 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import small_batches, text_of
+from clickloom.llm.common import free_name, small_batches, text_of
 
 SAMPLE_PER_LANGUAGE = 2_000
 BUCKETS = 1 << 16
@@ -98,22 +98,23 @@ def choose(words: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.
     return chosen[by_share], share[by_share]
 
 
-def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, doc_id: str = "doc_id", text: str = "text",
+def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, text: str = "text",
           lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """(languages, table of log probabilities) from about ``per_language`` texts of each language.
+    """(languages, table of log probabilities) from at most ``per_language`` different texts of each language.
 
-    A row is drawn by a hash of its id and text, at the rate that its language's
-    count asks for; so nothing is shuffled but the drawn rows.
+    Those with the least hashes are drawn, from hashes alone; Spark limits each
+    task's hashes before they are shuffled. A text that repeats counts once, so
+    every language is learnt and the sample is bounded, whatever the copies.
     """
-    keyed = labelled.where(F.col(lang).isNotNull())
-    counts = keyed.groupBy(F.col(lang).alias("lang")).count().collect()
-    rates = [x for name, n in counts for x in (F.lit(name), F.lit(per_language / n))]
-    if not rates:
-        return [], np.zeros((BUCKETS, 0), np.float32)
-    place = F.pmod(F.xxhash64(doc_id, text), F.lit(1 << 30)) / float(1 << 30)
-    sample = keyed.where(place < F.create_map(*rates)[F.col(lang)]).select(
-        F.col(lang).alias("lang"), text_of(text).alias("text")
-    )
+    code = free_name("code__", labelled)
+    keyed = labelled.where(F.col(lang).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"), text_of(text).alias("text")
+    ).withColumn(code, F.xxhash64("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(code))
+    drawn = keyed.select("lang", code).distinct().withColumn("rank", rank).where(F.col("rank") <= per_language)
+    sample = keyed.join(F.broadcast(drawn.select("lang", code)), ["lang", code]).groupBy("lang", code).agg(
+        F.min("text").alias("text")
+    ).select("lang", "text")
 
     def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.float64)

@@ -126,3 +126,16 @@ def test_trigrams_keep_word_borders():
     assert len(codes) == 4 and starts.tolist() == [0, 2]
     assert language.trigrams("12 !")[0].size == 0
     random.seed(1)
+
+
+def test_copies_neither_hide_nor_flood_a_language(spark):
+    rows = [(i, "the same words of one language again", "aa") for i in range(5_000)]
+    rows += [(9_000 + i, f"eine andere sprache mit wörtern {i}x", "bb") for i in range(40)] + [(1, "ünïque ñandú", "cc")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, code__ int")
+    languages, table = language.train(docs, per_language=10)
+    assert languages == ["aa", "bb", "cc"]
+    # One text counts once: as many trigrams as letters, and no more than 10 texts of "bb".
+    again, other = language.train(docs.repartition(7), per_language=10)
+    assert again == languages and (other == table).all()
+    one, _ = language.train(docs.dropDuplicates(["text"]), per_language=10)
+    assert one == languages and (language.train(docs.dropDuplicates(["text"]), per_language=10)[1] == table).all()
