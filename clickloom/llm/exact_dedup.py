@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE, join_groups, ship_code, text_of
+from clickloom.llm.common import free_name, SPACE, join_groups, ship_code, text_of
 from clickloom.session import cut_lineage
 
 # Digests per bucket of the index: a slot takes 64 bytes, so a bucket about 3 MB.
@@ -205,19 +205,22 @@ def first_half() -> Column:
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with their own columns."""
     judged = dedupe(digest_rows(docs, doc_id, text), first_half())
+    id_, hash_, points, own_id, own_hash, own_points, n = (
+        free_name(x, docs) for x in ("id__", "hash__", "points__", "own_id__", "own_hash__", "own_points__", "n__")
+    )
     kept = judged.where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("points").alias("__points")
+        F.col("doc_id").alias(id_), F.col("digest").alias(hash_), F.col("points").alias(points)
     )
     whole = text_of(text)
     keyed = docs.select(
-        "*", F.col(doc_id).cast("long").alias("__doc"), digest(whole).alias("__text_digest"),
-        F.length(whole).cast("long").alias("__length"),
+        "*", F.col(doc_id).cast("long").alias(own_id), digest(whole).alias(own_hash),
+        F.length(whole).cast("long").alias(own_points),
     )
     # Kept rows are about as many as rows: shuffled at every size, never broadcast.
     matched = keyed.join(
-        kept.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_digest") == F.col("__digest"))
-        & (F.col("__length") == F.col("__points")),
+        kept.hint("merge"), F.col(own_id).eqNullSafe(F.col(id_)) & (F.col(own_hash) == F.col(hash_))
+        & (F.col(own_points) == F.col(points)),
     )
     # Rows alike in all three are copies of one another: the join has brought them together.
-    once = Window.partitionBy("__doc", "__text_digest", "__length").orderBy("__length")
-    return matched.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)
+    once = Window.partitionBy(own_id, own_hash, own_points).orderBy(own_points)
+    return matched.withColumn(n, F.row_number().over(once)).where(F.col(n) == 1).select(*docs.columns)

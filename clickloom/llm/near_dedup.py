@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import join_groups, small_batches, text_of
+from clickloom.llm.common import free_name, join_groups, small_batches, text_of
 from clickloom.llm.shingles import band_keys, linked, set_digest, shingle_set, signature
 from clickloom.operators.graph import connected_components
 from clickloom.session import cut_lineage
@@ -358,8 +358,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id",
                          text: str = "text") -> DataFrame:
     """The documents that stay, with their own columns. Documents without an id cannot be named and all stay."""
-    judged = near_duplicates(docs, width, percent, doc_id, text)
-    kept = judged.where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept.hint("merge"), F.col(doc_id).cast("long") == F.col("__kept"), "left_semi")
+    judged, name = near_duplicates(docs, width, percent, doc_id, text), free_name("kept__", docs)
+    kept = judged.where("kept and doc_id is not null").select(F.col("doc_id").alias(name)).distinct()
+    named = docs.join(kept.hint("merge"), F.col(doc_id).cast("long") == F.col(name), "left_semi")
     nameless = docs.where(F.col(doc_id).isNull())
     return named.unionByName(nameless)

@@ -75,3 +75,14 @@ def test_drop_copies_keeps_one_row_and_all_columns(spark):
     assert sorted(texts) == sorted({squeeze(r[1]) for r in cases.edge_rows()})
     assert {r.doc_id for r in kept.collect()} >= {3, 7, 8}  # most code points stay
     assert exact_dedup.drop_copies(cases.edge_docs(spark, empty=True)).count() == 0
+
+
+def test_any_column_name(spark):
+    from clickloom.llm import near_dedup
+
+    names = ["id__", "hash__", "points__", "own_id__", "OWN_HASH__", "own_points__", "n__", "kept__", "__id", "__doc"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} int" for n in names)
+    docs = spark.createDataFrame([(i, t, *range(len(names))) for i, t in enumerate(["a b", "ab", "c d e f", "c  d e f"])], schema)
+    for keep in (exact_dedup.drop_copies, near_dedup.drop_near_duplicates):
+        kept = keep(docs)
+        assert kept.columns == docs.columns and {tuple(r[2:]) for r in kept.collect()} == {tuple(range(len(names)))}
