@@ -76,11 +76,11 @@ def identity_map(pairs: DataFrame, slot_chars: int = SLOT_CHARS) -> DataFrame:
     ).select("slot", "cid_hash", "uid", "cid", F.col("id_type").try_cast("int").alias("id_type"), "minute", "num")
 
 
-def history_from_daily_base(base: DataFrame) -> DataFrame:
-    """Daily base rows (coded uid, no hash) as identity records."""
+def history_from_daily_base(base: DataFrame, *more: str) -> DataFrame:
+    """Daily base rows (coded uid, no hash) as identity records, with further columns ``more``."""
     return base.select(
         md5_signed64(F.col("cid")).alias("cid_hash"), compact_id_decode(F.col("uid_code")).alias("uid"),
-        "cid", "id_type", "minute", "num",
+        "cid", "id_type", "minute", "num", *more,
     )
 
 
@@ -106,25 +106,35 @@ def uid_sightings(records: DataFrame) -> DataFrame:
 class HistoryMerge:
     """Result of merging a window into the history.
 
-    Both are plans over stored tables; store ``changes`` when several outputs
-    are made of it.
+    ``merged`` holds the ids of the window, ``untouched`` the history's records of
+    all other ids (None without a history). ``merged`` and ``changes`` are plans
+    over stored tables; store ``changes`` when several outputs are made of it.
     """
 
     merged: DataFrame
+    untouched: DataFrame | None
     changes: DataFrame
 
+    def everything(self) -> DataFrame:
+        return self.merged if self.untouched is None else self.merged.unionByName(self.untouched)
+
 
 def merge_history(window: DataFrame, history: DataFrame | None, recent: int = RECENT_PER_GROUP,
                   group_limit: int = GROUP_SIZE_LIMIT) -> HistoryMerge:
     """Merge a window's records into the history; the oldest uid of a group wins.
 
-    ``changes`` is (old_uid, new_uid, minute) for every uid that shares a cid
-    with another one, unchanged uids included. Groups of ``group_limit`` uids
-    or more are implausible as a person and change nothing.
+    ``history`` has one record per id, so only ids of the window can have two
+    uids: no other record of the history is stored or grouped. ``changes`` is
+    (old_uid, new_uid, minute) for every uid that shares a cid with another one,
+    unchanged uids included. Groups of ``group_limit`` uids or more are
+    implausible as a person and change nothing.
     """
-    fresh = recent_per_group(window.select(*IDENTITY_COLUMNS), limit=recent)
-    records = fresh if history is None else fresh.unionByName(history.select(*IDENTITY_COLUMNS))
-    records = cut_lineage(records)
+    fresh = cut_lineage(recent_per_group(window.select(*IDENTITY_COLUMNS), limit=recent))
+    records, untouched = fresh, None
+    if history is not None:
+        known, touched = history.select(*IDENTITY_COLUMNS), fresh.select("cid_hash").distinct()
+        records = cut_lineage(fresh.unionByName(known.join(touched, ["cid_hash"], "left_semi")))
+        untouched = known.join(touched, ["cid_hash"], "left_anti")
 
     seen = uid_sightings(records)
     roots = cut_lineage(
@@ -142,7 +152,7 @@ def merge_history(window: DataFrame, history: DataFrame | None, recent: int = RE
     plausible = oldest.where(F.col("n_rows") < group_limit)
     changes = spread_join(members, plausible.select("component", "oldest"), ["component"], "inner", counts=oldest)
     changes = changes.select(F.col("uid").alias("old_uid"), F.col("oldest").alias("new_uid"), "minute")
-    return HistoryMerge(merged=merge_records(records), changes=changes)
+    return HistoryMerge(merged=merge_records(records), untouched=untouched, changes=changes)
 
 
 def real_changes(changes: DataFrame) -> DataFrame:

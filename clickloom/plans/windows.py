@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.functions.hashing import compact_id_encode
 from clickloom.functions.times import hour_list, hours_before, previous_day, previous_hour, slot_minute
 from clickloom.plans import channels, identity
+from clickloom.plans.index import BUCKETS, IdentityIndex, read_base, read_layer, redirects_of, write_base, write_bucketed
 from clickloom.session import cut_lineage
 from clickloom.sources.logs import scan_hours
 from clickloom.sources.sinks import COOKIE_KIND, hourly_kinds, write_hourly
@@ -20,15 +20,16 @@ from clickloom.sources.sinks import COOKIE_KIND, hourly_kinds, write_hourly
 
 @dataclass
 class WindowPaths:
-    """Where the windows keep their tables."""
+    """Where the windows keep their tables, and in how many buckets the index lies (the same in all runs)."""
 
     root: str
+    buckets: int = BUCKETS
 
     def hourly(self) -> str:
         return f"{self.root}/hourly"
 
-    def history(self, slot: str) -> str:
-        return f"{self.root}/history/{slot}"
+    def delta(self, slot: str, part: str) -> str:
+        return f"{self.root}/index/{slot}/{part}"
 
     def daily_base(self, day: str) -> str:
         return f"{self.root}/daily_base/{day}"
@@ -54,12 +55,28 @@ def _stored(spark: SparkSession, path: str, may_lack: bool) -> DataFrame | None:
 
 
 def previous_index(spark: SparkSession, paths: WindowPaths, hours: list[str], last: str,
-                   first_run: bool = False) -> DataFrame | None:
-    """History to merge into: the day's base table after a last hour 23, else the last window's index."""
+                   first_run: bool = False) -> tuple[IdentityIndex, str | None, list[str]]:
+    """(index to merge into, day of its base, slots of its layers).
+
+    After a last hour 23 it is the day's base table alone, else what the last
+    window stood on and its layer.
+    """
     if last.endswith("-23"):
-        base = _stored(spark, paths.daily_base(hours[0][:10]), first_run)
-        return None if base is None else identity.history_from_daily_base(base)
-    return _stored(spark, paths.history(last), first_run)
+        day = hours[0][:10]
+        found = _stored(spark, paths.daily_base(day), first_run)
+        return (IdentityIndex(None), None, []) if found is None else (_index(spark, paths, day, []), day, [])
+    known = _stored(spark, paths.delta(last, "layers"), first_run)
+    if known is None:
+        return IdentityIndex(None), None, []
+    day, below = known.select("base", "slots").first()
+    slots = [*below, last]
+    return _index(spark, paths, day, slots), day, slots
+
+
+def _index(spark: SparkSession, paths: WindowPaths, day: str | None, slots: list[str]) -> IdentityIndex:
+    layers = [read_layer(spark, paths.delta(slot, "records"), paths.delta(slot, "redirects")) for slot in slots]
+    base = None if day is None else read_base(spark, paths.daily_base(day))
+    return IdentityIndex(base, layers, paths.buckets)
 
 
 def run_hourly(spark: SparkSession, log_paths: Sequence[str], paths: WindowPaths, hours: list[str]) -> None:
@@ -74,13 +91,28 @@ def run_hourly(spark: SparkSession, log_paths: Sequence[str], paths: WindowPaths
 def run_window(spark: SparkSession, paths: WindowPaths, hours: list[str], last: str,
                recent: int = schemas.RECENT_PER_GROUP, group_limit: int = schemas.GROUP_SIZE_LIMIT,
                first_run: bool = False) -> None:
-    """Merge one window and write its outputs below its last hour."""
+    """Merge one window and write its outputs below its last hour.
+
+    Reads the buckets and ids of the index that the window touches and writes a
+    layer of them; the whole index is read and written once a day, as the base.
+    """
     slot, start, minutes = hours[-1], slot_minute(hours[0]), 60 * len(hours)
     window = spark.read.parquet(paths.hourly()).where(F.col("slot").isin(*hours))
-    merge = identity.merge_history(window, previous_index(spark, paths, hours, last, first_run), recent, group_limit)
+    index, day, slots = previous_index(spark, paths, hours, last, first_run)
+    cids = cut_lineage(window.select("cid_hash").distinct())
+    known = None if index.is_empty() else index.records(cids)
+    merge = identity.merge_history(window, known, recent, group_limit)
     changes = cut_lineage(merge.changes)
-    index = cut_lineage(identity.remap_uids(merge.merged, changes))
-    added = identity.window_records(index, start, minutes)
+    # The layer of this window: nothing of the index but its ids is written again.
+    write_bucketed(identity.remap_uids(merge.everything(), changes), paths.delta(slot, "records"), paths.buckets)
+    redirects_of(changes).write.mode("overwrite").parquet(paths.delta(slot, "redirects"))
+    layers = spark.createDataFrame([(day, slots)], "base string, slots array<string>")
+    layers.coalesce(1).write.mode("overwrite").parquet(paths.delta(slot, "layers"))
+    layer = read_layer(spark, paths.delta(slot, "records"), paths.delta(slot, "redirects"))
+    added = identity.window_records(layer.records, start, minutes).select(*identity.IDENTITY_COLUMNS)
+    if known is not None:
+        older = identity.remap_uids(index.older_in_range(start, start + minutes, cids), changes)
+        added = added.unionByName(older)
     outputs = {
         "delete": identity.uids_to_delete(changes, start),
         "add": identity.add_rows(added, group_limit),
@@ -92,10 +124,8 @@ def run_window(spark: SparkSession, paths: WindowPaths, hours: list[str], last:
     write_hourly(hourly_kinds(identity.slot_rows(window, changes)), paths.idmap(), "slot")
     if slot.endswith("-23"):
         # The next day starts from the coded base table.
-        base = index.select(compact_id_encode(F.col("uid")).alias("uid_code"), "cid", "id_type", "minute", "num")
-        base.write.mode("overwrite").parquet(paths.daily_base(_next_day(slot)))
-    else:
-        index.write.mode("overwrite").parquet(paths.history(slot))
+        whole = _index(spark, paths, day, [*slots, slot]).records()
+        write_base(whole, paths.daily_base(_next_day(slot)), paths.buckets)
 
 
 def _next_day(slot: str) -> str:
@@ -135,7 +165,7 @@ def run_daily_merge(spark: SparkSession, paths: WindowPaths, day: str, change_sl
 
 def run_windows(spark: SparkSession, log_paths: Sequence[str], root: str, start: str, hour_span: int, run_count: int,
                 last: str | None = None, do_hourly: bool = True, do_merge: bool = True, first_run: bool = False,
-                **limits) -> list[str]:
+                buckets: int = BUCKETS, **limits) -> list[str]:
     """Run consecutive windows over log tables and return the slot each one was saved under.
 
     A missing history raises, unless ``first_run`` says that there is none: then
@@ -144,7 +174,7 @@ def run_windows(spark: SparkSession, log_paths: Sequence[str], root: str, start:
     follows, over all windows that ended on that day. A span of more than a day
     has its channel history under the days its windows end on.
     """
-    paths = WindowPaths(root.rstrip("/"))
+    paths = WindowPaths(root.rstrip("/"), buckets)
     saved: list[str] = []
     every = hour_list(start, hour_span * run_count)
     merged_days = 0

@@ -116,7 +116,7 @@ def _(t):
 def _(t):
     window, history = _window_and_history(t)
     merge = identity.merge_history(window, history)
-    return identity.remap_uids(merge.merged, merge.changes)
+    return identity.remap_uids(merge.everything(), merge.changes)
 
 
 @query("history_from_daily_base", f"""
@@ -145,7 +145,7 @@ SELECT {sql_code('uid')} AS uid_code, t1, t2, t3, t4, t5, total FROM wide""")
 def _(t):
     window, history = _window_and_history(t)
     merge = identity.merge_history(window, history)
-    index = cut_lineage(identity.remap_uids(merge.merged, merge.changes))
+    index = cut_lineage(identity.remap_uids(merge.everything(), merge.changes))
     return identity.add_rows(identity.window_records(index, _START, _MINUTES))
 
 
@@ -330,5 +330,6 @@ def _(t):
             hour_key(F.col("ts")).alias("hour"), line.alias("value")), path)
     first, last = t.events.agg(F.date_trunc("hour", F.min("ts")), F.date_trunc("hour", F.max("ts"))).first()
     span = int((last - first).total_seconds() // 3600) // 3 + 1
-    windows.run_windows(t.spark, paths, root, f"{first:%Y-%m-%d-%H}", span, 3, first_run=True)
+    windows.run_windows(t.spark, paths, root, f"{first:%Y-%m-%d-%H}", span, 3, first_run=True,
+                        buckets=8)
     return t.spark.read.parquet(windows.WindowPaths(root).idmap())

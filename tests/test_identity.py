@@ -1,6 +1,7 @@
 """Window driver and identity jobs against plain Python on a small fixture."""
 
 import hashlib
+import pathlib
 import random
 import struct
 from collections import defaultdict
@@ -11,7 +12,7 @@ from test_graph import union_find
 
 from clickloom.functions.hashing import CODE_DIGITS
 from clickloom.functions.times import hour_list, slot_minute
-from clickloom.plans import channels, identity, windows
+from clickloom.plans import channels, identity, index, windows
 from clickloom.sources import logs
 
 
@@ -104,7 +105,7 @@ def write_pairs(spark, pairs, folder):
 
 def test_missing_tables_raise_and_short_windows_all_count(spark, folder):
     log = write_pairs(spark, make_pairs(), folder)
-    saved = windows.run_windows(spark, [log], folder, "2024-01-01-16", 4, 4, first_run=True, recent=3, group_limit=3)
+    saved = windows.run_windows(spark, [log], folder, "2024-01-01-16", 4, 4, first_run=True, recent=3, group_limit=3, buckets=4)
     assert saved == ["2024-01-01-19", "2024-01-01-23", "2024-01-02-03", "2024-01-02-07"]
     assert windows.day_window_ends("2024-01-02-23", 4) == [f"2024-01-02-{h:02d}" for h in (3, 7, 11, 15, 19, 23)]
     assert windows.day_window_ends("2024-01-01-23", 4, "2024-01-01-16") == saved[:2]
@@ -117,7 +118,7 @@ def test_missing_tables_raise_and_short_windows_all_count(spark, folder):
     with pytest.raises(FileNotFoundError):
         windows.run_windows(spark, [log], folder, "2024-01-05-00", 4, 1)
     # Going on from what is there needs no flag, and reads the hours' directories only.
-    windows.run_windows(spark, [log], folder, "2024-01-02-08", 4, 1, last="2024-01-02-07")
+    windows.run_windows(spark, [log], folder, "2024-01-02-08", 4, 1, last="2024-01-02-07", buckets=4)
     plan = logs.scan_hours(spark, [log], ["2024-01-01-16"])._jdf.queryExecution().executedPlan().toString()
     assert "2024-01-01" in plan[plan.index("PartitionFilters"):] and "PushedFilters: [IsNotNull(hour)" in plan
 
@@ -127,7 +128,7 @@ def test_windows_against_plain_python(spark, folder):
     log = write_pairs(spark, pairs, folder)
     with pytest.raises(FileNotFoundError):
         windows.run_windows(spark, [log], folder, "2024-01-01-16", 8, 1, recent=3, group_limit=3)
-    saved = windows.run_windows(spark, [log], folder, "2024-01-01-16", 8, 2, first_run=True, recent=3, group_limit=3)
+    saved = windows.run_windows(spark, [log], folder, "2024-01-01-16", 8, 2, first_run=True, recent=3, group_limit=3, buckets=4)
     assert saved == ["2024-01-01-23", "2024-01-02-07"]
     paths = windows.WindowPaths(folder)
     slots = hourly(pairs)
@@ -136,17 +137,18 @@ def test_windows_against_plain_python(spark, folder):
 
     history = []
     dropped_changes = False
+    table = windows.previous_index(spark, paths, hour_list("2024-01-02-08", 1), saved[-1])[0]
     for run, slot in enumerate(saved):
         hours = hour_list("2024-01-01-16", 16)[run * 8:run * 8 + 8]
         start = slot_minute(hours[0])
         window = [(c, *v) for h in hours for c, v in slots.get(h, {}).items()]
-        index, changes = merge(window, history, 3, 3)
+        merged, changes = merge(window, history, 3, 3)
         log = {(r.old_code, r.new_code, r.minute) for r in spark.read.parquet(paths.output(slot, "changes")).collect()}
         assert log == {(code(o), code(n), m) for o, (n, m) in changes.items()}
         deleted = {(r.old_code, r.new_code) for r in spark.read.parquet(paths.output(slot, "delete")).collect()}
         assert deleted == {(code(o), code(n)) for o, (n, m) in changes.items() if o != n and m < start}
         lists = defaultdict(list)
-        for cid, uid, kind, minute, num in index:
+        for cid, uid, kind, minute, num in merged:
             if start <= minute < start + 480:
                 lists[(uid, kind)].append((-minute, cid, f"{cid}|{minute}|{num}"))
         dropped_changes |= any(len(v) >= 3 for v in lists.values())
@@ -161,13 +163,58 @@ def test_windows_against_plain_python(spark, folder):
         assert {(r.slot, r.cid, r.uid, r.kind) for r in rows} == {
             (h, c, code(changes.get(v[0], (v[0],))[0]), "agsid" if v[1] == 1 else "channelid")
             for h in hours for c, v in slots.get(h, {}).items()}
-        history = index
+        history = merged
     assert dropped_changes
+    # All layers together are the index that the plain merge has.
+    assert sorted((r.cid, r.uid, r.id_type, r.minute, r.num) for r in table.records().collect()) == sorted(merged)
     # The first window ends at hour 23: coded base for the next day, merged channel ids.
     assert spark.read.parquet(paths.daily_base("2024-01-02")).count() > 0
     assert spark.read.parquet(paths.channel_history("agsid", "2024-01-01")).count() > 0
 
 
+def written(folder):
+    return sum(f.stat().st_size for f in pathlib.Path(folder).rglob("*.parquet"))
+
+
+def test_a_window_reads_its_buckets_and_writes_its_ids(spark, folder):
+    records = lambda lo, hi: spark.range(lo, hi).selectExpr(
+        "id as cid_hash", "id as uid", "concat('c', id) as cid", "1 as id_type", "id % 7 as minute", "1L as num")
+    sizes = []
+    for name, n in (("small", 1_000), ("large", 100_000)):
+        paths = windows.WindowPaths(f"{folder}/{name}", 16)
+        index.write_base(records(0, n), paths.daily_base("2024-01-02"), 16)
+        spark.createDataFrame([("2024-01-02-00", 16 * i, 16 * i, f"c{16 * i}", 1, 40, 1) for i in range(20)],
+                              "slot string, cid_hash long, uid long, cid string, id_type int, minute long, num long"
+                              ).write.parquet(paths.hourly())
+        before = written(f"{folder}/{name}")
+        windows.run_window(spark, paths, ["2024-01-02-00"], "2024-01-01-23")
+        sizes.append(written(f"{folder}/{name}") - before)
+        after = windows.previous_index(spark, paths, ["2024-01-02-01"], "2024-01-02-00")[0]
+        # The ids of the base are the hashes of their text, so they lie in buckets of these.
+        found = after.records(spark.range(1).selectExpr("0L as cid_hash"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("PartitionFilters: [isnotnull(bucket") + plan.count("PartitionFilters: [bucket") >= 2, plan
+        assert [r.num for r in found.collect()] == [1]
+        assert after.records().count() == n + 20
+    # A hundred times the index, the same window.
+    assert sizes[1] < 1.2 * sizes[0]
+
+
+def test_changes_apply_to_older_layers_only(spark):
+    names = "cid_hash long, uid long, cid string, id_type int, minute long, num long, bucket int"
+    rows = lambda *r: spark.createDataFrame([(c, u, f"c{c}", 1, 5, 1, c % 2) for c, u in r], names)
+    moved = lambda *r: spark.createDataFrame(list(r), "uid long, new_uid long")
+    table = index.IdentityIndex(
+        rows((1, 10), (2, 20), (3, 30)),
+        [index.Layer(rows((2, 21)), moved((10, 11), (30, 31))), index.Layer(rows((4, 10)), moved((11, 12), (21, 20))),
+         index.Layer(rows(), moved())], 2)
+    assert {r.cid_hash: r.uid for r in table.records().collect()} == {1: 12, 2: 20, 3: 31, 4: 10}
+    wanted = spark.createDataFrame([(1,), (4,), (99,)], "cid_hash long")
+    assert {r.cid_hash: r.uid for r in table.records(wanted).collect()} == {1: 12, 4: 10}
+    assert table.touched_buckets(wanted) == [0, 1]
+    assert {r.cid_hash for r in table.older_in_range(0, 9, wanted).collect()} == {2, 3}
+
+
 def test_short_lines_and_unreadable_times(spark):
     lines = spark.createDataFrame([
         ("2024-01-01 10:00:00\ta\t1\tb\t2\textra",), ("2024-01-01 10:00:00\ta\t1\tb",), ("2024-01-01 10:99:00\tz\t1\t\t",),
