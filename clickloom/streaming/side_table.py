@@ -3,47 +3,87 @@
 from __future__ import annotations
 
 import logging
+from collections import deque
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.sources.snapshots import newest_snapshot
+from clickloom.sources.snapshots import list_snapshots
 
 log = logging.getLogger(__name__)
 
 
+# What a snapshot that is missing, half written or of another format raises when it is read.
+READ_ERRORS = (AnalysisException, FileNotFoundError)
+_FILE_WORDS = ("FAILED_READ_FILE", "CANNOT_READ_FILE", "PATH_NOT_FOUND", "FileNotFoundException", "does not exist",
+               "is not a Parquet file", "UNABLE_TO_INFER_SCHEMA")
+
+
+def is_read_error(error: Exception) -> bool:
+    """Whether an error is about files; anything else is none of a side table's business."""
+    return isinstance(error, READ_ERRORS) or (
+        isinstance(error, (PySparkException, Py4JError)) and any(word in str(error) for word in _FILE_WORDS)
+    )
+
+
 class RefreshingTable:
     """Newest usable snapshot, looked for anew on each call.
 
-    A new snapshot is taken only when it has more than ``min_rows`` rows; when
-    it has not, or reading fails, the last good one stays.
+    A snapshot is usable when it can be read and has more than ``min_rows``
+    rows; that holds for the first one too. The last ``keep`` usable ones are
+    remembered: when the newest cannot be read any more, the one before is
+    taken, and so on.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, prefix: str, min_rows: int = 10, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, folder: str, prefix: str, min_rows: int = 10, fmt: str = "parquet",
+                 keep: int = 3):
         self.spark = spark
         self.folder = folder
         self.prefix = prefix
         self.min_rows = min_rows
         self.fmt = fmt
-        self.path: str | None = None
+        self.ring: deque[str] = deque(maxlen=keep)
+
+    @property
+    def path(self) -> str | None:
+        return self.ring[-1] if self.ring else None
 
     def _usable(self, path: str) -> bool:
-        table = self.spark.read.format(self.fmt).load(path)
-        # Counts no further than needed.
-        return table.limit(self.min_rows + 1).count() > self.min_rows
+        """Counts no further than needed."""
+        try:
+            return self.spark.read.format(self.fmt).load(path).limit(self.min_rows + 1).count() > self.min_rows
+        except Exception as error:
+            if not is_read_error(error):
+                raise
+            log.warning("%s cannot be read: %s", path, error)
+            return False
 
     def current(self) -> DataFrame:
+        while self.ring and not self._usable(self.ring[-1]):
+            log.warning("%s is gone, going back", self.ring.pop())
         try:
-            newest = newest_snapshot(self.spark, self.folder, self.prefix)
-            if newest != self.path and (self.path is None or self._usable(newest)):
-                self.path = newest
-        except (AnalysisException, FileNotFoundError, PySparkException) as error:
-            # A snapshot that cannot be read must not stop the stream.
+            found = list_snapshots(self.spark, self.folder, self.prefix)
+        except Exception as error:
+            # A folder that cannot be listed must not stop the stream.
+            if not is_read_error(error):
+                raise
             log.warning("keeping %s: %s", self.path, error)
-        if self.path is None:
-            raise FileNotFoundError(f"no snapshot {self.prefix}* in {self.folder}")
-        return self.spark.read.format(self.fmt).load(self.path)
+            found = []
+        # With a table at hand only the newest one matters.
+        for path in found[: 1 if self.ring else None]:
+            if path not in self.ring and self._usable(path):
+                self.ring.append(path)
+                break
+        if not self.ring:
+            raise FileNotFoundError(f"no usable snapshot {self.prefix}* in {self.folder}")
+        return self.spark.read.format(self.fmt).load(self.ring[-1])
+
+    def dismiss(self, path: str) -> None:
+        """Forget a snapshot that vanished while it was read."""
+        if path in self.ring:
+            self.ring.remove(path)
 
 
 def run_with_side_table(stream: DataFrame, side: RefreshingTable, on: Sequence[str], path: str, checkpoint: str,
@@ -55,8 +95,17 @@ def run_with_side_table(stream: DataFrame, side: RefreshingTable, on: Sequence[s
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        joined = batch.join(side.current(), list(on), how)
-        joined.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        for _ in range(side.ring.maxlen + 1):
+            table, used = side.current(), side.path
+            try:
+                batch.join(table, list(on), how).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+                return
+            except Exception as error:
+                # Only a snapshot that is gone by now is to blame; the batch goes on with the one before.
+                if not is_read_error(error) or side._usable(used):
+                    raise
+                side.dismiss(used)
+        raise FileNotFoundError(f"no snapshot of {side.folder} lasts for a batch")
 
     query = (
         stream.writeStream.foreachBatch(write_batch)

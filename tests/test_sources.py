@@ -60,6 +60,67 @@ def test_refreshing_table_keeps_the_last_good_one(spark, folder):
     assert side.current().first().v == "3"
 
 
+def test_a_ring_of_usable_snapshots(spark, folder):
+    import shutil
+
+    def put(name, rows=20):
+        spark.range(rows).select(F.col("id").alias("k"), F.lit(name).alias("v")).write.parquet(f"{folder}/cfg.{name}")
+
+    side = RefreshingTable(spark, folder, "cfg.")
+    with pytest.raises(FileNotFoundError):
+        side.current()
+    put("1", 3)  # too small, also as the first one
+    with pytest.raises(FileNotFoundError):
+        side.current()
+    for name in ("2", "3", "4", "5"):
+        put(name)
+        assert side.current().first().v == name
+    assert [p[-1] for p in side.ring] == ["3", "4", "5"]
+    shutil.rmtree(f"{folder}/cfg.5")
+    assert side.current().first().v == "4"
+    shutil.rmtree(f"{folder}/cfg.4")
+    put("6", 4)
+    assert side.current().first().v == "3"
+
+
+def test_a_first_snapshot_that_cannot_be_read_is_passed_over(spark, folder):
+    import os
+
+    spark.range(20).write.parquet(f"{folder}/cfg.1")
+    os.makedirs(f"{folder}/cfg.2")
+    assert RefreshingTable(spark, folder, "cfg.").current().count() == 20
+
+
+def test_a_batch_goes_on_with_the_snapshot_before(spark, folder):
+    import shutil
+
+    for name in ("1", "2"):
+        spark.range(20).select(F.col("id").alias("k"), F.lit(name).alias("v")).write.parquet(f"{folder}/side/cfg.{name}")
+    spark.range(3).select(F.col("id").alias("k")).coalesce(1).write.parquet(folder + "/in")
+    side = RefreshingTable(spark, folder + "/side", "cfg.")
+    side.ring.append(next(p for p in snapshots.list_snapshots(spark, folder + "/side", "cfg.") if p.endswith("1")))
+    read = side.current
+
+    def vanishing():
+        table = read()
+        if side.path.endswith("2"):
+            shutil.rmtree(f"{folder}/side/cfg.2", ignore_errors=True)
+        return table
+
+    side.current = vanishing
+    run_with_side_table(log_stream(spark, "parquet", "k bigint", path=folder + "/in"), side, ["k"], folder + "/out", folder + "/ck")
+    assert {r.v for r in spark.read.parquet(folder + "/out").collect()} == {"1"}
+
+
+def test_other_errors_are_not_swallowed(spark, folder):
+    spark.range(20).select(F.col("id").alias("k")).write.parquet(f"{folder}/side/cfg.1")
+    spark.range(3).select(F.col("id").alias("k")).coalesce(1).write.parquet(folder + "/in")
+    side = RefreshingTable(spark, folder + "/side", "cfg.")
+    with pytest.raises(Exception, match="other"):
+        run_with_side_table(log_stream(spark, "parquet", "k bigint", path=folder + "/in"), side, ["other"], folder + "/out",
+                            folder + "/ck")
+
+
 def test_each_batch_sees_the_newest_side_table(spark, folder):
     def feed(n):
         spark.range(n, n + 3).select(F.col("id").alias("k")).coalesce(1).write.mode("append").parquet(folder + "/in")
