@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import none_marker
-from clickloom.operators.dedupe import earliest, top_per_group
+from clickloom.operators.bloom import might_be_member
+from clickloom.operators.dedupe import earliest
 from clickloom.operators.rendering import text_parts
 from clickloom.session import cut_lineage
 
@@ -20,24 +21,33 @@ def stitch_show_click_bid(shows: DataFrame, clicks: DataFrame, bids: DataFrame,
     """Shows with their click, if any, and their bid; shows without a bid are dropped.
 
     ``shows``: keys, time, ua, agsid. ``clicks``: keys, time. ``bids``: keys,
-    line. Each side is first reduced to one record per request (the earliest
-    show and click, the least bid line), so all three are unique on the keys
-    and already partitioned by them when they join.
+    line. Each side is first reduced to one record per request: the earliest
+    show and click, the bid with the least hash of its line. Bids are most of
+    the data and few are shown, so a Bloom filter of the shown requests drops
+    the others before anything is shuffled. The winner is chosen on narrow rows
+    and its line joined last; no line is sorted.
     """
     keys = list(keys)
 
     def present(df: DataFrame) -> DataFrame:
         return df.where(F.col(keys[-1]).isNotNull())
 
-    show = earliest(present(shows).select(*keys, "time", "ua", "agsid"), keys, "time")
+    show = cut_lineage(earliest(present(shows).select(*keys, "time", "ua", "agsid"), keys, "time"))
     click = present(clicks).groupBy(*keys).agg(F.min("time").alias("click_time")).withColumn("clicked", F.lit(1))
-    bid = top_per_group(present(bids).select(*keys, "line"), keys, [F.asc("line")], 1)
-    return (
-        show.join(bid, keys, "inner")
-        .join(click, keys, "left")
-        .withColumn("clicked", F.coalesce("clicked", F.lit(0)))
-        .withColumnRenamed("time", "show_time")
+    # Stored with a number per row, which names the winner among equal lines too.
+    shown = cut_lineage(
+        might_be_member(present(bids).select(*keys, "line"), show, keys).select(
+            *keys, "line", F.xxhash64("line").alias("__hash"), F.monotonically_increasing_id().alias("__row")
+        )
     )
+    winners = shown.groupBy(*keys).agg(F.min(F.struct("__hash", "__row")).alias("w")).select(
+        *keys, F.col("w.__row").alias("__row")
+    )
+    stitched = show.join(winners, keys, "inner").join(click, keys, "left")
+    lines = shown.select("__row", "line").join(stitched.hint("shuffle_hash"), ["__row"])
+    return lines.select(
+        *keys, "time", "ua", "agsid", "line", "click_time", F.coalesce("clicked", F.lit(0)).alias("clicked")
+    ).withColumnRenamed("time", "show_time")
 
 
 def stitched_line(sep: str = "||") -> Column:
