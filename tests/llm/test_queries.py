@@ -18,7 +18,7 @@ def con():
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
