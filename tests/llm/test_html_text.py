@@ -1,3 +1,8 @@
+import re
+import time
+from collections import Counter
+
+import pandas as pd
 import pytest
 
 from clickloom.llm import html_text
@@ -84,3 +89,71 @@ def test_table_with_nulls_and_clashing_columns(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert sorted(r.text for r in html_text.extract_pages(pages).collect()) == ["", "", TEXT]
     assert html_text.extract_pages(pages.limit(0)).count() == 0
+
+
+def _renamed(page):
+    return re.sub(r"<(/?)(article|main|nav|header|footer|aside|section)\b", r"<\1div", page)
+
+
+def _bare(page):
+    return re.sub(r"\s(class|id|role)=(\"[^\"]*\"|'[^']*'|[^\s>]+)", "", _renamed(page))
+
+
+@pytest.mark.parametrize("change", [_renamed, _bare])
+def test_density_alone_finds_the_articles_of_the_table(change):
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet").html
+    lost = extra = blocks = 0
+    for page in pages:
+        # The article as its tag gives it, read without any density.
+        inner = html_text.parse(page)
+        html_text._prune(inner, html_text._is_dropped)
+        todo, truth = [inner], []
+        while todo:
+            node = todo.pop()
+            if node.tag == "article":
+                truth += html_text._blocks([node])
+            else:
+                todo.extend(node.children())
+        want, got = Counter(truth), Counter(html_text.extract(change(page)).split("\n"))
+        lost += sum((want - got).values())
+        extra += sum((got - want).values())
+        blocks += len(truth)
+    assert blocks > 1_000
+    assert lost <= 0.02 * blocks
+    assert extra <= 0.05 * blocks
+
+
+def test_density_decides_between_the_articles_of_a_page():
+    one = "".join(f"<p>{p}</p>" for p in LONG)
+    two = "".join(f"<p>{p}</p>" for p in SHORT)
+    page = f"<body>{MENU}<article>{one}</article><article>{two}</article><article><a href=1>Read more</a></article>"
+    assert html_text.extract(page).split("\n") == [*LONG, *SHORT]
+
+
+@pytest.mark.parametrize("notice", [
+    "<div>We use cookies to make this site better. OK?</div>",
+    "<div>Sign up for our weekly letter: <input name=mail> <button>Go</button></div>",
+    "<div><h3>Most read</h3><ul><li><a href=1>A story of some kind</a><li><a href=2>Another story</a></ul></div>",
+])
+@pytest.mark.parametrize("first", [True, False])
+def test_unmarked_notices_beside_the_core_go(notice, first):
+    core = f"<div><h1>Title</h1>{''.join(f'<p>{p}</p>' for p in LONG)}</div>"
+    page = f"<body>{MENU}{notice if first else ''}{core}{'' if first else notice}</body>"
+    assert html_text.extract(page).split("\n") == ["Title", *LONG]
+
+
+@pytest.mark.parametrize("page", [
+    "<span>" * 40_000 + "x</b>" * 40_000,
+    "<a '" * 250_000,
+    "<a '>\"" * 160_000 + "x",
+    "<b><td>" + "<span>" * 40_000 + "x</b>" * 40_000,
+    "<span>" * 40_000 + "<li>x" * 40_000,
+    "<span>" * 40_000 + "<p>x</p>" * 40_000,
+    "<form>" * 80_000 + "<h1>x</h1>",
+    "<!" * 500_000,
+    "<p>" + "x" * 1_000_000,
+])
+def test_a_hostile_page_of_one_megabyte_is_read_in_time(page):
+    begin = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - begin < 2
