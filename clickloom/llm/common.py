@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -92,6 +93,24 @@ def crc_of(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
+def stored_order(rows: DataFrame) -> Column:
+    """A long that follows the order in which a stored table was written.
+
+    Spark numbers the files of a write by partition (``part-00012-...-c000``); that
+    number, the file's own count and the row's place in its file give the order, however
+    the files are dealt to tasks when they are read. Rows that come from no file take
+    the order in which they lie.
+    """
+    try:
+        file = rows.metadataColumn("_metadata")
+        rows.select(file["row_index"]).schema  # noqa: B018 - resolved here, so that what follows is
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    number = [F.coalesce(F.regexp_extract(file["file_name"], mark, 1).try_cast("long"), F.lit(0))
+              for mark in (r"^part-(\d+)", r"-c(\d+)")]
+    return F.shiftleft(number[0], 40) + F.shiftleft(number[1], 30) + file["row_index"]
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
     """Inner join of rows to one row per group, where a few groups may hold most rows.
 

@@ -5,9 +5,11 @@ from collections import defaultdict
 import cases
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clickloom.llm import packing
+from clickloom.llm.common import stored_order
 from clickloom.llm.production import TOKENIZER
 
 
@@ -67,3 +69,56 @@ def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
 
 def test_crc_is_of_little_endian_words():
     assert zlib.crc32(np.array([1, 2], "<u4").tobytes()) == zlib.crc32(b"\1\0\0\0\2\0\0\0")
+
+
+@pytest.mark.parametrize("partitions", [1, 64, 256])
+def test_the_fill_does_not_follow_the_layout(spark, partitions):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = packing.pack(docs.repartition(partitions, "doc_id"), **TOKENIZER).select(
+        "doc_id", "piece", "length", "sequence_id", "offset").collect()
+    least = -(-sum(r.length for r in rows) // 1024)
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert len(sequences) <= 1.02 * least
+    for places in sequences.values():
+        places.sort()
+        ends = np.cumsum([n for _, n in places]).tolist()
+        assert [at for at, _ in places] == [0, *ends[:-1]] and ends[-1] <= 1024
+    assert len({(r.doc_id, r.piece) for r in rows}) == len(rows) and {r.doc_id for r in rows} == {
+        r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_the_batch_size_of_the_session_does_not_matter(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").coalesce(1)
+    key, got = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    for size in ("7", "2000"):
+        spark.conf.set(key, size)
+        got.append(sorted(packing.pack(docs, **TOKENIZER).select("doc_id", "piece", "sequence_id", "offset").collect()))
+    spark.conf.set(key, before)
+    assert got[0] == got[1]
+
+
+def test_sequences_follow_the_position_of_a_stored_table(spark, folder):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    # Files of unlike size, which Spark reads in another order than it wrote them.
+    order = docs.withColumn("_metadata", F.xxhash64("doc_id"))
+    order.repartitionByRange(7, "_metadata").sortWithinPartitions("_metadata").write.parquet(f"{folder}/docs")
+    stored = spark.read.parquet(f"{folder}/docs")
+    rows = packing.pack(stored, **TOKENIZER, position=stored_order(stored)).select(
+        "doc_id", "piece", "position", "sequence_id").collect()
+    places = [r.position for r in rows]
+    assert places == sorted(places)
+    wanted = {r.doc_id: i for i, r in enumerate(stored.orderBy("_metadata").select("doc_id").collect())}
+    first = [wanted[r.doc_id] for r in rows if r.piece == 0]
+    assert len(first) == len(wanted)
+    assert np.corrcoef(first, np.arange(len(first)))[0, 1] > 0.9
+    least = -(-sum(r.length for r in packing.pack(stored, **TOKENIZER).select("length").collect()) // 1024)
+    assert len({r.sequence_id for r in rows}) <= 1.02 * least
+
+
+def test_order_of_rows_from_no_file(spark):
+    rows = cases.edge_docs(spark).coalesce(1)
+    places = [r.p for r in rows.select(stored_order(rows).alias("p")).collect()]
+    assert places == sorted(places) and len(set(places)) == len(places)
