@@ -45,3 +45,30 @@ def test_stages_keep_what_they_should(spark, tmp_path):
     assert ids(distinct) == expected
     assert ids(mixed) <= ids(distinct) and len(mixed) > len(distinct)
     assert ids(packed) == ids(mixed) and sum(r.piece == 0 for r in packed) == len(mixed)
+
+
+def _stages(spark, docs, folder):
+    tables = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, tables[-1], FOLDER).write.parquet(f"{folder}/{name}")
+        tables.append(spark.read.parquet(f"{folder}/{name}"))
+        if name != "packing":
+            assert tables[-1].columns == docs.columns
+    return [t.collect() for t in tables]
+
+
+def test_stages_take_nulls_ties_repeats_and_any_column_name(spark, folder):
+    names = {"lang": "__score", "n_chars": "position", "row": "__mix", "node": "kept__", "pivot": "_metadata"}
+    docs = cases.edge_docs(spark).withColumnsRenamed(names)
+    whole, clean, single, distinct, mixed, packed = _stages(spark, docs, folder)
+    assert len(clean) == len(whole)
+    squeezed = {"".join((r.text or "").split()) for r in whole}
+    assert {"".join((r.text or "").split()) for r in single} == squeezed and len(single) == len(squeezed)
+    # The long text and its longer copy, the short one and its two near copies.
+    assert len({r.doc_id for r in distinct} & {7, 8}) == 1 and len({r.doc_id for r in distinct} & {9, 10, 11}) == 1
+    assert {r.doc_id for r in packed} == {r.doc_id for r in mixed}
+    assert sum(r.piece == 0 for r in packed) == len(mixed)
+
+
+def test_stages_take_an_empty_table(spark, folder):
+    assert all(not rows for rows in _stages(spark, cases.edge_docs(spark, empty=True), folder))
