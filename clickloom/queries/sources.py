@@ -14,7 +14,7 @@ from clickloom.operators.classify import channel_ids
 from clickloom.operators.metrics import uv_pv
 from clickloom.queries.registry import SQL_DAY, SQL_HOUR, SQL_K, day_text, prop_k, query, text, ts_text
 from clickloom.session import fresh_folder
-from clickloom.sources import cells, logs, sinks, snapshots
+from clickloom.sources import cell_table, cells, logs, sinks, snapshots
 
 _TYPES = {"view": "show", "click": "tt", "signup": "cm", "purchase": "bidder", "error": "adshow"}
 _SQL_TYPE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _TYPES.items()) + " END"
@@ -255,3 +255,49 @@ def _(t):
     table = t.spark.read.parquet(path)
     found = cells.scan_cells(table, ["cs"], [("cf", "c_mktsegment"), ("cf", "counter")])
     return found.select("row_key", "qualifier", "value")
+
+
+def _stored_cells(t):
+    """The table as a first layer, two upserts, and what a compaction leaves of the first two."""
+    table = cell_table.CellTable(t.spark, fresh_folder(t.spark, "cell-table"), files=8)
+    table.upsert(_cell_table(t))
+    debt = t.customer.where("c_acctbal < 0").select(
+        "c_custkey", F.lit("DEBT").alias("c_mktsegment"), F.col("c_name").alias("extra"))
+    table.upsert(cells.cells_from_wide(debt, "c_custkey", "cf", ["c_mktsegment", "extra"], F.lit(2)))
+    table.compact()
+    late = t.customer.where("c_nationkey = 3").select("c_custkey", F.lit("77").alias("counter"))
+    # An older version does not replace a newer cell.
+    table.upsert(cells.cells_from_wide(late, "c_custkey", "cf", ["counter"], F.lit(1)))
+    table.upsert(cells.cells_from_wide(late.withColumn("extra", F.lit("old")), "c_custkey", "cf", ["extra"], F.lit(0)))
+    return table
+
+
+_STORED_CELLS_SQL = f"""{_CELLS_SQL},
+n AS (SELECT CAST(c_custkey AS VARCHAR) AS row_key, 'cf' AS family, 'c_mktsegment' AS qualifier, 'DEBT' AS value
+      FROM customer WHERE c_acctbal < 0
+      UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'cf', 'extra', c_name FROM customer WHERE c_acctbal < 0),
+u AS (SELECT row_key, family, qualifier, coalesce(n.value, c.value) AS value,
+             CASE WHEN n.value IS NULL THEN CAST(1 AS BIGINT) ELSE 2 END AS version
+      FROM c FULL JOIN n USING (row_key, family, qualifier)),
+l AS (SELECT CAST(c_custkey AS VARCHAR) AS row_key, 'cf' AS family, q AS qualifier,
+             CASE q WHEN 'counter' THEN '77' ELSE 'old' END AS value
+      FROM customer, (VALUES ('counter'), ('extra')) x(q) WHERE c_nationkey = 3),
+s AS (SELECT row_key, family, qualifier,
+             CASE WHEN qualifier = 'counter' AND l.value IS NOT NULL THEN l.value ELSE coalesce(u.value, l.value) END AS value,
+             coalesce(u.version, 0) AS version
+      FROM u FULL JOIN l USING (row_key, family, qualifier))"""
+
+
+@query("cells_layered_table", f"WITH {_STORED_CELLS_SQL} SELECT * FROM s")
+def _(t):
+    return _stored_cells(t).read()
+
+
+@query("cells_ranged_lookup", f"""
+WITH {_STORED_CELLS_SQL}
+SELECT row_key, 0 AS part,
+       row_key || ':' || string_agg('(' || qualifier || ',' || value || ')', '' ORDER BY '(' || qualifier || ',' || value || ')') AS line
+FROM s WHERE row_key IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'P') GROUP BY 1""")
+def _(t):
+    keys = t.orders.where("o_orderstatus = 'P'").select(text("o_custkey").alias("row_key"))
+    return _stored_cells(t).lookup(keys)
