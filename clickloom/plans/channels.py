@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.times import history_floor
 from clickloom.operators.dedupe import latest
-from clickloom.operators.graph import connected_components
 from clickloom.operators.joins import dictionary_lookup
-from clickloom.functions.hashing import md5_signed64
 from clickloom.schemas import CHANNEL_HISTORY_DAYS
-from clickloom.session import cut_lineage
+from clickloom.session import cut_lineage, discard, fresh_folder
 
 
 def day_changes(changes: DataFrame) -> DataFrame:
@@ -22,18 +20,30 @@ def day_changes(changes: DataFrame) -> DataFrame:
 def chained_changes(changes: DataFrame) -> DataFrame:
     """Follow a -> b -> c to the end of each chain.
 
-    The end of a chain is the uid of its component that does not change; a
-    circle has none and keeps its single hops.
+    An old uid has one successor, so each round lets every uid jump to where its
+    present place has got to: 2, 4, 8 ... hops, and the rounds are the logarithm of the
+    number of uids at most. Who then still stands on an old uid is in a circle or leads
+    into one, has no end and keeps the single hop. Of several successors the least counts.
+    Both sides of a round's join are stored tables, so a uid that many lead to is no
+    bottleneck.
     """
-    src, dst = md5_signed64(F.col("old_uid")), md5_signed64(F.col("new_uid"))
-    # Stored: the edges, the chain ends and the result all read it.
-    coded = cut_lineage(changes.select("old_uid", "new_uid", src.alias("src"), dst.alias("dst")))
-    components = cut_lineage(connected_components(coded))
-    ends = coded.select(F.col("new_uid").alias("uid"), F.col("dst").alias("node")).join(
-        coded.select(F.col("src").alias("node")), ["node"], "left_anti"
-    ).join(components, ["node"]).groupBy("component").agg(F.min("uid").alias("end"))
-    placed = coded.withColumnRenamed("src", "node").join(components, ["node"]).join(ends, ["component"], "left")
-    return placed.select("old_uid", F.coalesce("end", "new_uid").alias("new_uid"))
+    spark = changes.sparkSession
+    hops = changes.where(F.col("old_uid").isNotNull()).groupBy("old_uid").agg(F.min("new_uid").alias("new_uid"))
+    folder = fresh_folder(spark, "chains")
+    at = cut_lineage(hops.withColumn("place", F.col("new_uid")), folder)
+    for _ in range((at.count() - 1).bit_length()):
+        further = at.select(F.col("old_uid").alias("place"), F.col("place").alias("next"))
+        before, folder = folder, fresh_folder(spark, "chains")
+        moved = at.join(further, ["place"], "left").select(
+            "old_uid", "new_uid", F.coalesce("next", "place").alias("place"), F.col("next").isNotNull().alias("moved"))
+        stored = cut_lineage(moved, folder)
+        discard(spark, before)
+        at = stored.drop("moved")
+        if stored.where("moved").isEmpty():
+            break
+    olds = at.select(F.col("old_uid").alias("place"), F.lit(True).alias("endless"))
+    return at.join(olds, ["place"], "left").select(
+        "old_uid", F.when(F.col("endless"), F.col("new_uid")).otherwise(F.col("place")).alias("new_uid"))
 
 
 def merge_channels(today: DataFrame, history: DataFrame | None, changes: DataFrame, day: str,

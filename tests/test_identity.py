@@ -243,3 +243,53 @@ def test_diff_of_a_table_with_itself_is_empty(spark):
     assert dataset_diff(canonical, canonical, ["k"], "v").count() == 0
     only_left = dataset_diff(canonical, canonical.where("k = 'u'"), ["k"], "v").collect()
     assert [(r.k, r.left_value, r.right_value) for r in only_left] == [("v", None, None)]
+
+
+def test_a_chain_of_a_thousand_hops_takes_ten_rounds(spark, monkeypatch):
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(1_000)]
+    hops = spark.createDataFrame(chain, "old_uid string, new_uid string")
+    rounds, store = [], channels.cut_lineage
+    monkeypatch.setattr(channels, "cut_lineage", lambda *a: rounds.append(1) or store(*a))
+    ends = {r.new_uid for r in channels.chained_changes(hops).collect()}
+    # The table itself is stored once before.
+    assert ends == {"n1000"} and len(rounds) <= 11
+
+
+def test_circles_stars_and_what_leads_into_a_circle(spark):
+    star = [(f"s{i}", "hub") for i in range(50)] + [("hub", "mid"), ("mid", "end")]
+    circle = [("p", "q"), ("q", "r"), ("r", "p"), ("in", "p"), ("far", "in"), ("self", "self")]
+    hops = spark.createDataFrame(star + circle, "old_uid string, new_uid string")
+    got = {r.old_uid: r.new_uid for r in channels.chained_changes(hops).collect()}
+    assert got == {old: "end" for old, _ in star} | dict(circle)
+    assert channels.chained_changes(hops.limit(0)).count() == 0
+
+
+def test_diff_joins_the_unequal_buckets_only(spark):
+    from clickloom.operators import joins
+
+    rows = [(i, f"v{i}" if i % 9 else None) for i in range(3_000)]
+    left = spark.createDataFrame(rows, "k long, v string")
+    changed = [(i, "new" if i == 5 else v) for i, v in rows if i != 77] + [(3_000, None)]
+    right = spark.createDataFrame(changed, "k long, v string").repartition(5)
+    assert joins.unequal_buckets(left, left.repartition(3), ["k"], "v") == []
+    unlike = joins.unequal_buckets(left, right, ["k"], "v")
+    assert 1 <= len(unlike) <= 3
+    got = {tuple(r) for r in joins.dataset_diff(left, right, ["k"], "v").collect()}
+    assert got == {(5, "v5", "new"), (77, "v77", None), (3_000, None, None)}
+    # Few buckets, other types, and null keys, which match nothing.
+    assert {tuple(r) for r in joins.dataset_diff(left, right, ["k"], "v", buckets=1).collect()} == got
+    other = right.withColumn("k", F.col("k").cast("int"))
+    assert {tuple(r) for r in joins.dataset_diff(left, other, ["k"], "v").collect()} == got
+    nulls = spark.createDataFrame([(None, "a"), (1, "b")], "k long, v string")
+    assert joins.dataset_diff(nulls, nulls, ["k"], "v").count() == 2
+
+
+def test_equal_tables_shuffle_their_bucket_sums_only(spark):
+    from clickloom.operators import joins
+
+    table = spark.range(20_000).select("id", F.format_string("value %d", "id").alias("v"))
+    diff = joins.dataset_diff(table, table.repartition(4), ["id"], "v", buckets=16)
+    plan = diff._jdf.queryExecution().optimizedPlan().toString()
+    assert diff.count() == 0
+    # Nothing is left of the tables but rows without a key.
+    assert "isnull(id" in plan or "LocalRelation" in plan
