@@ -40,11 +40,12 @@ def merge_counters(entries: DataFrame, drop_newest: bool = False) -> DataFrame:
     ``drop_newest`` leaves out each id's newest time.
     """
     entries = cut_lineage(entries)
-    scalars = entries.groupBy("id").agg(
+    # Stored, so that the join can split the times of one id.
+    scalars = cut_lineage(entries.groupBy("id").agg(
         F.coalesce(F.max(blank_to_null(F.col("send_type"))), F.lit("")).alias("send_type"),
         F.coalesce(F.max(F.when(F.col("send_num") > 0, F.col("send_num"))), F.lit(0)).alias("send_num"),
         F.max("time").alias("__newest"),
-    )
+    ))
     sends = entries.where(F.col("time").isNotNull()).groupBy("id", "time").agg(F.max("num").alias("num"))
     merged = sends.join(scalars, ["id"], "inner")
     if drop_newest:

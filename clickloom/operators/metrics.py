@@ -190,16 +190,16 @@ def adjacency_lines(pairs: DataFrame, a: str, b: str, count: str, **options) ->
     return lists.select("node", "part", F.concat_ws(",", F.col("node").cast("string"), "list").alias("line"))
 
 
-def category_histogram(df: DataFrame, user: str, category: str) -> DataFrame:
+def category_histogram(df: DataFrame, user: str, category: str, **options) -> DataFrame:
     """``category:count`` text per user, sorted, over every category that occurs.
 
     Rows are counted per user and category first, so a list holds one entry for
-    each distinct category of a user. Rows without a category do not count;
-    a user with no others has an empty text.
+    each distinct category of a user; a user of very many has several parts. Rows
+    without a category do not count; a user with no others has an empty text.
     """
     counted = df.where(F.col(user).isNotNull()).groupBy(user, category).agg(F.count("*").alias("__n"))
     shown = F.when(F.col(category).isNotNull(), F.concat_ws(":", F.col(category), F.col("__n").cast("string")))
-    return counted.groupBy(user).agg(F.array_join(F.array_sort(F.collect_list(shown)), " ").alias("histogram"))
+    return text_parts(counted, [user], shown, " ", out="histogram", **options)
 
 
 def day_overlap(df: DataFrame, day: str, user: str, base_day: str) -> DataFrame:

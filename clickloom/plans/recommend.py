@@ -59,9 +59,9 @@ def confidence_recommendations(views: DataFrame, day: str, user: str, item: str,
     # Stored: pairs and supports both read it.
     baskets = cut_lineage(bounded_baskets(known, [day, user], item, low, high))
     counts = pair_counts(basket_pairs(baskets, []))
-    scored = neighbour_confidence(counts, item_support(baskets)).withColumn(
-        "confidence", F.round("confidence", 6)
-    )
+    # Stored, so that the join can split the pairs of a popular item.
+    support = cut_lineage(item_support(baskets))
+    scored = neighbour_confidence(counts, support).withColumn("confidence", F.round("confidence", 6))
     return top_neighbours(scored, ["node"], "confidence", k)
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.operators import classify, counters, metrics, rendering, sets
+from clickloom.operators import classify, counters, metrics, rendering, sets, user_sets
 from clickloom.queries.registry import SQL_DAY, SQL_HOUR, SQL_K, day_text, prop_k, query, text
+from clickloom.session import cut_lineage
 from clickloom.functions.times import hour_key
 
 # Campaign text of an event: names the campaign number in some of three fields.
@@ -180,7 +181,7 @@ def _(t):
 @query("category_histogram", """
 WITH e AS (SELECT user_id, CASE WHEN value < 0.5 THEN NULL ELSE event_type || CAST(user_id % 7 AS VARCHAR) END AS kind FROM events),
 c AS (SELECT user_id, kind || ':' || count(*) AS v FROM e GROUP BY user_id, kind)
-SELECT user_id, coalesce(string_agg(v, ' ' ORDER BY v), '') AS histogram FROM c GROUP BY 1""")
+SELECT user_id, 0 AS part, coalesce(string_agg(v, ' ' ORDER BY v), '') AS histogram FROM c GROUP BY 1""")
 def _(t):
     """Categories that no list names, some of them missing."""
     kind = F.when(F.col("value") >= 0.5, F.concat("event_type", (F.col("user_id") % 7).cast("string")))
@@ -309,3 +310,29 @@ def _(t):
     rows = t.events.withColumn("u", F.concat_ws("-", text("user_id"), prop_k()))
     return metrics.union_distinct_counts(
         rows.where("event_type = 'view'"), rows.where("event_type = 'click'"), "u")
+
+
+def _user_bitmaps(t):
+    """Stored once: one bitmap row per day and 32,768 users."""
+    seen = t.events.select(day_text().alias("day"), "user_id")
+    numbers = cut_lineage(user_sets.user_numbers(seen, "user_id"))
+    return cut_lineage(user_sets.user_bitmaps(seen, ["day"], "user_id", numbers))
+
+
+@query("user_set_unions", f"""
+WITH d AS (SELECT {SQL_DAY} AS day, user_id FROM events),
+w AS (SELECT day, user_id, substr(day, 1, 7) AS days FROM d UNION ALL SELECT day, user_id, 'all' FROM d
+      UNION ALL SELECT day, user_id, day FROM d)
+SELECT days, count(DISTINCT user_id) AS users FROM w GROUP BY 1""")
+def _(t):
+    """Users of each day, of each month, and of all days, from the stored bitmaps alone."""
+    sets = _user_bitmaps(t).withColumn("days", F.explode(F.array("day", F.substring("day", 1, 7), F.lit("all"))))
+    return user_sets.union_counts(sets, ["days"])
+
+
+@query("user_set_overlap", f"""
+WITH d AS (SELECT DISTINCT {SQL_DAY} AS day, user_id FROM events WHERE user_id IS NOT NULL)
+SELECT day, count(*) AS users, count(*) FILTER (user_id IN (SELECT user_id FROM d WHERE day = '2024-01-16')) AS overlap
+FROM d GROUP BY 1""")
+def _(t):
+    return user_sets.overlap_counts(_user_bitmaps(t), "day", "2024-01-16")
