@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import small_batches, text_of
-from clickloom.session import cut_lineage
+from clickloom.session import fresh_folder
 
 MAX_TOKENS = 1024
 OPEN_BINS = 4096
@@ -221,7 +221,10 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str
         bins = BestFit(max_tokens, open_bins, SECOND | TaskContext.get().partitionId() << 36)
         yield from _pack(_stored(batches), bins, window, True)
 
-    placed = cut_lineage(rows.mapInArrow(first, PLACED))
+    # Ids are four bytes of which two are mostly zero.
+    folder = fresh_folder(docs.sparkSession, "pieces")
+    rows.mapInArrow(first, PLACED).write.option("compression", "zstd").parquet(folder)
+    placed = docs.sparkSession.read.schema(PLACED).parquet(folder)
     tail = placed.where("open")
     tokens = tail.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-tokens // TAIL_TOKENS))
