@@ -264,8 +264,8 @@ def split_malformed(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame,
     return df.where(~bad), df.where(bad)
 
 
-def unpack_tag_export(lines: DataFrame, marker: str) -> DataFrame:
-    """Tag-export text -> (day, aguid, item), one row per well-formed marked tag.
+def unpack_tag_export(lines: DataFrame, marker: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Tag-export text -> (day, aguid, item), one row per well-formed marked tag, after the columns ``keep``.
 
     A tag is cut after the marker and before ``@``; its ``_`` pieces holding
     ``-`` or ``%`` are dropped and at least two must remain.
@@ -277,7 +277,7 @@ def unpack_tag_export(lines: DataFrame, marker: str) -> DataFrame:
     )
     tags = F.filter(pieces, lambda p: p.contains(marker) & ~p.contains("aguid"))
     exploded = lines.where(F.col("value").contains(marker)).select(
-        F.coalesce(F.try_element_at(ids, F.lit(-1)), F.lit("")).alias("aguid"), F.explode(tags).alias("tag")
+        *keep, F.coalesce(F.try_element_at(ids, F.lit(-1)), F.lit("")).alias("aguid"), F.explode(tags).alias("tag")
     )
     body = F.substring_index(F.element_at(F.split(F.col("tag"), marker), 2), "@", 1)
     kept = F.filter(
@@ -286,7 +286,7 @@ def unpack_tag_export(lines: DataFrame, marker: str) -> DataFrame:
     day_text = F.substring_index(F.element_at(F.split(F.col("tag"), "@"), 2), '"', 1)
     day = F.when(F.col("tag").contains("@"), F.substring(day_text, 1, 6)).otherwise("no_time")
     return exploded.select(
-        day.alias("day"), "aguid", F.array_join(kept, "_").alias("item"), F.size(kept).alias("n")
+        *keep, day.alias("day"), "aguid", F.array_join(kept, "_").alias("item"), F.size(kept).alias("n")
     ).where(F.col("n") > 1).drop("n")
 
 

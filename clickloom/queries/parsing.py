@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.functions import none_marker
-from clickloom.operators import classify, loglines, pricing, useragent
+from clickloom.operators import classify, loglines, pricing, rules, useragent
 from clickloom.queries.registry import SQL_K, SQL_TS, prop_k, query, text, ts_text
 
 
@@ -187,6 +187,59 @@ def _(t):
     return t.pages.select("page_id", classify.page_type(url, classify.shop_page_rules(_SITE)).alias("page_type"))
 
 
+# One rule for each order: an exact address, or a prefix of one to four digits of the order's number on its
+# host; and one length limit for each region. Ranks are scattered, and repeat beyond sf0.01.
+_RANK_SQL = "(o_orderkey * 7919) % 100003"
+
+
+@query("page_types_by_table", f"""
+WITH r AS (
+  SELECT {_RANK_SQL} AS rank, CASE WHEN o_orderkey % 5 = 0 THEN 'equals' ELSE 'prefix' END AS kind,
+         'http://h' || o_custkey % 40 || '.test/' AS root, CAST(o_orderkey AS VARCHAR) AS n, 'r' || o_orderkey AS label,
+         o_orderkey % 4 + 1 AS digits FROM orders),
+t AS (SELECT rank, kind, root, root || CASE kind WHEN 'equals' THEN n || '-1' ELSE substr(n, 1, digits) END AS text, label FROM r),
+a AS (SELECT l_orderkey, l_linenumber, 'http://h' || l_suppkey % 40 || '.test/' AS root,
+             'http://h' || l_suppkey % 40 || '.test/' || l_orderkey || '-' || l_linenumber AS url FROM lineitem),
+d AS (SELECT DISTINCT root, url FROM a),
+hits AS (
+  SELECT url, rank, label FROM d JOIN t USING (root) WHERE kind = 'equals' AND url = text OR kind = 'prefix' AND starts_with(url, text)
+  UNION ALL SELECT url, 40000 + r_regionkey, 'short' || r_regionkey FROM d JOIN region ON length(url) < 17 + r_regionkey),
+best AS (SELECT url, min(struct_pack(rank := rank, label := label)).label AS label FROM hits GROUP BY 1)
+SELECT l_orderkey, l_linenumber, coalesce(label, 'none') AS page_type FROM a LEFT JOIN best USING (url)""")
+def _(t):
+    """As many rules as orders, matched without an expression for any of them."""
+    number, root = text("o_orderkey"), F.concat(F.lit("http://h"), (F.col("o_custkey") % 40).cast("string"), F.lit(".test/"))
+    exact = F.col("o_orderkey") % 5 == 0
+    of_orders = t.orders.select(
+        (F.col("o_orderkey") * 7919 % 100003).cast("long").alias("rank"), F.when(exact, "equals").otherwise("prefix").alias("kind"),
+        F.concat(root, F.when(exact, F.concat(number, F.lit("-1"))).otherwise(
+            F.substr(number, F.lit(1), (F.col("o_orderkey") % 4 + 1).cast("int")))).alias("text"),
+        F.lit(0).alias("length"), F.concat(F.lit("r"), number).alias("label"))
+    of_regions = t.region.select(
+        (F.col("r_regionkey") + 40000).cast("long").alias("rank"), F.lit("shorter").alias("kind"), F.lit("").alias("text"),
+        (F.col("r_regionkey") + 17).cast("int").alias("length"), F.concat(F.lit("short"), text("r_regionkey")).alias("label"))
+    urls = t.lineitem.select("l_orderkey", "l_linenumber", F.concat(
+        F.lit("http://h"), (F.col("l_suppkey") % 40).cast("string"), F.lit(".test/"), text("l_orderkey"), F.lit("-"),
+        text("l_linenumber")).alias("url"))
+    typed = rules.first_rule(urls, "url", of_orders.unionByName(of_regions), "page_type", "none")
+    return typed.select("l_orderkey", "l_linenumber", "page_type")
+
+
+@query("keyword_tags_by_table", """
+WITH w AS (SELECT DISTINCT n_nationkey AS rank, lower(substr(n_name, 1, 2)) AS word, 'R' || n_regionkey AS tag,
+                  n_regionkey <> 3 AS admits FROM nation),
+hits AS (SELECT doc_id, bool_or(admits) AS admitted, min(struct_pack(rank := rank, tag := tag)).tag AS tag
+         FROM documents JOIN w ON contains(text, word) GROUP BY 1),
+g AS (SELECT DISTINCT source, tag || '@240101' AS tag FROM hits JOIN documents USING (doc_id) WHERE admitted)
+SELECT source, string_agg(tag, ';' ORDER BY tag) AS tags FROM g WHERE source IS NOT NULL GROUP BY 1""")
+def _(t):
+    """Words out of a table, whole texts."""
+    words = t.nation.select(
+        F.col("n_nationkey").cast("long").alias("rank"), F.lower(F.substring("n_name", 1, 2)).alias("word"),
+        F.concat(F.lit("R"), text("n_regionkey")).alias("tag"), (F.col("n_regionkey") != 3).alias("admits"))
+    return rules.keyword_tags_by_table(t.documents, "source", "text", words, "240101").select("source", "tags")
+
+
 _HOST_SQL = (
     "lower(regexp_replace(regexp_replace(url, '^https?://', ''), "
     r"'/.*$|\?.*$|:.*$', ''))"
@@ -218,7 +271,7 @@ def _(t):
         classify.ticket_page_item(ticket, _SITE).alias("ticket_page"))
 
 
-_TAG_MARK = "R_C_16_HDT_"
+_TAG_MARK = "T_9_SEEN_"
 
 
 @query("unpack_tag_export", f"""

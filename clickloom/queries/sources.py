@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,10 +54,6 @@ def _display_value():
     return F.concat(ts_text(), F.lit("|~|Log: a=1||guid="), prop_k(), F.lit("||agsid=s"), text("user_id"))
 
 
-def _all_of(parts):
-    return reduce(DataFrame.unionByName, parts)
-
-
 _CHANNELS = ("adx", "baidu", "tanx")
 
 
@@ -68,10 +61,10 @@ _CHANNELS = ("adx", "baidu", "tanx")
 SELECT {_SQL_TYPE} AS log_type, {_SQL_CHANNEL} AS channel, {SQL_DAY} AS day, count(DISTINCT user_id) AS users, count(*) AS hits
 FROM events GROUP BY 1, 2, 3""")
 def _(t):
-    """Every type and channel, each by its own pruned scan."""
+    """Every type and channel, in one pruned scan."""
     path = _written(t, _display_value(), _log_type())
     days = _days(t)
-    lines = _all_of(logs.scan_display(t.spark, path, kind, ch, days) for kind in logs.DISPLAY_TYPES for ch in _CHANNELS)
+    lines = logs.scan_display(t.spark, path, logs.DISPLAY_TYPES, _CHANNELS, days)
     return uv_pv(loglines.load_show(lines, ("guid", "agsid")), ["log_type", "channel", "day"], "agsid")
 
 
@@ -82,7 +75,7 @@ def _(t):
     """Four hours of each day: the hour list prunes days and row groups."""
     path = _written(t, _display_value(), _log_type())
     hours = [f"{day}-{hour:02d}" for day in _days(t) for hour in range(8, 12)]
-    lines = _all_of(logs.scan_display(t.spark, path, "tt", ch, hours) for ch in _CHANNELS)
+    lines = logs.scan_display(t.spark, path, "tt", _CHANNELS, hours)
     return uv_pv(loglines.load_show(lines, ("guid", "agsid")), ["channel", "hour"], "agsid")
 
 
@@ -105,13 +98,9 @@ def _(t):
     value = F.concat(F.lit('{"tags":["SEEN_c_'), prop_k(), F.lit("@"), F.date_format("ts", "yyMMddHH"),
                      F.lit('","M"],"aguid":"u'), text("user_id"), F.lit('"}'))
     path = _written(t, value, F.when(F.col("event_type") == "view", "all").otherwise("inc"))
-    parts, days = [], _days(t)
-    for kind in logs.TAG_TYPES:
-        for channel in _CHANNELS:
-            lines = logs.scan_tag_export(t.spark, path, kind, channel, days)
-            items = loglines.unpack_tag_export(lines, "SEEN_")
-            parts.append(items.withColumn("log_type", F.lit(kind)).withColumn("channel", F.lit(channel)))
-    return _all_of(parts).groupBy("log_type", "channel", "aguid", "item", F.col("day").alias("day_seen")).agg(
+    lines = logs.scan_tag_export(t.spark, path, logs.TAG_TYPES, _CHANNELS, _days(t))
+    items = loglines.unpack_tag_export(lines, "SEEN_", keep=["log_type", "channel"])
+    return items.groupBy("log_type", "channel", "aguid", "item", F.col("day").alias("day_seen")).agg(
         F.count("*").alias("n"))
 
 

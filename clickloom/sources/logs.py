@@ -52,37 +52,44 @@ def scan_log(spark: SparkSession, path: str, log_types: Sequence[str] | None = N
     return table
 
 
-Time = str | Sequence[str]
+# One value or a list of values.
+Some = str | Sequence[str]
 
 
-def scan_display(spark: SparkSession, path: str, log_type: str, channel: str, time: Time) -> DataFrame:
-    """Display logs of one type and channel; ``time`` is a day or an hour slot, or a list of either."""
+def _listed(some: Some) -> list[str]:
+    return [some] if isinstance(some, str) else list(some)
+
+
+def scan_display(spark: SparkSession, path: str, log_type: Some, channel: Some, time: Some) -> DataFrame:
+    """Display logs of some types and channels in one scan; ``time`` is a day or an hour slot, or a list of either."""
     return _scan_family(spark, path, log_type, DISPLAY_TYPES, channel, time)
 
 
-def scan_page_views(spark: SparkSession, path: str, log_type: str, time: Time) -> DataFrame:
+def scan_page_views(spark: SparkSession, path: str, log_type: str, time: Some) -> DataFrame:
     """Page-view or tracking logs: any type but ``pv`` means tracking."""
     kind = "pv" if log_type == "pv" else "track"
     return _scan_family(spark, path, kind, VIEW_TYPES, None, time)
 
 
-def scan_tag_export(spark: SparkSession, path: str, log_type: str, channel: str, time: Time) -> DataFrame:
+def scan_tag_export(spark: SparkSession, path: str, log_type: Some, channel: Some, time: Some) -> DataFrame:
     return _scan_family(spark, path, log_type, TAG_TYPES, channel, time)
 
 
-def scan_realtime_tags(spark: SparkSession, path: str, time: Time) -> DataFrame:
+def scan_realtime_tags(spark: SparkSession, path: str, time: Some) -> DataFrame:
     return _scan_family(spark, path, REALTIME_TYPE, (REALTIME_TYPE,), None, time)
 
 
-def _scan_family(spark: SparkSession, path: str, log_type: str, known: Sequence[str],
-                 channel: str | None, time: Time) -> DataFrame:
-    if log_type not in known:
-        raise ValueError(f"unknown log type {log_type!r}, expected one of {known}")
-    channels = None if channel is None else [channel]
-    times = [time] if isinstance(time, str) else list(time)
+def _scan_family(spark: SparkSession, path: str, log_type: Some, known: Sequence[str],
+                 channel: Some | None, time: Some) -> DataFrame:
+    types = _listed(log_type)
+    unknown = [x for x in types if x not in known]
+    if unknown:
+        raise ValueError(f"unknown log type {unknown[0]!r}, expected one of {known}")
+    channels = None if channel is None else _listed(channel)
+    times = _listed(time)
     if any(len(x) > 10 for x in times):
-        return scan_log(spark, path, [log_type], channels, hours=times)
-    return scan_log(spark, path, [log_type], channels, days=times)
+        return scan_log(spark, path, types, channels, hours=times)
+    return scan_log(spark, path, types, channels, days=times)
 
 
 def scan_text(spark: SparkSession, *paths: str) -> DataFrame:

@@ -32,8 +32,6 @@ MORE_SCANS = {
     "identity_change_audit": 2,  # records and changes, before and after the remap
     "chained_uid_changes": 2,  # a chain's hops and its ends
     "group_recommender": 1, "group_recommender_lines": 1,  # both ends of a pair against the online list
-    # One pruned scan for each type and channel, no file twice.
-    "scan_display_log": 13, "scan_display_hours": 1, "scan_tag_export": 4,
 }
 
 

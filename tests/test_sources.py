@@ -163,3 +163,11 @@ def test_cells(spark):
     assert lines == {"r1:(a,new)(counter,7)", "r2:(a,new)(counter,)"}
     assert cells.scan_cells(table, columns=[("cf", "a")]).count() == 1
     assert cells.scan_cells(table).count() == 3
+
+
+def test_one_scan_of_several_types_and_channels(spark, log_table):
+    df = logs.scan_display(spark, log_table, ["show", "cm"], ["adx", "tanx"], ["2024-01-01", "2024-01-02"])
+    assert df.count() == 8
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    with pytest.raises(ValueError):
+        logs.scan_display(spark, log_table, ["show", "pv"], "adx", "2024-01-01")
