@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from clickloom.operators import graph
 from clickloom.operators.graph import connected_components
 
 
@@ -44,3 +45,18 @@ def test_random_graphs_by_group(spark, seed):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "src bigint, dst bigint")).count() == 0
+
+
+def test_pendants_take_no_part_in_the_rounds(spark, monkeypatch):
+    given, solve = [], graph._solve
+    monkeypatch.setattr(graph, "_solve", lambda edges, by: given.append(edges.count()) or solve(edges, by))
+    rng = random.Random(3)
+    hubs = [rng.randint(-2**62, 2**62) for _ in range(30)]
+    edges = [(hub, rng.randint(-2**62, 2**62)) for hub in hubs for _ in range(20)]
+    # Repeated edges, two sources of one target, a source that is a target too, a null.
+    edges += edges[:40] + [(hubs[0], 5), (hubs[1], 5), (hubs[2], hubs[3]), (None, 6), (hubs[4], None)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
+    assert got == union_find([e for e in edges if None not in e])
+    assert len(given) == 1 and given[0] < 10
+    stars = connected_components(spark.createDataFrame(edges[:100], "src bigint, dst bigint")).collect()
+    assert len(given) == 1 and {r.node: r.component for r in stars} == union_find(edges[:100])
