@@ -14,7 +14,7 @@ line from ``start`` to ``end``. Its integral, scaled to the target, is the
 words that the source has supplied by a time; its inverse turns the place of a
 document in its source (words in front of it) into a position. Places inside
 one of 256 key ranges are interpolated. Range-sorting by position gives the
-training order.
+training order, and a document's places in it its row numbers there, one per pass.
 
 Everything that is not per document is one row per source, so that a document
 needs one join on ``source``; Spark broadcasts that table if it is small and
@@ -191,3 +191,26 @@ def in_training_order(mixed: DataFrame, column: str = "mix") -> DataFrame:
     rest, position = [c for c in mixed.columns if c != column], free_name("position__", mixed)
     turns = mixed.select(*rest, F.explode(F.col(column)["positions"]).alias(position))
     return turns.repartitionByRange(F.col(position)).sortWithinPartitions(position).withColumnRenamed(position, column)
+
+
+def training_places(mixed: DataFrame, column: str = "mix", out: str = "places") -> DataFrame:
+    """``mixed`` with the places (from 1, one per pass) of each row in the training order, as ``out``.
+
+    The passes are range-sorted without the other columns, so ``mixed`` should be narrow: it is stored.
+    Equal positions follow the other columns, whole rows that repeat any order.
+    """
+    row, part, front, n = (free_name(x, mixed) for x in ("row__", "part__", "front__", "n__"))
+    stored = cut_lineage(mixed.withColumn(row, F.monotonically_increasing_id()))
+    names = [f.name for f in mixed.schema.fields if f.name != column and "map<" not in f.dataType.simpleString()]
+    tie = F.xxhash64(*names) if names else F.lit(0)
+    ordered = in_training_order(stored.select(row, tie.alias(front), column), column)
+    ranged = cut_lineage(ordered.withColumn(part, F.spark_partition_id()))
+    # Equal positions lie in one range; one row per range is summed up.
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    fronts = ranged.groupBy(part).agg(F.count("*").alias(n)).withColumn(n, F.coalesce(F.sum(n).over(before), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(part).orderBy(column, front, row))
+    placed = ranged.withColumn(out, inside).join(fronts, part).select(row, (F.col(n) + F.col(out)).alias(out))
+    # No more than the passes of a document, two by default.
+    found = placed.groupBy(row).agg(F.array_sort(F.collect_list(out)).alias(out))
+    joined = stored.join(found, [row], "left")
+    return joined.select(*mixed.columns, F.coalesce(out, F.array().cast("array<bigint>")).alias(out))

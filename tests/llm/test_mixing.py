@@ -4,6 +4,7 @@ from collections import defaultdict
 import cases
 import pytest
 
+from __spark_entry__ import queries
 from clickloom.llm import mixing
 
 FOLDER = "/root/testdata/sf0.01"
@@ -105,3 +106,27 @@ def test_any_column_name(spark):
     ordered = mixing.in_training_order(mixed, "m")
     assert mixed.columns == [*docs.columns, "m"] and ordered.columns == [*docs.columns, "m"]
     assert {tuple(r[3:-1]) for r in ordered.collect()} == {tuple(range(len(names)))}
+
+
+def test_query_gives_places_in_the_range_sorted_order(spark, tmp_path):
+    rows = cases.edge_rows()
+    docs = spark.createDataFrame(rows + rows[:3], cases.SCHEMA).repartition(5)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries()["op9_curriculum_mix"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) + 3
+    assert all(len(r.places) == len(r.positions) for r in got)
+    passes = sorted((place, position) for r in got for place, position in zip(r.places, r.positions, strict=True))
+    assert [place for place, _ in passes] == list(range(1, len(passes) + 1))
+    assert [position for _, position in passes] == sorted(position for _, position in passes)
+
+
+def test_places_of_any_column_name_and_an_empty_table(spark):
+    names = ["row__", "part__", "front__", "n__", "position__"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names)
+    docs = spark.createDataFrame([(i, "a b c", "s", *range(len(names))) for i in range(9)], schema)
+    for table, n in ((docs, 9), (docs.limit(0), 0)):
+        placed = mixing.training_places(mixing.mix(table, mixing.plan_mix(table)))
+        assert placed.columns == [*docs.columns, "mix", "places"]
+        got = placed.collect()
+        assert len(got) == n and all(tuple(r[3:-2]) == tuple(range(len(names))) for r in got)
+        assert sorted(p for r in got for p in r.places) == list(range(1, sum(len(r.places) for r in got) + 1))
