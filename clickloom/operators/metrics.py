@@ -15,7 +15,7 @@ from clickloom.operators.classify import matches_campaign
 from clickloom.operators.joins import left_join_default
 from clickloom.operators.rendering import text_parts
 from clickloom.operators.skew import spread_join
-from clickloom.session import cut_lineage
+from clickloom.session import cut_lineage, small_tasks
 
 # Degree histogram, lower bound -> label.
 DEGREE_BUCKETS = (
@@ -183,11 +183,12 @@ def degree_histogram(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def adjacency_lines(pairs: DataFrame, a: str, b: str, count: str, **options) -> DataFrame:
-    """``node,neighbour:count,...`` per node, hubs in several parts."""
+    """``node,neighbour:count,...`` per node, hubs in several parts; a stored table."""
     summed = pairs.groupBy(a, b).agg(F.sum(count).alias("n"))
     value = F.concat_ws(":", F.col("neighbour").cast("string"), F.col("n").cast("string"))
-    lists = text_parts(both_directions(summed, a, b, "n"), ["node"], value, ",", out="list", **options)
-    return lists.select("node", "part", F.concat_ws(",", F.col("node").cast("string"), "list").alias("line"))
+    with small_tasks(pairs.sparkSession):
+        lists = text_parts(both_directions(summed, a, b, "n"), ["node"], value, ",", out="list", **options)
+        return cut_lineage(lists.select("node", "part", F.concat_ws(",", F.col("node").cast("string"), "list").alias("line")))
 
 
 def category_histogram(df: DataFrame, user: str, category: str, **options) -> DataFrame:
@@ -199,7 +200,8 @@ def category_histogram(df: DataFrame, user: str, category: str, **options) -> Da
     """
     counted = df.where(F.col(user).isNotNull()).groupBy(user, category).agg(F.count("*").alias("__n"))
     shown = F.when(F.col(category).isNotNull(), F.concat_ws(":", F.col(category), F.col("__n").cast("string")))
-    return text_parts(counted, [user], shown, " ", out="histogram", **options)
+    with small_tasks(df.sparkSession):
+        return cut_lineage(text_parts(counted, [user], shown, " ", out="histogram", **options))
 
 
 def day_overlap(df: DataFrame, day: str, user: str, base_day: str) -> DataFrame:
