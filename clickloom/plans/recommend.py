@@ -16,14 +16,14 @@ from clickloom.operators.baskets import (
 )
 from clickloom.operators.joins import both_members, only_members
 from clickloom.operators.metrics import both_directions
-from clickloom.session import cut_lineage
+from clickloom.session import cut_lineage, store_in_small_tasks
 
 
 def group_pair_counts(views: DataFrame, day: str, user: str, group: str, item: str,
                       low: int = 2, high: int = 10) -> DataFrame:
-    """(group, item_a, item_b, n): baskets are one user's items of one group on one day."""
+    """(group, item_a, item_b, n), stored: baskets are one user's items of one group on one day."""
     baskets = bounded_baskets(views, [day, user, group], item, low, high)
-    return pair_counts(basket_pairs(baskets, [group]), [group])
+    return store_in_small_tasks(pair_counts(basket_pairs(baskets, [group]), [group]))
 
 
 def group_recommendations(counts: DataFrame, online: DataFrame, group: str, online_id: str,
@@ -57,8 +57,8 @@ def confidence_recommendations(views: DataFrame, day: str, user: str, item: str,
     """(node, neighbour, n, confidence, rank): count over the neighbour's support."""
     known = only_members(views, item, online, online_id)
     # Stored: pairs and supports both read it.
-    baskets = cut_lineage(bounded_baskets(known, [day, user], item, low, high))
-    counts = pair_counts(basket_pairs(baskets, []))
+    baskets = store_in_small_tasks(bounded_baskets(known, [day, user], item, low, high))
+    counts = store_in_small_tasks(pair_counts(basket_pairs(baskets, [])))
     # Stored, so that the join can split the pairs of a popular item.
     support = cut_lineage(item_support(baskets))
     scored = neighbour_confidence(counts, support).withColumn("confidence", F.round("confidence", 6))

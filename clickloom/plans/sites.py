@@ -15,14 +15,14 @@ from clickloom.operators.graph import connected_components
 from clickloom.operators.metrics import both_directions
 from clickloom.operators.rendering import text_parts
 from clickloom.operators.skew import spread_join
-from clickloom.session import cut_lineage
+from clickloom.session import cut_lineage, store_in_small_tasks
 
 
 def site_pairs(visits: DataFrame, user: str, site: str, low: int = 2, high: int = 24,
                keys: Sequence[str] = ()) -> DataFrame:
-    """Pair counts of sites that users with ``low`` to ``high`` sites share."""
+    """Pair counts of sites that users with ``low`` to ``high`` sites share, as a stored table."""
     pairs = item_pairs(visits, [*keys, user], site, low, high)
-    return pair_counts(pairs, keys)
+    return store_in_small_tasks(pair_counts(pairs, keys))
 
 
 def scored_neighbours(pairs: DataFrame, min_weight: int = 30, min_degree: int = 4) -> DataFrame:
@@ -31,7 +31,8 @@ def scored_neighbours(pairs: DataFrame, min_weight: int = 30, min_degree: int =
     The score uses the neighbour's own total and degree; a neighbour that is
     not such a node scores zero.
     """
-    strong = cut_lineage(both_directions(
+    # Few pairs are strong, but all pairs are counted for it.
+    strong = store_in_small_tasks(both_directions(
         pairs.groupBy("item_a", "item_b").agg(F.sum("n").alias("n")).where(F.col("n") > min_weight),
         "item_a", "item_b", "n",
     ))

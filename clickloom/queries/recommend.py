@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import baskets
 from clickloom.plans import recommend, sessions, sites
 from clickloom.queries.registry import SQL_DAY, SQL_K, day_text, prop_k, query, sql_components, sql_md5, text
+from clickloom.session import store_in_small_tasks
 
 # Thresholds lowered to the fixture's densities.
 _WEIGHT, _DEGREE, _SCORE = 12, 4, 0.05
@@ -32,7 +33,7 @@ def _(t):
 WITH {_baskets_sql('l_orderkey', 'l_suppkey', 'lineitem', 2, 7)}
 SELECT item_a, item_b, count(*) AS n FROM pairs GROUP BY 1, 2""")
 def _(t):
-    return baskets.pair_counts(baskets.item_pairs(t.lineitem, ["l_orderkey"], "l_suppkey", 2, 7))
+    return store_in_small_tasks(baskets.pair_counts(baskets.item_pairs(t.lineitem, ["l_orderkey"], "l_suppkey", 2, 7)))
 
 
 _VISITS_SQL = f"v AS (SELECT user_id, {SQL_DAY} AS day, {SQL_K} AS site FROM events)"

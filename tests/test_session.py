@@ -1,6 +1,11 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from clickloom import session
+from clickloom.operators import metrics
+from clickloom.plans import recommend, sites
+from clickloom.queries import QUERIES
 
 
 class FakeContext:
@@ -46,3 +51,38 @@ def test_stages_can_be_discarded_but_nothing_else(spark, tmp_path):
         spark.read.parquet(folder)
     with pytest.raises(ValueError):
         session.discard(spark, str(tmp_path))
+
+
+def test_small_tasks_leave_the_session_as_it_was(spark):
+    names = [*session.SMALL_TASKS, "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(n) for n in names]
+    with pytest.raises(KeyError), session.small_tasks(spark):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= session.MOST_PARTITIONS
+        raise KeyError
+    assert [spark.conf.get(n) for n in names] == before
+
+
+@pytest.mark.parametrize("step", ["pairs", "query", "group", "strong", "adjacency", "histogram"])
+def test_steps_that_hold_groups_do_not_depend_on_the_session_partitions(spark, monkeypatch, tmp_path, step):
+    # Tasks of 20 KB instead of 8 MB: the stored result lies in many more files than the session has partitions.
+    monkeypatch.setitem(session.SMALL_TASKS, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    monkeypatch.setitem(session.SMALL_TASKS, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    monkeypatch.setattr(session, "MOST_PARTITIONS", 50)
+    rows = spark.range(30_000).select(
+        F.lit("d").alias("day"), F.expr("id div 3").alias("u"), F.lit("g").alias("g"), F.xxhash64("id").alias("item"))
+    lines = rows.select(F.col("u").alias("l_orderkey"), F.col("item").alias("l_suppkey"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        stored = {
+            "pairs": lambda: sites.site_pairs(rows, "u", "item", keys=["day"]),
+            "query": lambda: QUERIES["pair_counts"](spark, str(tmp_path)),
+            "group": lambda: recommend.group_pair_counts(rows, "day", "u", "g", "item"),
+            "strong": lambda: sites.scored_neighbours(sites.site_pairs(rows, "u", "item"), 0, 1),
+            "adjacency": lambda: metrics.adjacency_lines(rows.withColumn("n", F.lit(1)), "u", "item", "n"),
+            "histogram": lambda: metrics.category_histogram(rows, "u", "item"),
+        }[step]()
+        assert len(stored.inputFiles()) > 4 and stored.count() >= 10_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
