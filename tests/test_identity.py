@@ -293,3 +293,22 @@ def test_equal_tables_shuffle_their_bucket_sums_only(spark):
     assert diff.count() == 0
     # Nothing is left of the tables but rows without a key.
     assert "isnull(id" in plan or "LocalRelation" in plan
+
+
+def test_ids_of_one_star_are_not_shuffled_again(spark):
+    rows = [(f"2024-01-01 16:{i % 60:02d}:00", f"s{i}", "1", f"c{i}", "2") for i in range(50)]
+    schema = "time string, id1 string, id1_type string, id2 string, id2_type string"
+    table = identity.identity_map(spark.createDataFrame(rows, schema))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    assert table.count() == 100
+    # Chains over several stars, an id on both sides, one paired with itself, one with nothing, no id1.
+    more = [("a", "x"), ("b", "x"), ("b", "y"), ("c", "y"), ("x", "z"), ("e", "e"), ("f", None), (None, "z"), (None, "g"), ("a", "x")]
+    rows += [("2024-01-01 17:05:00", a, "1", b, "2") for a, b in more]
+    table = identity.identity_map(spark.createDataFrame(rows, schema)).collect()
+    got = {(r.slot[-2:], r.cid): (r.uid, r.num) for r in table}
+    assert len(got) == len(table) == 109
+    least = min(map(signed, "abcxyz"))
+    assert {c: got["17", c] for c in "abcxyz"} == {
+        c: (least, n) for c, n in zip("abcxyz", (1, 2, 1, 3, 2, 2), strict=True)}
+    assert [got["17", c] for c in "efg"] == [(signed("e"), 2), (signed("f"), 1), (signed("g"), 1)]
