@@ -6,10 +6,10 @@ use. Keys meet the rules in an equi-join. The plan does not grow with the rules;
 lengths in use, at most one per character of the longest rule, come to the driver.
 
 Keys that no rule has are dropped by a bounded Bloom filter on the spot, so texts are not
-shuffled: what goes on is a digest of the text and a key. (Above 8 million rules there is
-no filter, and all keys are shuffled.) Equal pairs are dropped before the join, and a key
-that many texts share comes straight from a shuffle against a stored table, so adaptive
-execution splits it; so does a text that many rows share, when labels are joined back.
+shuffled: what goes on is a digest of the text and a key. (Above 33 million keys of rules
+there is no filter, and all keys are shuffled.) A key that many texts share comes straight
+from a shuffle against a stored table, so adaptive execution splits it; so does a text that
+many rows share, when labels are joined back.
 
 Defined cases. Equal ranks: the least label wins. Repeated rules count once. A rule with
 a null in its kind, rank or label, or in the text or length that its kind needs, never
@@ -99,12 +99,15 @@ def _keys_of(text: Column, used: Sequence[tuple[str, int]]) -> Column:
 
 
 def _digest(text: Column) -> Column:
-    return F.unhex(F.sha2(text, 256))
+    """16 bytes that stand for a text."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
-def matches(df: DataFrame, text: str, keyed: DataFrame) -> DataFrame | None:
-    """(digest of the text, a row of ``keyed`` that matches it); None without any rule.
+def hits(df: DataFrame, text: str, keyed: DataFrame) -> DataFrame | None:
+    """(digest of the text, a row of ``keyed`` that matches it), for each row of ``df``; None without any rule.
 
+    Equal texts give equal rows, so what is made of them has to be the same for one and for many. Where
+    ``keyed`` is broadcast, a grouping by digest brings the keys of a text together before anything is shuffled.
     ``keyed`` should be a stored table; it is read for the keys in use, the filter and the join.
     """
     used = [(r["kind"], r["at"]) for r in keyed.select("kind", "at").distinct().collect()]
@@ -112,8 +115,13 @@ def matches(df: DataFrame, text: str, keyed: DataFrame) -> DataFrame | None:
         return None
     value = F.col(f"`{text}`")
     keys = df.where(value.isNotNull()).select(_digest(value).alias("digest"), F.explode(_keys_of(value, used)).alias("key"))
-    likely = might_be_member(keys.select("digest", "key.*"), keyed, KEY)
-    return likely.distinct().join(keyed, list(KEY))
+    return might_be_member(keys.select("digest", "key.*"), keyed, KEY).join(keyed, list(KEY))
+
+
+def matches(df: DataFrame, text: str, keyed: DataFrame) -> DataFrame | None:
+    """:func:`hits`, each once."""
+    found = hits(df, text, keyed)
+    return None if found is None else found.distinct()
 
 
 def first_rule(df: DataFrame, text: str, rules: DataFrame, out: str = "label", default: str | None = None) -> DataFrame:
@@ -124,7 +132,7 @@ def first_rule(df: DataFrame, text: str, rules: DataFrame, out: str = "label", d
     """
     best = F.min(F.struct("rank", "label")).alias("best")
     keyed = keyed_rules(rules.select("rank", "kind", "text", "length", "label")).groupBy(*KEY).agg(best)
-    found = matches(df, text, cut_lineage(keyed.select(*KEY, "best.*")))
+    found = hits(df, text, cut_lineage(keyed.select(*KEY, "best.*")))
     if found is None:
         return df.withColumn(out, F.lit(default).cast("string"))
     labels = cut_lineage(found.groupBy("digest").agg(best).select("digest", F.col("best.label").alias("label")))
@@ -148,7 +156,7 @@ def keyword_tags_by_table(df: DataFrame, key: str, text: str, words: DataFrame,
     tag = [F.max("admits").alias("admits"), F.min(F.struct("rank", "label")).alias("best")]
     keyed = cut_lineage(keyed_rules(rules).groupBy(*KEY).agg(*tag).select(*KEY, "admits", "best.*"))
     rows = df.where(F.col(f"`{key}`").isNotNull())
-    found = matches(rows, text, keyed)
+    found = hits(rows, text, keyed)
     if found is None:
         return rows.select(F.col(f"`{key}`").alias(key), F.lit(0).alias("part"), F.lit("").alias("tags")).limit(0)
     labels = cut_lineage(found.groupBy("digest").agg(*tag).where("admits").select("digest", F.col("best.label").alias("label")))

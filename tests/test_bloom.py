@@ -44,3 +44,12 @@ def test_stitch_takes_one_bid_and_sorts_no_line(spark, copies):
     # No sort has a line among its input.
     sorts = re.findall(r"\) Sort\s*\nInput \[\d+\]: \[([^\]]*)\]", plan)
     assert not [s for s in sorts if re.search(r"\bline#", s)], sorts
+
+
+def test_more_keys_get_the_largest_filter_for_a_while(spark):
+    rows = spark.range(1000).select(F.col("id").alias("k"))
+    members = rows.where("k < 10")
+    for count in (10, 12_000_000, bloom.MOST_KEYS):
+        assert 10 <= bloom.might_be_member(rows, members, ["k"], count).count() < 100
+    hit, rest = bloom.split_members(rows, members, ["k"], 10)
+    assert hit.where("k < 10").count() == 10 and hit.count() + rest.count() == 1000 and rest.count() > 900

@@ -121,3 +121,13 @@ def test_keyword_tags_by_table_equal_the_written_form(spark):
     assert sorted((r.k, r.tags) for r in got.collect()) == sorted((r.k, r.tags) for r in want.collect())
     assert got.columns == ["k", "part", "tags"]
     assert rules.keyword_tags_by_table(df, "k", "t", words.limit(0), "240101").count() == 0
+
+
+def test_keys_are_not_shuffled_where_rules_are_broadcast(spark):
+    df = spark.range(100).select(F.concat(F.lit("http://h.test/"), F.col("id") % 50).alias("url"))
+    keyed = rules.cut_lineage(rules.keyed_rules(table(spark, [(0, "prefix", "http://h.test/1", 0, "a"), (1, "prefix", "http:", 0, "b")])))
+    found = rules.hits(df, "url", keyed)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") <= 1 and "Aggregate" not in plan[:plan.index("Generate")]
+    assert found.count() == 122 and rules.matches(df, "url", keyed).count() == 61
+    assert {len(r.digest) for r in found.collect()} == {16}
