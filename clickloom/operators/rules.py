@@ -25,7 +25,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.functions.text import let
 from clickloom.operators.bloom import might_be_member
 from clickloom.operators.classify import PageRule
 from clickloom.operators.rendering import text_parts
@@ -78,10 +77,11 @@ def _keys_of(text: Column, used: Sequence[tuple[str, int]]) -> Column:
     def fitting(kind: str) -> Column:
         return F.filter(F.lit(numbers(kind)), lambda n: n <= F.length(text))
 
-    def windows(letters: Column, n: Column) -> Column:
-        starts = F.when(n > 0, F.sequence(F.lit(1), F.size(letters) - n + 1)).otherwise(F.array(F.lit(1)))
-        pieces = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(letters, i, n), "")))
-        return F.transform(pieces, lambda piece: key("contains", n, piece))
+    def windows(n: Column) -> Column:
+        # In one pass: a character is taken where n of them follow from it on, which are the group.
+        ahead = F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))."))
+        found = F.when(n > 0, F.regexp_extract_all(text, ahead, F.lit(1))).otherwise(F.array(F.lit("")))
+        return F.transform(F.array_distinct(found), lambda piece: key("contains", n, piece))
 
     parts = []
     if numbers("equals"):
@@ -89,9 +89,7 @@ def _keys_of(text: Column, used: Sequence[tuple[str, int]]) -> Column:
     if numbers("prefix"):
         parts.append(F.transform(fitting("prefix"), lambda n: key("prefix", n, F.substr(text, F.lit(1), n))))
     if numbers("contains"):
-        # Characters are cut apart once: a substring by position reads the text from its start.
-        parts.append(let(F.split(text, ""), lambda letters: F.flatten(
-            F.transform(fitting("contains"), lambda n: windows(letters, n)))))
+        parts.append(F.flatten(F.transform(fitting("contains"), windows)))
     if numbers("shorter"):
         parts.append(F.transform(
             F.lit(numbers("shorter")), lambda b: key("shorter", b, _shifted(F.length(text), b).cast("string"))))

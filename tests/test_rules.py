@@ -131,3 +131,14 @@ def test_keys_are_not_shuffled_where_rules_are_broadcast(spark):
     assert plan.count("hashpartitioning") <= 1 and "Aggregate" not in plan[:plan.index("Generate")]
     assert found.count() == 122 and rules.matches(df, "url", keyed).count() == 61
     assert {len(r.digest) for r in found.collect()} == {16}
+
+
+def test_keywords_of_all_characters_in_one_pass(spark):
+    texts = ["a\U0001f600b", "\U0001f600\U0001f600", "a\nb", "\n\n", "ab", "é\r\nx", ".*", "b"]
+    words = ["\U0001f600b", "a\n", "\n\n", "\r\n", ".*", "ab", "b", "\U0001f600", "\nbx"]
+    rows = [(i, "contains", w, 0, f"l{i}") for i, w in enumerate(words)]
+    df = spark.createDataFrame([(t,) for t in texts], "url string")
+    assert labels(rules.first_rule(df, "url", table(spark, rows), default="none")) == {t: plain(t, rows, "none") for t in texts}
+    keyed = rules.cut_lineage(rules.keyed_rules(table(spark, rows)))
+    # No list of all characters, and no slice of it per place.
+    assert "slice(" not in rules.hits(df, "url", keyed)._jdf.queryExecution().optimizedPlan().toString()
