@@ -25,8 +25,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -150,7 +152,7 @@ def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: flo
     """(weights by feature, intercept)."""
     swaps = swap_table()
     numbers: dict[str, int] = {}
-    of_word: dict[str, np.ndarray] = {}
+    of_word: dict[str, tuple[int, ...]] = {}
 
     def bag_of(words: Iterable[str]) -> np.ndarray:
         """Sorted feature numbers: four bytes for each, whatever the length of its name.
@@ -159,16 +161,16 @@ def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: flo
         """
         for word in words:
             if word not in of_word:
-                found = [numbers.setdefault(f, len(numbers)) for f in features_of(word)]
-                of_word[word] = np.array(found, np.int32)
-        parts = [of_word[w] for w in words]
-        if not parts:
-            return np.zeros(0, np.int32)
-        found, times = np.unique(np.concatenate(parts), return_counts=True)
+                # Tuples share the numbers of the names; arrays of their own took most of the memory.
+                of_word[word] = tuple(numbers.setdefault(f, len(numbers)) for f in features_of(word))
+        found, times = np.unique(np.fromiter(chain.from_iterable(of_word[w] for w in words), np.int32),
+                                 return_counts=True)
         return np.sort(np.concatenate([2 * found, 2 * found[times > 1] + 1]))
 
     seen: set[tuple[bytes, int]] = set()
-    bags, named, y = [], [], []
+    # All bags one after the other: many arrays of a few KB would leave the worker's heap in pieces.
+    numbered, ends = array("i"), [0]
+    named, y = [], []
     for text, label in zip(texts, labels, strict=True):
         words = sorted(words_of(text))
         bag = bag_of(words)
@@ -178,23 +180,31 @@ def fit(texts: Iterable[str], labels: Iterable[int], swap: float = SWAP, l2: flo
         seen.add(mark)
         if not swaps.keys().isdisjoint(words):
             named.append((bag, bag_of([swaps.get(w, w) for w in words])))
-        bags.append(bag)
+        numbered.frombytes(bag.tobytes())
+        ends.append(len(numbered))
         y.append(float(label))
-    if not bags:
+    if not y:
         return {}, 0.0
+    of_word.clear()
+    flat = np.frombuffer(numbered, np.int32) if numbered else np.zeros(0, np.int32)
+    bags = [flat[a:b] for a, b in pairwise(ends)]
     y = np.array(y)
     n, positive = len(y), y.sum()
     negatives = n - positive
-    both = Rows(bags)
-    share_of = lambda mask, total: both.back(mask.astype(float), 2 * len(numbers)) / max(total, 1)
-    in_positive, in_negative = share_of(y == 1, positive), share_of(y == 0, negatives)
-    texts_with = both.back(np.ones(n), 2 * len(numbers))
+    # A bag names a feature once, so texts are counted bag by bag, without one table of all bags.
+    texts_with, in_positive, in_negative = np.zeros((3, 2 * len(numbers)), np.int32)
+    for bag, label in zip(bags, y, strict=True):
+        texts_with[bag] += 1
+        if label in (0, 1):
+            (in_positive if label else in_negative)[bag] += 1
+    often = np.flatnonzero(texts_with >= min_texts)
     # Features that tell the classes apart best, by the normal score of a difference of shares.
-    share = texts_with / n
+    share = texts_with[often] / n
     spread = np.sqrt(share * (1 - share) * (1 / max(positive, 1) + 1 / max(negatives, 1)))
-    strength = np.abs(in_positive - in_negative) / np.where(spread > 0, spread, 1.0)
-    usable = np.flatnonzero((texts_with >= min_texts) & (strength >= min_strength))
-    chosen = np.sort(usable[np.argsort(-strength[usable], kind="stable")[:max_features]])
+    apart = np.abs(in_positive[often] / max(positive, 1) - in_negative[often] / max(negatives, 1))
+    strength = apart / np.where(spread > 0, spread, 1.0)
+    usable = np.flatnonzero(strength >= min_strength)
+    chosen = np.sort(often[usable[np.argsort(-strength[usable], kind="stable")[:max_features]]])
     size = len(chosen)
     place = np.full(2 * len(numbers), -1)
     place[chosen] = np.arange(size)
@@ -229,9 +239,12 @@ def fit_table(sample: DataFrame, **settings) -> tuple[dict[str, float], float]:
     """Fit on a bounded table of (text, label), in one task."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-        rows.sort()
-        weights, intercept = fit([t for t, _ in rows], [v for _, v in rows], **settings)
+        # As UTF-8, which sorts like the text and takes a byte a letter; a text goes once it has been read.
+        rows = [r for b in batches
+                for r in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        rows.sort(reverse=True)
+        labels = [label for _, label in reversed(rows)]
+        weights, intercept = fit((rows.pop()[0].decode() for _ in labels), labels, **settings)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None, *weights], pa.string()), pa.array([intercept, *weights.values()], pa.float64())],
             names=["feature", "weight"],

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import cases
 import numpy as np
@@ -40,7 +41,21 @@ def test_swapping_is_a_permutation_within_kinds():
         assert {table[t] for t in kind} == set(kind) and all(table[t] != t for t in kind)
 
 
+def test_memory_of_a_fit_is_little_more_than_its_features():
+    draw = random.Random(8)
+    vocabulary = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(1_500)]
+    texts = [" ".join(draw.sample(vocabulary, 900)) for _ in range(500)]
+    held = sum(len({f for w in text.split() for f in toxicity.features_of(w)}) for text in texts[:20]) * 25
+    tracemalloc.start()
+    toxicity.fit(texts, [i % 2 for i in range(500)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Four bytes a feature and the growth of their buffer, not several tables of all features.
+    assert peak < 13 * held
+
+
 def test_toxicity_edge_cases(spark):
+    assert toxicity.fit(["1", "2"], [0, 1])[0] == {}
     assert toxicity.fit([], []) == ({}, 0.0)
     weights, intercept = toxicity.fit(["a", "b"], [0, 0])
     assert toxicity.scorer(weights, intercept)("") < 0.5
