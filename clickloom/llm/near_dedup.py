@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import free_name, join_groups, small_batches, text_of
 from clickloom.llm.shingles import band_keys, linked, set_digest, shingle_set, signature
+from clickloom.operators.bloom import might_be_member
 from clickloom.operators.graph import connected_components
 from clickloom.session import cut_lineage
 
@@ -213,11 +214,17 @@ def first_elements(one: np.ndarray, last: np.ndarray, percent: int) -> np.ndarra
     return np.concatenate([one[~held], one[held]])[: len(one) - least + 1]
 
 
+def _texts(members: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(node, text) of the ids of ``members`` and few others, so that a join does not shuffle the whole corpus."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("node"), text_of(text).alias("text"))
+    return might_be_member(texts, cut_lineage(members.select("node").distinct()), ["node"])
+
+
 def _dealt(members: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(pivot, block, other, node, guest, text) of ``members``, each (pivot, block, other) in one run, its pivot first."""
     # Rows of one id are one document: each of its texts takes part. The texts are the large side and
     # members grow with them, so both are always shuffled; the plan is the same at every size.
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), text_of(text).alias("text"))
+    texts = _texts(members, docs, doc_id, text)
     key = ["pivot", "block", "other"]
     rows = members.join(texts.hint("merge"), "node").select(*key, "node", "guest", "text")
     return rows.repartition(*key).sortWithinPartitions(*key, F.col("node") != F.col("pivot"))
@@ -330,7 +337,10 @@ def links_of(groups: DataFrame, docs: DataFrame, width: int, percent: int, doc_i
         asking = judged.where("guest").select("pivot").distinct()
         inner = judged.where("node <> pivot").select("pivot", "block", "node", "guest")
         heads = judged.where("node = pivot").select("pivot", every.alias("block"), "node", "guest")
-        second = inner.unionByName(heads).join(asking, "pivot", "left_semi").withColumn("other", F.col("block"))
+        # Stored, as their ids are read first.
+        second = cut_lineage(
+            inner.unionByName(heads).join(asking, "pivot", "left_semi").withColumn("other", F.col("block"))
+        )
         met = _meetings(_first_elements(second, docs, width, percent, doc_id, text))
         links = cut_lineage(links.unionByName(_verify(met, docs, width, percent, doc_id, text)))
     return links

@@ -155,3 +155,15 @@ def test_links_have_to_be_confirmed():
     assert near_dedup.link_block([1, 2, 3], sets, [False] * 3, 80, lambda i, j: (i, j) == (1, 2)) == [(2, 3)]
     assert S.linked("A b c d", "a B c d", 3, 100) and not S.linked("a b c d", "a b c e", 3, 80)
     assert not S.linked("", "", 3, 80) and S.linked("One", "one", 3, 85)
+
+
+def test_only_texts_of_members_are_dealt(spark, monkeypatch):
+    docs = spark.range(4_000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    docs = docs.unionByName(docs.where("doc_id = 400").selectExpr("doc_id", "'another text' as text"))
+    members = spark.range(0, 4_000, 200).selectExpr("0L as pivot", "0 as block", "0 as other", "id as node", "false as guest")
+    moved, real = [], type(docs).hint
+    monkeypatch.setattr(type(docs), "hint", lambda df, *a: moved.append(df.count()) or real(df, *a))
+    dealt = near_dedup._dealt(members, docs, "doc_id", "text").collect()
+    assert sorted(r.node for r in dealt) == sorted([*range(0, 4_000, 200), 400])
+    # What the join shuffles.
+    assert len(moved) == 1 and 21 <= moved[0] < 400
