@@ -11,6 +11,11 @@ there is no filter, and all keys are shuffled.) A key that many texts share come
 from a shuffle against a stored table, so adaptive execution splits it; so does a text that
 many rows share, when labels are joined back.
 
+For the first rule, the kinds and lengths with the fewest rules are looked up in broadcast
+tables, as long as these are small: such a key needs one join and moves nothing, so neither
+keys nor rows of texts are shuffled for it. Keywords, and the other kinds and lengths, go
+the way above, and only texts that a filter takes for theirs meet the labels found so.
+
 Defined cases. Equal ranks: the least label wins. Repeated rules count once. A rule with
 a null in its kind, rank or label, or in the text or length that its kind needs, never
 matches; nor does a limit of 0 or less. An empty prefix or keyword matches every text but
@@ -25,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.operators.bloom import might_be_member
+from clickloom.operators.bloom import might_be_member, split_members
 from clickloom.operators.classify import PageRule
 from clickloom.operators.rendering import text_parts
 from clickloom.session import cut_lineage
@@ -33,6 +38,11 @@ from clickloom.session import cut_lineage
 RULE_SCHEMA = "rank long, kind string, text string, length int, label string"
 KEY = ("kind", "at", "text")
 LENGTH_BITS = 31
+# Rules that are broadcast: this many bytes in all, and a bound on the joins of a plan.
+NEAR_BYTES = 64 << 20
+NEAR_LOOKUPS = 16
+# Of a broadcast row besides its texts.
+ROW_BYTES = 64
 
 
 def rule_table(spark: SparkSession, rules: Sequence[PageRule]) -> DataFrame:
@@ -122,6 +132,42 @@ def matches(df: DataFrame, text: str, keyed: DataFrame) -> DataFrame | None:
     return None if found is None else found.distinct()
 
 
+def _own_key(text: Column, kind: str, at: int) -> Column:
+    """The only key of a text with that kind (not ``contains``) and ``at``; it may be one that no rule has."""
+    if kind == "equals":
+        return text
+    if kind == "prefix":
+        return F.substr(text, F.lit(1), F.lit(at))
+    return _shifted(F.length(text), F.lit(at)).cast("string")
+
+
+def _near_groups(keyed: DataFrame) -> list[tuple[str, int]]:
+    """The (kind, at) whose rules are broadcast: the smallest ones, within the bounds."""
+    size = F.sum(F.octet_length("text") + F.octet_length("label") + F.lit(ROW_BYTES)).alias("size")
+    groups = keyed.where("kind <> 'contains'").groupBy("kind", "at").agg(size).orderBy("size", "kind", "at")
+    near, total = [], 0
+    for row in groups.limit(NEAR_LOOKUPS).collect():
+        total += row["size"]
+        if total > NEAR_BYTES:
+            break
+        near.append((row["kind"], row["at"]))
+    return near
+
+
+def _with_near(rows: DataFrame, keyed: DataFrame, groups: Sequence[tuple[str, int]]) -> DataFrame:
+    """``rows`` (row, text) with ``near``, the best (rank, label) of the rules of ``groups``, null without one."""
+    found = []
+    for kind, at in groups:
+        name, mark = f"best_{kind}_{at}", f"key_{kind}_{at}"
+        # Stored each, so that a lookup reads its own rules only.
+        table = cut_lineage(keyed.where((F.col("kind") == kind) & (F.col("at") == at)).select(
+            F.col("text").alias(mark), F.struct("rank", "label").alias(name)))
+        rows = rows.join(F.broadcast(table), _own_key(F.col("text"), kind, at) == F.col(mark), "left")
+        found.append(F.col(name))
+    none = F.lit(None).cast(keyed.select(F.struct("rank", "label").alias("best")).schema["best"].dataType)
+    return rows.select("row", "text", F.least(none, none, *found).alias("near"))
+
+
 def first_rule(df: DataFrame, text: str, rules: DataFrame, out: str = "label", default: str | None = None) -> DataFrame:
     """``df`` with the label of the first rule, by rank, that matches ``text``, as ``out``.
 
@@ -130,15 +176,28 @@ def first_rule(df: DataFrame, text: str, rules: DataFrame, out: str = "label", d
     """
     best = F.min(F.struct("rank", "label")).alias("best")
     keyed = keyed_rules(rules.select("rank", "kind", "text", "length", "label")).groupBy(*KEY).agg(best)
-    found = hits(df, text, cut_lineage(keyed.select(*KEY, "best.*")))
-    if found is None:
-        return df.withColumn(out, F.lit(default).cast("string"))
-    labels = cut_lineage(found.groupBy("digest").agg(best).select("digest", F.col("best.label").alias("label")))
+    keyed = cut_lineage(keyed.select(*KEY, "best.*"))
+    groups = _near_groups(keyed)
+    near = F.lit(False)
+    for kind, at in groups:
+        near = near | ((F.col("kind") == kind) & (F.col("at") == at))
     # The caller's columns travel in a struct, whatever their names.
-    held = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), _digest(F.col(f"`{text}`")).alias("digest"))
+    held = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
     kept = [F.col("row")[c].alias(c) for c in df.columns if c != out]
-    return held.join(labels, ["digest"], "left").select(*kept, F.coalesce("label", F.lit(default)).alias(out))
+
+    def labelled(rows: DataFrame, first: Column) -> DataFrame:
+        return rows.select(*kept, F.coalesce(first["label"], F.lit(default)).alias(out))
+
+    looked_up = _with_near(held, keyed, groups)
+    found = hits(df, text, keyed.where(~near))
+    if found is None:
+        return labelled(looked_up, F.col("near"))
+    far = cut_lineage(found.groupBy("digest").agg(best).select("digest", F.col("best").alias("far")))
+    likely, others = split_members(
+        looked_up.withColumn("digest", _digest(F.col("text"))), far, ["digest"], far.count())
+    # Stored, as the rows are read for it once more.
+    mended = cut_lineage(labelled(likely.join(far, ["digest"], "left"), F.least("near", "far")))
+    return labelled(others, F.col("near")).unionByName(mended)
 
 
 def keyword_tags_by_table(df: DataFrame, key: str, text: str, words: DataFrame, day: str) -> DataFrame:

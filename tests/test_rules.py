@@ -142,3 +142,26 @@ def test_keywords_of_all_characters_in_one_pass(spark):
     keyed = rules.cut_lineage(rules.keyed_rules(table(spark, rows)))
     # No list of all characters, and no slice of it per place.
     assert "slice(" not in rules.hits(df, "url", keyed)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rules_of_small_groups_move_no_row(spark, monkeypatch):
+    """Broadcast kinds and lengths, shuffled ones, and both together give the same labels."""
+    rng = random.Random(11)
+
+    def word(most):
+        return "".join(rng.choice("abc") for _ in range(rng.randint(1, most)))
+
+    rows = [(rng.randint(0, 9), rng.choice(["equals", "prefix", "shorter"]), word(6), rng.randint(0, 5), f"l{i}") for i in range(80)]
+    rows.append((12, "contains", "ab", 0, "inside"))
+    texts = sorted({word(9) for _ in range(200)})
+    df = spark.createDataFrame([(t,) for t in texts] * 2 + [(None,)], "url string")
+    want = {t: plain(t, rows, "none") for t in texts} | {None: "none"}
+    for most, lookups in ((64 << 20, 16), (64 << 20, 3), (0, 16)):
+        monkeypatch.setattr(rules, "NEAR_BYTES", most)
+        monkeypatch.setattr(rules, "NEAR_LOOKUPS", lookups)
+        got = rules.first_rule(df, "url", table(spark, rows), default="none")
+        assert got.count() == 2 * len(texts) + 1 and labels(got) == want
+    monkeypatch.undo()
+    few = [r for r in rows if r[1] == "prefix"]
+    plan = rules.first_rule(df, "url", table(spark, few))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan

@@ -1,3 +1,6 @@
+import pathlib
+import time
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -53,6 +56,21 @@ def test_stages_can_be_discarded_but_nothing_else(spark, tmp_path):
         session.discard(spark, str(tmp_path))
 
 
+def test_shuffle_files_go_once_a_stage_is_stored(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {f for d in dirs for f in pathlib.Path(str(d)).rglob("shuffle_*.data")}
+    before, option = files(), next(iter(session.DROP_SHUFFLES))
+    setting = spark.conf.get(option, None)
+    shuffled = spark.range(1_000).repartition(3, "id")
+    stored = session.cut_lineage(shuffled)
+    until = time.time() + 30
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(option, None) == setting
+    # The plan itself can run again.
+    assert shuffled.count() == stored.count() == 1_000
+
+
 def test_small_tasks_leave_the_session_as_it_was(spark):
     names = [*session.SMALL_TASKS, "spark.sql.shuffle.partitions"]
     before = [spark.conf.get(n) for n in names]
