@@ -13,6 +13,7 @@ from test_graph import union_find
 from clickloom.functions.hashing import CODE_DIGITS
 from clickloom.functions.times import hour_list, slot_minute
 from clickloom.plans import channels, identity, index, windows
+from clickloom.queries import QUERIES
 from clickloom.sources import logs
 
 
@@ -312,3 +313,60 @@ def test_ids_of_one_star_are_not_shuffled_again(spark):
     assert {c: got["17", c] for c in "abcxyz"} == {
         c: (least, n) for c, n in zip("abcxyz", (1, 2, 1, 3, 2, 2), strict=True)}
     assert [got["17", c] for c in "efg"] == [(signed("e"), 2), (signed("f"), 1), (signed("g"), 1)]
+
+
+def test_ids_with_one_record_are_not_shuffled(spark):
+    names = "cid_hash long, uid long, cid string, id_type int, minute long, num long"
+    rows = [(i, i % 7, f"c{i}", 1, i, 1) for i in range(40)] + [(i, 9, f"c{i}", 2, 3 * i, 2) for i in range(5)]
+    rows += [(50, None, None, None, None, None), (None, 1, "x", 1, 1, 1), (None, 2, "x", 1, 1, 1)]
+    records = spark.createDataFrame(rows, names)
+    merged = identity.merge_slots(records)
+    assert "hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
+    plain = identity.merge_records(records)
+    assert merged.columns == plain.columns and merged.schema["num"].dataType == plain.schema["num"].dataType
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(merged.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_a_merge_knows_the_ids_of_its_window(spark):
+    names = "cid_hash long, uid long, cid string, id_type int, minute long, num long"
+    history = spark.createDataFrame([(1, 10, "a", 1, 5, 1), (2, 20, "b", 1, 5, 1), (3, 30, "c", 1, 5, 1)], names)
+    window = spark.createDataFrame([(2, 21, "b", 1, 9, 4), (4, 21, "d", 1, 9, 1), (3, 30, "c", 2, 9, 1)], names)
+    merge = identity.merge_history(window, history)
+    assert {(r.cid, r.uid, r.minute, r.num) for r in merge.merged.collect()} == {
+        ("b", 20, 9, 5), ("d", 21, 9, 1), ("c", 30, 9, 2)}
+    assert [r.cid for r in merge.untouched.collect()] == ["a"]
+    assert {tuple(r) for r in merge.changes.collect()} == {(20, 20, 5), (21, 20, 9)}
+    moved = identity.remap_uids(merge.everything(), merge.changes)
+    assert {(r.cid, r.uid) for r in moved.collect()} == {("a", 10), ("b", 20), ("c", 30), ("d", 20)}
+    # Only records of changed uids are moved, before the result is read.
+    assert "hashpartitioning" not in moved._jdf.queryExecution().executedPlan().toString()
+    assert identity.merge_history(window, None).untouched is None
+
+
+@pytest.fixture()
+def order_tables(spark, folder):
+    """Orders and lines of some years, each part and day in several orders."""
+    spark.range(300).selectExpr(
+        "id % 40 as l_orderkey", "id % 11 as l_partkey",
+        "timestamp'1997-01-01' + make_dt_interval(cast(id * 37 % 60 as int) * 30) as l_shipdate",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(45).selectExpr(
+        "id as o_orderkey", "timestamp'1997-02-01' + make_dt_interval(cast(id as int) * 20) as o_orderdate",
+    ).write.parquet(f"{folder}/orders.parquet")
+    return folder
+
+
+def stages_left(spark, make):
+    """Stage tables that are left behind a query, those its result reads, and its rows."""
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    before = {p.name for p in root.iterdir()}
+    result = make()
+    left = {p.name for p in root.iterdir()} - before
+    files = result.inputFiles()
+    return left, {name for name in left if any(name in f for f in files)}, result.count()
+
+
+def test_the_index_leaves_only_tables_it_reads(spark, order_tables):
+    left, read, n = stages_left(spark, lambda: QUERIES["history_merge_index"](spark, order_tables))
+    assert n and left == read

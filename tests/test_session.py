@@ -71,6 +71,24 @@ def test_shuffle_files_go_once_a_stage_is_stored(spark):
     assert shuffled.count() == stored.count() == 1_000
 
 
+def test_only_stages_that_are_still_read_stay(spark):
+    with session.own_stages(spark) as outer:
+        first = session.cut_lineage(spark.range(4))
+        with session.own_stages(spark) as inner:
+            second, third = session.cut_lineage(first), session.cut_lineage(spark.range(2))
+            inner.keep(second.join(first, ["id"]))
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+            third.collect()
+        outer.keep(second)
+    assert second.count() == 4
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        first.collect()
+    with pytest.raises(KeyError), session.own_stages(spark):
+        fourth = session.cut_lineage(spark.range(3))
+        raise KeyError
+    assert fourth.count() == 3 and session._SCOPE.get() is None
+
+
 def test_small_tasks_leave_the_session_as_it_was(spark):
     names = [*session.SMALL_TASKS, "spark.sql.shuffle.partitions"]
     before = [spark.conf.get(n) for n in names]
