@@ -370,3 +370,8 @@ def stages_left(spark, make):
 def test_the_index_leaves_only_tables_it_reads(spark, order_tables):
     left, read, n = stages_left(spark, lambda: QUERIES["history_merge_index"](spark, order_tables))
     assert n and left == read
+
+
+def test_add_rows_leave_the_records_of_the_window_alone(spark, order_tables):
+    left, read, n = stages_left(spark, lambda: QUERIES["identity_add_rows"](spark, order_tables))
+    assert n and len(left) == 1 and left == read
