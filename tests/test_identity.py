@@ -375,3 +375,8 @@ def test_the_index_leaves_only_tables_it_reads(spark, order_tables):
 def test_add_rows_leave_the_records_of_the_window_alone(spark, order_tables):
     left, read, n = stages_left(spark, lambda: QUERIES["identity_add_rows"](spark, order_tables))
     assert n and len(left) == 1 and left == read
+
+
+def test_the_audit_leaves_only_tables_it_reads(spark, order_tables):
+    left, read, n = stages_left(spark, lambda: QUERIES["identity_change_audit"](spark, order_tables))
+    assert n and left == read
